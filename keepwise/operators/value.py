@@ -5,7 +5,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwise.config import CONTRACT_HORIZON, DEFAULT_HORIZON, Economics
-from keepwise.operators.ranking import global_rank, sum_of_top, top_k
+from keepwise.operators.quantile import kth_values
+from keepwise.operators.ranking import global_rank, top_k
 
 VAR_REPORT_COLUMNS = ["customerID", "Contract", "MonthlyCharges", "tenure",
                       "churn_probability", "clv", "expected_value_at_risk", "priority_rank"]
@@ -60,13 +61,18 @@ def top_value_at_risk(df: DataFrame, n: int = 200, econ: Economics = Economics()
 
 def value_at_risk_summary(df_with_var: DataFrame) -> DataFrame:
     """Total VaR, the top decile's (first max(1, n//10) customers) total and share."""
-    spark = df_with_var.sparkSession
-    agg = df_with_var.agg(F.count(F.lit(1)).alias("n"),
-                          F.sum("expected_value_at_risk").alias("total")).first()
-    n, total = agg["n"], float(agg["total"] or 0.0)
+    col = "expected_value_at_risk"
+    n = df_with_var.where(F.col(col).isNotNull()).count()
     k = max(1, n // 10)
-    top = sum_of_top(df_with_var, "expected_value_at_risk", k)
-    return spark.createDataFrame(
-        [(int(n), int(k), total, top, top / total if total else 0.0)],
-        "n_customers long, top_decile_size long, total_value_at_risk double, "
-        "top_decile_value_at_risk double, top_decile_share double")
+    # the k-th largest value is found by distributed selection; the rest is one pass
+    v = kth_values(df_with_var, col, {(): {max(0, n - k)}})[((), max(0, n - k))] if n else 0.0
+    x = F.col(col)
+    agg = df_with_var.agg(F.count(F.lit(1)).alias("n_customers"),
+                          F.sum(x).alias("total_value_at_risk"),
+                          F.coalesce(F.sum(F.when(x > v, x)), F.lit(0.0)).alias("_above"),
+                          F.count_if(x > v).alias("_n_above"))
+    top = F.col("_above") + (F.lit(k) - F.col("_n_above")) * F.lit(v)
+    return agg.select("n_customers", F.lit(k).cast("long").alias("top_decile_size"),
+                      "total_value_at_risk", top.alias("top_decile_value_at_risk"),
+                      F.when(F.col("total_value_at_risk") != 0, top / F.col("total_value_at_risk"))
+                       .otherwise(F.lit(0.0)).alias("top_decile_share"))
