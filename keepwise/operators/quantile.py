@@ -10,15 +10,17 @@ at most B rows per open rank), keeps the bucket that contains rank k, and
 repeats.  The bracket shrinks by ~B per pass, so doubles converge in a handful
 of passes; a bucket holding a single distinct value ends the search.
 
-Grouped quantiles are supported for a bounded number of groups (the search
-state, one row per group and rank, is broadcast and checked against
-``max_states``).
+All groups and ranks advance together, so the number of Spark jobs does not
+grow with the number of columns or groups.  The projected (group, value)
+input is persisted for the passes.  The number of (group, rank) states is
+checked against ``max_states`` because the state travels as a broadcast.
 """
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,20 +34,15 @@ def _positions(n: int, q: float) -> tuple[int, int, float]:
     return lo, min(n - 1, math.ceil(h)), h - lo
 
 
-def kth_values(df: DataFrame, col: str, ranks: dict, by: Sequence[str] = (),
-               max_states: int = 100_000, buckets: int = BUCKETS) -> dict:
-    """Exact values at 0-based ranks among the non-null values of ``col``.
+def _interpolate(vals: dict, g, pos) -> float:
+    lo, hi, frac = pos
+    a, b = vals[(g, lo)], vals[(g, hi)]
+    return a if lo == hi or a == b else a + (b - a) * frac
 
-    ``ranks`` maps a group key tuple (``()`` when ungrouped) to a set of ranks;
-    ``bounds`` are taken from a first aggregation.  Returns {(group, rank): value}.
-    """
-    spark = df.sparkSession
-    by = list(by)
-    x = F.col(col).cast("double")
-    src = df.select(*[F.col(c) for c in by], x.alias("_x")).where(F.col("_x").isNotNull())
-    stats = src.groupBy(*by).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect()
-    bounds = {tuple(r[c] for c in by): (r["lo"], r["hi"]) for r in stats}
-    # state: (group, rank) -> [lo, hi, n_below]
+
+def _search(src: DataFrame, by: list[str], ranks: dict, bounds: dict,
+            buckets: int, max_states: int) -> dict:
+    spark = src.sparkSession
     state = {}
     for g, rs in ranks.items():
         lo, hi = bounds[g]
@@ -54,14 +51,15 @@ def kth_values(df: DataFrame, col: str, ranks: dict, by: Sequence[str] = (),
     if len(state) > max_states:
         raise ValueError(f"{len(state)} quantile states exceed max_states={max_states}")
     done = {key: s[0] for key, s in state.items() if s[0] == s[1]}
+
+    def bucket(lo, hi):
+        return F.least(F.lit(buckets - 1),
+                       F.floor((F.col("_x") - lo) / (hi - lo) * F.lit(float(buckets))).cast("int"))
+
     for _ in range(MAX_PASSES):
         open_keys = [key for key in state if key not in done]
         if not open_keys:
             break
-        def bucket(lo, hi):
-            return F.least(F.lit(buckets - 1),
-                           F.floor((F.col("_x") - lo) / (hi - lo) * F.lit(float(buckets))).cast("int"))
-
         if by:
             # equi-join on the group key with the (size-checked) search state
             rows = [tuple(g) + (i, float(state[(g, k)][0]), float(state[(g, k)][1]))
@@ -84,13 +82,12 @@ def kth_values(df: DataFrame, col: str, ranks: dict, by: Sequence[str] = (),
                  .agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("bmin"),
                       F.max("_x").alias("bmax"))
                  .collect())
-        per = {}
+        per: dict[int, list] = {}
         for r in hist:
             per.setdefault(r["_sid"], []).append((r["_b"], r["n"], r["bmin"], r["bmax"]))
         for i, key in enumerate(open_keys):
             k = key[1]
-            lo, hi, below = state[key]
-            cum = below
+            cum = state[key][2]
             for b, n, bmin, bmax in sorted(per.get(i, [])):
                 if cum + n > k:
                     state[key] = [bmin, bmax, cum]
@@ -103,40 +100,68 @@ def kth_values(df: DataFrame, col: str, ranks: dict, by: Sequence[str] = (),
     return done
 
 
+def quantiles_by(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
+                 max_states: int = 200_000, buckets: int = BUCKETS) -> dict:
+    """Exact quantiles of ``col`` per group: {group tuple: [value per prob]}.
+
+    Groups with no non-null value are absent from the result.
+    """
+    by = list(by)
+    src = (df.select(*[F.col(c) for c in by], F.col(col).cast("double").alias("_x"))
+             .where(F.col("_x").isNotNull())
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        stats = (src.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"),
+                                      F.max("_x").alias("hi"))
+                    .limit(max_states + 1).collect())
+        if len(stats) * max(1, 2 * len(probs)) > max_states:
+            raise ValueError("too many groups for exact quantiles; use percentile_approx")
+        bounds, pos, ranks = {}, {}, {}
+        for r in stats:
+            g = tuple(r[c] for c in by)
+            bounds[g] = (r["lo"], r["hi"])
+            pos[g] = [_positions(r["n"], q) for q in probs]
+            ranks[g] = {k for lo, hi, _ in pos[g] for k in (lo, hi)}
+        vals = _search(src, by, ranks, bounds, buckets, max_states) if ranks else {}
+        return {g: [_interpolate(vals, g, p) for p in pos[g]] for g in pos}
+    finally:
+        src.unpersist()
+
+
+def kth_values(df: DataFrame, col: str, ranks: dict, by: Sequence[str] = (),
+               max_states: int = 200_000, buckets: int = BUCKETS) -> dict:
+    """Exact values at 0-based ranks: ``ranks`` {group: set(rank)} -> {(group, rank): value}."""
+    by = list(by)
+    src = (df.select(*[F.col(c) for c in by], F.col(col).cast("double").alias("_x"))
+             .where(F.col("_x").isNotNull())
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        stats = src.groupBy(*by).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect()
+        bounds = {tuple(r[c] for c in by): (r["lo"], r["hi"]) for r in stats}
+        return _search(src, by, ranks, bounds, buckets, max_states)
+    finally:
+        src.unpersist()
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float]:
     """Exact linear-interpolated quantiles of ``col`` (one scalar per prob)."""
-    n = df.where(F.col(col).isNotNull()).count()
-    if n == 0:
-        return [None for _ in probs]
-    pos = [_positions(n, q) for q in probs]
-    ranks = {(): {r for lo, hi, _ in pos for r in (lo, hi)}}
-    vals = kth_values(df, col, ranks)
-    out = []
-    for lo, hi, frac in pos:
-        a, b = vals[((), lo)], vals[((), hi)]
-        out.append(a if lo == hi or a == b else a + (b - a) * frac)
-    return out
-
-
-def grouped_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str],
-                      max_groups: int = 10_000) -> DataFrame:
+    res = quantiles_by(df, col, probs)
+    return res.get((), [None for _ in probs])
+
+
+def grouped_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     """Exact quantiles per group as a long table (by..., q, value)."""
     by = list(by)
-    counts = (df.where(F.col(col).isNotNull()).groupBy(*by).count().limit(max_groups + 1).collect())
-    if len(counts) > max_groups:
-        raise ValueError(f"more than {max_groups} groups: use percentile_approx instead")
-    ranks, pos = {}, {}
-    for r in counts:
-        g = tuple(r[c] for c in by)
-        pos[g] = [_positions(r["count"], q) for q in probs]
-        ranks[g] = {k for lo, hi, _ in pos[g] for k in (lo, hi)}
-    vals = kth_values(df, col, ranks, by=by) if ranks else {}
-    rows = []
-    for g, ps in pos.items():
-        for q, (lo, hi, frac) in zip(probs, ps):
-            a, b = vals[(g, lo)], vals[(g, hi)]
-            rows.append((*g, float(q), a if lo == hi or a == b else a + (b - a) * frac))
-    spark = df.sparkSession
+    res = quantiles_by(df, col, probs, by)
+    rows = [(*g, float(q), v) for g, vs in res.items() for q, v in zip(probs, vs)]
     schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by]
                        + ["q double", "value double"])
-    return spark.createDataFrame(rows, schema=schema)
+    return df.sparkSession.createDataFrame(rows, schema=schema)
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
+    """Exact quantiles of several columns at once: {column: [value per prob]}."""
+    long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+              .unpivot([], list(cols), "_feature", "_v"))
+    res = quantiles_by(long, "_v", probs, ["_feature"])
+    return {g[0]: v for g, v in res.items()}

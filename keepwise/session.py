@@ -62,3 +62,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder next to the checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "tables", name)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``keepwise`` importable in Python workers (pandas UDFs, mapInPandas).
+
+    Zips the package once per SparkContext and registers it with ``addPyFile``
+    so executors on any node receive it.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="keepwise-pkg-"), "keepwise.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg_dir):
+            if "__pycache__" in dirpath:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
