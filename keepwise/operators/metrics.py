@@ -20,47 +20,55 @@ from keepwise.operators.quantile import exact_quantiles
 
 
 def prefix_sums(df: DataFrame, order_col: str, cols: Sequence[str], descending: bool = False,
-                n_buckets: int = 1024, suffix: str = "_cum") -> DataFrame:
-    """Inclusive running sums of ``cols`` in ``order_col`` order (order values distinct)."""
+                n_buckets: int = 1024, suffix: str = "_cum", by: Sequence[str] = ()) -> DataFrame:
+    """Inclusive running sums of ``cols`` in ``order_col`` order, per ``by`` group.
+
+    ``order_col`` values must be distinct within a group.  Bucket edges are
+    approximate quantiles of the order column, so every (group, bucket)
+    window holds a bounded slice of the rows.
+    """
+    by = list(by)
     key = F.col(order_col).cast("double")
     work = df.withColumn("_key", -key if descending else key)
     edges = sorted(set(work.approxQuantile("_key", [i / n_buckets for i in range(1, n_buckets)], 1e-3)))
     splits = [float("-inf"), *edges, float("inf")]
     work = Bucketizer(splits=splits, inputCol="_key", outputCol="_bk").transform(work)
-    totals = work.groupBy("_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    # one row per bucket: the offset window is bounded by n_buckets
-    before = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bk", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
-                                     for c in cols])
-    inside = Window.partitionBy("_bk").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
-    out = work.join(F.broadcast(offsets), "_bk")
+    totals = work.groupBy(*by, "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    # one row per (group, bucket): the offset window is bounded by n_buckets per group
+    before = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, "_bk", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0))
+                                          .alias(f"_o_{c}") for c in cols])
+    inside = Window.partitionBy(*by, "_bk").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
+    out = work.join(offsets, [*by, "_bk"])
     for c in cols:
         out = out.withColumn(c + suffix, F.col(f"_o_{c}") + F.sum(c).over(inside))
     return out.drop("_key", "_bk", *[f"_o_{c}" for c in cols])
 
 
 def score_table(df: DataFrame, label: str = "Churn", prob: str = "churn_probability",
-                resolution: int | None = None) -> DataFrame:
-    """(score, n_pos, n_neg) per distinct score with descending cumulative counts.
+                resolution: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., score, n_pos, n_neg) per distinct score with descending cumulative counts.
 
     ``resolution`` (decimals) merges scores closer than float noise, so curve
     points do not depend on last-bit differences of ``exp`` implementations.
     """
     score = F.col(prob) if resolution is None else F.round(F.col(prob), resolution)
-    agg = df.groupBy(score.alias("score")).agg(
+    agg = df.groupBy(*by, score.alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("n_pos"), F.count_if(F.col(label) == 0).alias("n_neg"))
-    return prefix_sums(agg, "score", ["n_pos", "n_neg"], descending=True)
+    return prefix_sums(agg, "score", ["n_pos", "n_neg"], descending=True, by=by)
 
 
-def ranking_metrics(df: DataFrame, label: str = "Churn", prob: str = "churn_probability") -> DataFrame:
-    """Tie-aware ROC-AUC and step-wise average precision (one row)."""
-    st = score_table(df, label, prob)
+def ranking_metrics(df: DataFrame, label: str = "Churn", prob: str = "churn_probability",
+                    by: Sequence[str] = ()) -> DataFrame:
+    """Tie-aware ROC-AUC and step-wise average precision (one row per group)."""
+    st = score_table(df, label, prob, by=by)
     pos_above = F.col("n_pos_cum") - F.col("n_pos")
     prec = F.col("n_pos_cum") / (F.col("n_pos_cum") + F.col("n_neg_cum"))
-    agg = st.agg(F.sum(F.col("n_neg") * (pos_above + F.col("n_pos") * 0.5)).alias("_auc_num"),
-                 F.sum(F.col("n_pos") * prec).alias("_ap_num"),
-                 F.sum("n_pos").alias("_p"), F.sum("n_neg").alias("_n"))
+    agg = st.groupBy(*by).agg(F.sum(F.col("n_neg") * (pos_above + F.col("n_pos") * 0.5)).alias("_auc_num"),
+                              F.sum(F.col("n_pos") * prec).alias("_ap_num"),
+                              F.sum("n_pos").alias("_p"), F.sum("n_neg").alias("_n"))
     return agg.select(
+        *by,
         F.when((F.col("_p") > 0) & (F.col("_n") > 0), F.col("_auc_num") / (F.col("_p") * F.col("_n")))
          .alias("roc_auc"),
         F.when(F.col("_p") > 0, F.col("_ap_num") / F.col("_p")).alias("pr_auc"))
