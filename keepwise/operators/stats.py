@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,21 +111,18 @@ def numeric_significance(df: DataFrame, cols: Sequence[str], label: str = "Churn
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair (long form), one aggregation pass."""
+    """Pearson correlation of every column pair (long form).
+
+    One distributed pass (``Correlation.corr`` aggregates the Gram matrix);
+    only the k x k matrix reaches the driver.  Rows with a NULL in any of the
+    columns are left out (complete cases).
+    """
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}")
-                    for i, (a, b) in enumerate(pairs)])
-    stacks = []
-    for i, (a, b) in enumerate(pairs):
-        stacks.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                               F.col(f"{i}").alias("corr")))
-        stacks.append(F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"),
-                               F.col(f"{i}").alias("corr")))
-    for c in cols:
-        stacks.append(F.struct(F.lit(c).alias("feature_a"), F.lit(c).alias("feature_b"),
-                               F.lit(1.0).alias("corr")))
-    return wide.select(F.explode(F.array(*stacks)).alias("s")).select("s.*")
+    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+    rows = [(a, b, float(m[i, j]) if i != j else 1.0) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
 
 
 def target_correlations(df: DataFrame, cols: Sequence[str], label: str = "Churn",

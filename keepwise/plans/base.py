@@ -25,34 +25,36 @@ def raw_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subscriber_raw(spark, sf_dir)
 
 
-def cleaned_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cleaned_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lazy plan: fixture joins + cleaning."""
     return clean_data(raw_base(spark, sf_dir))
 
 
+def cleaned_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned table, written once as Parquet in the shared checkpoint folder.
+
+    Every analysis branches from this scan, so the fixture joins, the dedup
+    shuffle and the cleaning run once per input instead of once per query;
+    later queries still get column pruning and filter pushdown on the table.
+    """
+    if sf_dir not in _TABLES:
+        tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+        path = scratch_path(spark, f"cleaned-{_RUN}-{tag}")
+        cleaned_plan(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _TABLES[sf_dir] = path
+    return spark.read.parquet(_TABLES[sf_dir])
+
+
 def premium_threshold(spark: SparkSession, sf_dir: str) -> float:
     if sf_dir not in _THRESHOLDS:
         _THRESHOLDS[sf_dir] = fit_premium_threshold(cleaned_base(spark, sf_dir))
     return _THRESHOLDS[sf_dir]
 
 
-def featured_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lazy plan of the cleaned + engineered table (``is_premium`` from the frame's quantile)."""
-    return add_engineered_features(cleaned_base(spark, sf_dir), premium_threshold(spark, sf_dir))
-
-
 def featured_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The featured table, written once as Parquet in the shared checkpoint folder.
-
-    Every analysis branches from this scan, so the fixture joins and the
-    cleaning run once per input instead of once per query; later queries
-    still get column pruning and filter pushdown on the written table.
-    """
-    if sf_dir not in _TABLES:
-        tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-        path = scratch_path(spark, f"featured-{_RUN}-{tag}")
-        featured_plan(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _TABLES[sf_dir] = path
-    return spark.read.parquet(_TABLES[sf_dir])
+    """Cleaned + engineered table (row-wise features over the written cleaned table;
+    ``is_premium`` from the frame's own 75th percentile)."""
+    return add_engineered_features(cleaned_base(spark, sf_dir), premium_threshold(spark, sf_dir))
 
 
 def scored_base(spark: SparkSession, sf_dir: str, econ: Economics = Economics()) -> DataFrame:
