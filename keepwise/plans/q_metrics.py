@@ -148,3 +148,20 @@ def q_metrics_at_optimal_threshold(spark, sf):
     best = TH.optimize_threshold(f, ECON).select("best_threshold")
     t = best.first()["best_threshold"]   # one scalar from a 101-row table
     return _confusion_out(M.confusion_metrics(f, t))
+
+
+_BREAK_EVEN = ECON.retention_offer_cost / (ECON.offer_success_rate * ECON.customer_value)
+
+
+@register("nearest_grid_profit", with_base(f"""
+SELECT ROUND({d(_BREAK_EVEN)}, 6) AS break_even, ROUND(t, 6) AS nearest_threshold, ROUND(profit, 4) AS profit
+FROM sb_pp ORDER BY ABS(t - {d(_BREAK_EVEN)}), i LIMIT 1""", _CURVE))
+def q_nearest_grid_profit(spark, sf):
+    """Profit at the grid point nearest to the single-offer break-even probability C / (s V)."""
+    c = TH.profit_curve(featured_base(spark, sf), ECON)
+    be = F.lit(_BREAK_EVEN)
+    row = c.agg(F.min_by(F.struct("threshold", "profit"),
+                         F.struct(F.abs(F.col("threshold") - be).alias("dist"), F.col("threshold").alias("t")))
+                .alias("m"))
+    return row.select(r6(be).alias("break_even"), r6("m.threshold").alias("nearest_threshold"),
+                      r6("m.profit", 4).alias("profit"))

@@ -327,3 +327,26 @@ def q_executive_summary(spark, sf):
     ]
     # single-row frames joined on a constant key (no cross product)
     return reduce(lambda a, b: a.join(b, "_k"), parts).drop("_k")
+
+
+@register("segment_size_ratio", with_base("""
+SELECT segment, n_customers, ROUND(n_customers * 1e0 / MAX(n_customers) OVER (), 6) AS size_ratio
+FROM (SELECT CAST(o_orderkey % 4 AS INT) AS segment, CAST(COUNT(*) AS BIGINT) AS n_customers FROM sb GROUP BY 1) t"""))
+def q_segment_size_ratio(spark, sf):
+    """Segment size relative to the largest segment (k rows: the global window is bounded)."""
+    from pyspark.sql import Window
+    seg = (featured_base(spark, sf).groupBy((F.col("o_orderkey") % 4).cast("int").alias("segment"))
+           .agg(F.count(F.lit(1)).alias("n_customers")))
+    return seg.select("segment", "n_customers",
+                      r6(F.col("n_customers") / F.max("n_customers").over(Window.partitionBy())).alias("size_ratio"))
+
+
+@register("explanation_sample", with_base("""
+SELECT customerID, tenure, ROUND(MonthlyCharges, 6) AS MonthlyCharges, Contract, InternetService,
+  PaymentMethod, num_services FROM sb ORDER BY customerID LIMIT 300"""))
+def q_explanation_sample(spark, sf):
+    """The fixed 300-row sample used for local explanations (first 300 by id)."""
+    f = featured_base(spark, sf)
+    return top_k(f, [F.col("customerID")], 300).select(
+        "customerID", "tenure", r6("MonthlyCharges").alias("MonthlyCharges"), "Contract", "InternetService",
+        "PaymentMethod", "num_services")

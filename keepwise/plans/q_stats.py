@@ -158,3 +158,15 @@ FROM ({_long_num(DIST_COLS)}) t WHERE x IS NOT NULL GROUP BY feature, Churn"""))
 def q_quartiles_by_class(spark, sf):
     q = S.quartiles_by_class(featured_base(spark, sf), DIST_COLS)
     return q.select("feature", "Churn", r6("q25").alias("q25"), r6("q50").alias("q50"), r6("q75").alias("q75"))
+
+
+@register("effect_direction", with_base("""
+SELECT feature, CASE WHEN m1 > m0 THEN 'higher_for_churners' WHEN m1 < m0 THEN 'lower_for_churners'
+  ELSE 'no_difference' END AS direction
+FROM sb_w WHERE n1 >= 2 AND n0 >= 2""", _WELCH))
+def q_effect_direction(spark, sf):
+    """Sign of the effect (Cohen's d > 0: higher for churners)."""
+    w = S.welch_t(featured_base(spark, sf), NUMERIC)
+    diff = F.col("mean_churned") - F.col("mean_retained")
+    return w.select("feature", F.when(diff > 0, "higher_for_churners").when(diff < 0, "lower_for_churners")
+                    .otherwise("no_difference").alias("direction"))

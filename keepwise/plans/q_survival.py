@@ -54,3 +54,17 @@ def q_median_survival(spark, sf):
 def q_cox_hazard_ratios(spark, sf):
     """Penalised Cox PH (iterative Newton; no SQL formulation)."""
     return SV.cox_ph(featured_base(spark, sf))
+
+
+@register("survival_input", with_base("""
+SELECT customerID, GREATEST(CAST(tenure AS DOUBLE), 0.5e0) AS duration, Churn AS event,
+  ROUND(MonthlyCharges, 6) AS MonthlyCharges, is_month_to_month, is_autopay, num_services, SeniorCitizen,
+  is_premium, has_family
+FROM sb"""))
+def q_survival_input(spark, sf):
+    """Cox input: tenure -> duration clipped below at 0.5, label -> event, the covariates."""
+    f = featured_base(spark, sf)
+    return (f.withColumnsRenamed({"tenure": "duration", "Churn": "event"})
+             .select("customerID", F.greatest(F.col("duration").cast("double"), F.lit(0.5)).alias("duration"),
+                     "event", r6("MonthlyCharges").alias("MonthlyCharges"),
+                     *[c for c in SV.COX_COVARIATES if c != "MonthlyCharges"]))
