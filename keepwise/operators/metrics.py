@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keepwise.operators.quantile import exact_quantiles
+from keepwise.session import materialize
 
 
 def prefix_sums(df: DataFrame, order_col: str, cols: Sequence[str], descending: bool = False,
@@ -29,7 +30,9 @@ def prefix_sums(df: DataFrame, order_col: str, cols: Sequence[str], descending:
     """
     by = list(by)
     key = F.col(order_col).cast("double")
-    work = df.withColumn("_key", -key if descending else key)
+    # the edges, the bucket totals and the running sums all read this input:
+    # checkpoint it once instead of re-running its (aggregating) lineage three times
+    work = materialize(df.withColumn("_key", -key if descending else key))
     edges = sorted(set(work.approxQuantile("_key", [i / n_buckets for i in range(1, n_buckets)], 1e-3)))
     splits = [float("-inf"), *edges, float("inf")]
     work = Bucketizer(splits=splits, inputCol="_key", outputCol="_bk").transform(work)
