@@ -3,7 +3,7 @@ learned numbers have no SQL formulation).
 
 One calibrated logistic model is trained per input folder and shared by the
 scoring, threshold and explanation queries.  The registered bake-off uses
-smaller forests/boosting rounds and 3 folds than ``ModelParams()`` so the
+30 trees / 30 boosting rounds and 3 folds instead of ``ModelParams()`` so the
 per-round check stays bounded; the defaults reproduce the full settings.
 """
 from __future__ import annotations
@@ -26,7 +26,7 @@ from keepwise.plans.catalog import register
 from keepwise.session import materialize
 
 ECON = Economics()
-CHECK_PARAMS = ModelParams(rf_trees=50, gbt_rounds=50)
+CHECK_PARAMS = ModelParams(rf_trees=30, gbt_rounds=30)
 _CACHE: dict = {}
 
 
