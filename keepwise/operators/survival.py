@@ -4,11 +4,11 @@ Kaplan-Meier: rows are first aggregated to one row per (group, time) with
 at-risk entries and events; the at-risk set is a reverse running sum and the
 survival a running product over that small table (partitioned by group).
 
-Cox PH: every Newton iteration is one distributed pass that aggregates, per
-distinct duration, the sums of w, w*x, w*x*x' (all rows and event rows) with
-w = exp(x'b).  The risk-set sums are reverse cumulative sums over the
-durations (a table with one row per distinct duration), so the driver only
-solves a p x p system.  Ties: Efron.  Covariates are standardised and a ridge
+Cox PH: every Newton iteration aggregates, per distinct duration, the sums of
+w, w*x, w*x*x' (all rows and event rows) with w = exp(x'b); the risk-set sums
+are descending prefix sums over the durations, and the Efron terms of tied
+events are summed in Spark, so only the gradient and the p x p Hessian reach
+the driver, whatever the number of distinct durations or ties.  Ties: Efron.  Covariates are standardised and a ridge
 penalty 0.5 * n * penalizer * |b|^2 is applied on that scale; coefficients are
 mapped back to the original units.
 """
@@ -28,18 +28,39 @@ COX_COVARIATES = ["MonthlyCharges", "is_month_to_month", "is_autopay", "num_serv
 
 
 def km_table(df: DataFrame, duration: str = "tenure", event: str = "Churn",
-             group: str | None = None) -> DataFrame:
-    """(group?, timeline, n_at_risk, n_events, survival) at every observed time."""
+             group: str | None = None, max_times_per_group: int = 1_000_000) -> DataFrame:
+    """(group?, timeline, n_at_risk, n_events, survival) at every observed time.
+
+    Rows are aggregated to one row per (group, time) first.  When every group
+    has at most ``max_times_per_group`` distinct times (months, days), the
+    at-risk counts and the survival product are windows over that small table;
+    otherwise (continuous durations, a hot group) both running totals come
+    from the bucketed ``prefix_sums`` and S = exp(sum log(1 - d/n)), exactly 0
+    once an at-risk set is exhausted.
+    """
+    from keepwise.operators.metrics import prefix_sums
+
     keys = [group] if group else []
     per_t = df.groupBy(*keys, F.col(duration).cast("double").alias("timeline")).agg(
         F.count(F.lit(1)).alias("n_t"), F.sum(F.col(event).cast("long")).alias("n_events"))
-    desc = Window.partitionBy(*keys).orderBy(F.col("timeline").desc()) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    asc = Window.partitionBy(*keys).orderBy("timeline").rowsBetween(Window.unboundedPreceding, 0)
-    per_t = per_t.withColumn("n_at_risk", F.sum("n_t").over(desc))
-    factor = F.lit(1.0) - F.col("n_events") / F.col("n_at_risk")
-    return per_t.select(*keys, "timeline", "n_at_risk", "n_events",
-                        F.product(factor).over(asc).alias("survival"))
+    widest = per_t.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if widest <= max_times_per_group:
+        desc = Window.partitionBy(*keys).orderBy(F.col("timeline").desc()) \
+            .rowsBetween(Window.unboundedPreceding, 0)
+        asc = Window.partitionBy(*keys).orderBy("timeline").rowsBetween(Window.unboundedPreceding, 0)
+        per_t = per_t.withColumn("n_at_risk", F.sum("n_t").over(desc))
+        factor = F.lit(1.0) - F.col("n_events") / F.col("n_at_risk")
+        return per_t.select(*keys, "timeline", "n_at_risk", "n_events",
+                            F.product(factor).over(asc).alias("survival"))
+    risk = prefix_sums(per_t, "timeline", ["n_t"], descending=True, by=keys).withColumnRenamed(
+        "n_t_cum", "n_at_risk")
+    exhausted = F.col("n_events") >= F.col("n_at_risk")
+    terms = (risk.withColumn("_log", F.when(exhausted, F.lit(0.0))
+                             .otherwise(F.log1p(-F.col("n_events") / F.col("n_at_risk"))))
+                 .withColumn("_zero", F.when(exhausted, 1).otherwise(0).cast("long")))
+    run = prefix_sums(terms, "timeline", ["_log", "_zero"], by=keys)
+    surv = F.when(F.col("_zero_cum") > 0, F.lit(0.0)).otherwise(F.exp(F.col("_log_cum")))
+    return run.select(*keys, "timeline", "n_at_risk", "n_events", surv.alias("survival"))
 
 
 def median_survival(df: DataFrame, group: str, duration: str = "tenure",
@@ -54,36 +75,70 @@ def median_survival(df: DataFrame, group: str, duration: str = "tenure",
     return med.join(size, group).select(group, "median_survival_months", "n_customers", "churn_rate")
 
 
-def _efron_terms(tab: dict, p: int):
-    """Log-likelihood, gradient and Hessian from per-duration sums (descending time)."""
-    ll = 0.0
-    g = np.zeros(p)
+_TIE_CHUNK = 4096
+
+
+def _efron_pass(z: DataFrame, beta: np.ndarray, p: int, pairs: list, few_times: bool) -> tuple:
+    """Efron log-likelihood, gradient and Hessian at ``beta``, all sums in Spark.
+
+    1. one row per distinct duration: sums of w, w*z, w*z*z' (all rows, event rows);
+    2. risk-set sums = descending inclusive running sums over durations (a
+       window over the per-duration table when it is bounded, else the
+       bucketed prefix sums);
+    3. tied events at a duration are expanded (in chunks spread over tasks) to
+       one row per tie index l, each contributing its Efron term; one final
+       aggregation returns p + p(p+1)/2 + 1 numbers.
+    """
+    from keepwise.operators.metrics import prefix_sums
+
+    xb = sum((F.col(f"z{i}") * F.lit(float(beta[i])) for i in range(p)), F.lit(0.0))
+    w = F.exp(xb)
+    ev = F.col("_e") == 1
+    aggs = [F.sum(w).alias("w"), F.count_if(ev).alias("d"),
+            F.coalesce(F.sum(F.when(ev, w)), F.lit(0.0)).alias("ew"),
+            F.coalesce(F.sum(F.when(ev, xb)), F.lit(0.0)).alias("exb")]
+    for i in range(p):
+        zi = F.col(f"z{i}")
+        aggs += [F.sum(w * zi).alias(f"wx{i}"), F.coalesce(F.sum(F.when(ev, w * zi)), F.lit(0.0)).alias(f"ewx{i}"),
+                 F.coalesce(F.sum(F.when(ev, zi)), F.lit(0.0)).alias(f"ex{i}")]
+    for i, j in pairs:
+        zz = F.col(f"z{i}") * F.col(f"z{j}")
+        aggs += [F.sum(w * zz).alias(f"wxx{i}_{j}"),
+                 F.coalesce(F.sum(F.when(ev, w * zz)), F.lit(0.0)).alias(f"ewxx{i}_{j}")]
+    per_t = z.groupBy("_t").agg(*aggs)
+    risk_cols = ["w", *[f"wx{i}" for i in range(p)], *[f"wxx{i}_{j}" for i, j in pairs]]
+    if few_times:
+        # one row per distinct duration, bounded (checked by the caller)
+        desc = Window.orderBy(F.col("_t").desc()).rowsBetween(Window.unboundedPreceding, 0)
+        risk = per_t.select("*", *[F.sum(c).over(desc).alias(f"{c}_cum") for c in risk_cols])
+    else:
+        risk = prefix_sums(per_t, "_t", risk_cols, descending=True)
+    events = risk.where(F.col("d") > 0)
+    chunks = events.withColumn("_c", F.explode(F.sequence(F.lit(0), F.floor((F.col("d") - 1) / _TIE_CHUNK))))
+    chunks = chunks.repartition(max(1, z.sparkSession.sparkContext.defaultParallelism))
+    ties = chunks.withColumn("_l", F.explode(F.sequence(
+        F.col("_c") * _TIE_CHUNK, F.least(F.col("_c") * _TIE_CHUNK + (_TIE_CHUNK - 1), F.col("d") - 1))))
+    a = F.col("_l") / F.col("d")
+    first = F.col("_l") == 0            # per-duration terms counted once
+    phi0 = F.col("w_cum") - a * F.col("ew")
+    phi1 = [F.col(f"wx{i}_cum") - a * F.col(f"ewx{i}") for i in range(p)]
+    terms = [F.sum(F.when(first, F.col("exb")).otherwise(F.lit(0.0)) - F.log(phi0)).alias("ll")]
+    terms += [F.sum(F.when(first, F.col(f"ex{i}")).otherwise(F.lit(0.0)) - phi1[i] / phi0).alias(f"g{i}")
+              for i in range(p)]
+    terms += [F.sum(-((F.col(f"wxx{i}_{j}_cum") - a * F.col(f"ewxx{i}_{j}")) / phi0
+                      - phi1[i] * phi1[j] / (phi0 * phi0))).alias(f"h{i}_{j}") for i, j in pairs]
+    t = ties.agg(*terms).first()
+    ll = float(t["ll"] or 0.0)
+    g = np.array([float(t[f"g{i}"] or 0.0) for i in range(p)])
     h = np.zeros((p, p))
-    s0, s1, s2 = 0.0, np.zeros(p), np.zeros((p, p))
-    for row in tab:
-        s0 += row["w"]
-        s1 = s1 + row["wx"]
-        s2 = s2 + row["wxx"]
-        d = row["d"]
-        if d == 0:
-            continue
-        e0, e1, e2 = row["ew"], row["ewx"], row["ewxx"]
-        ll += row["exb"]
-        g += row["ex"]
-        for l_ in range(int(d)):
-            a = l_ / d
-            phi0 = s0 - a * e0
-            phi1 = s1 - a * e1
-            phi2 = s2 - a * e2
-            ll -= np.log(phi0)
-            g -= phi1 / phi0
-            h -= phi2 / phi0 - np.outer(phi1, phi1) / (phi0 * phi0)
+    for i, j in pairs:
+        h[i, j] = h[j, i] = float(t[f"h{i}_{j}"] or 0.0)
     return ll, g, h
 
 
 def cox_ph(df: DataFrame, covariates: Sequence[str] = COX_COVARIATES, duration: str = "tenure",
            event: str = "Churn", penalizer: float = 0.1, min_duration: float = 0.5,
-           max_iter: int = 50, tol: float = 1e-9) -> DataFrame:
+           max_iter: int = 50, tol: float = 1e-9, max_window_times: int = 1_000_000) -> DataFrame:
     """Penalised Cox model: feature, coef, hazard_ratio, p_value (by hazard ratio desc)."""
     spark = df.sparkSession
     cov = [c for c in covariates if c in df.columns]
@@ -101,35 +156,11 @@ def cox_ph(df: DataFrame, covariates: Sequence[str] = COX_COVARIATES, duration:
     z = base.select("_t", "_e", *[((F.col(c) - F.lit(float(mean[i]))) / F.lit(float(std[i]))).alias(f"z{i}")
                                   for i, c in enumerate(cov)]).persist(StorageLevel.MEMORY_AND_DISK)
     beta = np.zeros(p)
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
     try:
+        few_times = z.select("_t").distinct().count() <= max_window_times
         for _ in range(max_iter):
-            xb = sum((F.col(f"z{i}") * F.lit(float(beta[i])) for i in range(p)), F.lit(0.0))
-            w = F.exp(xb)
-            ev = F.col("_e") == 1
-            aggs = [F.sum(w).alias("w"), F.count_if(ev).alias("d"), F.sum(F.when(ev, w)).alias("ew"),
-                    F.sum(F.when(ev, xb)).alias("exb")]
-            for i in range(p):
-                zi = F.col(f"z{i}")
-                aggs += [F.sum(w * zi).alias(f"wx{i}"), F.sum(F.when(ev, w * zi)).alias(f"ewx{i}"),
-                         F.sum(F.when(ev, zi)).alias(f"ex{i}")]
-                for j in range(i, p):
-                    zz = zi * F.col(f"z{j}")
-                    aggs += [F.sum(w * zz).alias(f"wxx{i}_{j}"), F.sum(F.when(ev, w * zz)).alias(f"ewxx{i}_{j}")]
-            rows = z.groupBy("_t").agg(*aggs).orderBy(F.col("_t").desc()).collect()
-            tab = []
-            for r in rows:
-                def mat(prefix):
-                    m = np.zeros((p, p))
-                    for i in range(p):
-                        for j in range(i, p):
-                            m[i, j] = m[j, i] = r[f"{prefix}{i}_{j}"] or 0.0
-                    return m
-                tab.append({"w": r["w"], "d": r["d"], "ew": r["ew"] or 0.0, "exb": r["exb"] or 0.0,
-                            "wx": np.array([r[f"wx{i}"] for i in range(p)]),
-                            "ewx": np.array([r[f"ewx{i}"] or 0.0 for i in range(p)]),
-                            "ex": np.array([r[f"ex{i}"] or 0.0 for i in range(p)]),
-                            "wxx": mat("wxx"), "ewxx": mat("ewxx")})
-            ll, g, h = _efron_terms(tab, p)
+            ll, g, h = _efron_pass(z, beta, p, pairs, few_times)
             g = g - n * penalizer * beta
             h = h - n * penalizer * np.eye(p)
             step = np.linalg.solve(h, g)
