@@ -112,3 +112,17 @@ def test_slow_rows_only_queries_run(spark, sf_dir, name):
 def test_every_query_is_tested():
     covered = set(ORACLE) | set(ROWS_ONLY_FAST) | set(ROWS_ONLY_SLOW)
     assert set(QUERIES) == covered
+
+
+@pytest.mark.skipif(not os.environ.get("KEEPWISE_SLOW"), reason="set KEEPWISE_SLOW=1 for the full report run")
+def test_report_runner_writes_every_report(spark, sf_dir, tmp_dir):
+    from keepwise.models.pipeline import ModelParams
+    from keepwise.plans.report import run_reports
+    summary = run_reports(spark, sf_dir, tmp_dir, ModelParams(rf_trees=10, gbt_rounds=10), folds=2)
+    for name in ["leaderboard", "metrics_report", "eda_categorical_association", "eda_numeric_significance",
+                 "profit_curve", "feature_importance", "median_survival_by_contract", "cox_hazard_ratios",
+                 "top_value_at_risk", "retention_strategy_matrix", "uplift_targets",
+                 "intervention_policy_summary", "intervention_recommendations", "executive_summary", "model"]:
+        assert os.path.isdir(os.path.join(tmp_dir, name)), name
+    assert summary["policy_band_do_nothing_to_discount"] <= summary["policy_band_discount_to_call"]
+    assert summary["policy_total_expected_value"] >= 0
