@@ -8,7 +8,9 @@ histogram narrowing: each pass buckets the values inside the current bracket
 into ``B`` equal-width buckets (one distributed ``groupBy`` whose result has
 at most B rows per open rank), keeps the bucket that contains rank k, and
 repeats.  The bracket shrinks by ~B per pass, so doubles converge in a handful
-of passes; a bucket holding a single distinct value ends the search.
+of passes; a bucket holding a single distinct value ends the search.  The
+bucket holding each rank is picked inside Spark (running count over <= B
+bucket rows per open rank), so one row per rank reaches the driver.
 
 All groups and ranks advance together, so the number of Spark jobs does not
 grow with the number of columns or groups.  The projected (group, value)
@@ -21,10 +23,10 @@ import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
+BUCKETS = 65536
 MAX_PASSES = 40
 
 
@@ -80,21 +82,22 @@ def _search(src: DataFrame, by: list[str], ranks: dict, bounds: dict,
                     .select("_x", "_s._sid", "_s._b"))
         hist = (j.groupBy("_sid", "_b")
                  .agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("bmin"),
-                      F.max("_x").alias("bmax"))
-                 .collect())
-        per: dict[int, list] = {}
-        for r in hist:
-            per.setdefault(r["_sid"], []).append((r["_b"], r["n"], r["bmin"], r["bmax"]))
-        for i, key in enumerate(open_keys):
-            k = key[1]
-            cum = state[key][2]
-            for b, n, bmin, bmax in sorted(per.get(i, [])):
-                if cum + n > k:
-                    state[key] = [bmin, bmax, cum]
-                    if bmin == bmax:
-                        done[key] = bmin
-                    break
-                cum += n
+                      F.max("_x").alias("bmax")))
+        targets = spark.createDataFrame([(i, int(key[1] - state[key][2])) for i, key in enumerate(open_keys)],
+                                        "_sid int, _target long")
+        # <= B bucket rows per open rank: the running count is a bounded window
+        run = Window.partitionBy("_sid").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        picked = (hist.join(F.broadcast(targets), "_sid")
+                      .withColumn("_cum", F.sum("n").over(run))
+                      .where((F.col("_cum") - F.col("n") <= F.col("_target")) & (F.col("_target") < F.col("_cum")))
+                      .select("_sid", (F.col("_cum") - F.col("n")).alias("before"), "bmin", "bmax")
+                      .collect())
+        for r in picked:
+            key = open_keys[r["_sid"]]
+            lo, hi, below = state[key]
+            state[key] = [r["bmin"], r["bmax"], below + r["before"]]
+            if r["bmin"] == r["bmax"]:
+                done[key] = r["bmin"]
     if len(done) != len(state):
         raise RuntimeError("quantile search did not converge")
     return done
