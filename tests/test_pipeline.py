@@ -126,3 +126,19 @@ def test_report_runner_writes_every_report(spark, sf_dir, tmp_dir):
         assert os.path.isdir(os.path.join(tmp_dir, name)), name
     assert summary["policy_band_do_nothing_to_discount"] <= summary["policy_band_discount_to_call"]
     assert summary["policy_total_expected_value"] >= 0
+
+
+def test_csv_scan_with_fixed_schema_and_subset_check(spark, sf_dir, tmp_dir):
+    from keepwise.sources.tables import RAW_COLUMNS, read_customer_csv, require_columns
+    raw = raw_base(spark, sf_dir).select(*RAW_COLUMNS)
+    path = os.path.join(tmp_dir, "raw_csv")
+    raw.write.option("header", True).csv(path)
+    back = read_customer_csv(spark, path)
+    assert back.count() == raw.count()
+    assert dict(back.dtypes)["TotalCharges"] == "string"        # blanks survive the scan
+    # the CSV writer trims the blank totals to empty (read back as NULL); both are unparseable -> 0.0
+    from keepwise.operators.clean import lenient_double
+    assert back.where(lenient_double("TotalCharges").isNull()).count() == \
+        raw.where(lenient_double("TotalCharges").isNull()).count()
+    with pytest.raises(ValueError):
+        require_columns(raw.drop("Contract"))
