@@ -136,7 +136,9 @@ def q_value_at_risk_top(spark, sf):
 SELECT {_VAR_COLS}, CAST(ROW_NUMBER() OVER (ORDER BY expected_value_at_risk DESC, customerID) AS BIGINT)
   AS priority_rank FROM sb"""))
 def q_value_at_risk_ranked(spark, sf):
-    return _var_out(value_at_risk(featured_base(spark, sf)))
+    # project before ranking: the ranked table is checkpointed, so pruning must happen first
+    f = featured_base(spark, sf).select("customerID", "Contract", "MonthlyCharges", "tenure", "churn_probability")
+    return _var_out(value_at_risk(f))
 
 
 @register("top_decile_share", with_base("""

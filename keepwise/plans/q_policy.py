@@ -43,8 +43,13 @@ sb_u AS (
   FROM sb_u1 u, sb_med)"""
 
 
+UPLIFT_INPUTS = ["customerID", "churn_probability", "MonthlyCharges", "num_services", "is_month_to_month",
+                 "is_autopay"]
+
+
 def _uplift(spark, sf):
-    return U.uplift_targeting(featured_base(spark, sf), 0.2)
+    # project before ranking: the ranked table is checkpointed, so pruning must happen first
+    return U.uplift_targeting(featured_base(spark, sf).select(*UPLIFT_INPUTS), 0.2)
 
 
 @register("responsiveness", with_base("SELECT customerID, ROUND(responsiveness, 6) AS responsiveness FROM sb_u0",
