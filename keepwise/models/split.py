@@ -4,7 +4,9 @@ Rows are ordered inside each class by a seeded 64-bit hash of the id (ties by
 id) with one distributed sort; the within-class position decides the split:
 test = first ceil(test * n_c), validation = next ceil(val / (1 - test) * rest),
 train = the remainder.  Fold ids for the training rows are position mod k.
-Deterministic, exact sizes per class, no single-task window.
+Deterministic, exact sizes per class, no single-task window.  Only the
+narrow (id, class, hash) projection is sorted and checkpointed; the split and
+fold ids are joined back to the full rows on the (unique) id.
 """
 from __future__ import annotations
 
@@ -23,7 +25,7 @@ def stratified_split(df: DataFrame, settings: Settings = DEFAULT, folds: int | N
     k = folds or settings.cv_folds
     key = F.xxhash64(F.col(id_col).cast("string"), F.lit(seed))
     strat = F.col(label) if settings.stratify else F.lit(0)
-    work = df.withColumn("_stratum", strat).withColumn("_h", key)
+    work = df.select(F.col(id_col), strat.alias("_stratum"), key.alias("_h"))
     ranked = global_rank(work, [F.col("_stratum"), F.col("_h"), F.col(id_col)], "_r")
     counts = work.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_nc"))
     # one row per class: sizes and offsets are tiny tables
@@ -45,8 +47,8 @@ def stratified_split(df: DataFrame, settings: Settings = DEFAULT, folds: int | N
               .when(pos <= F.col("_nt") + F.col("_nv"), F.lit("val"))
               .otherwise(F.lit("train")))
     fold = F.when(split == "train", ((pos - F.col("_nt") - F.col("_nv") - 1) % F.lit(k)).cast("int"))
-    return j.withColumn("split", split).withColumn("fold", fold).drop(
-        "_stratum", "_h", "_r", "_off", "_nt", "_nv")
+    assignment = j.select(id_col, split.alias("split"), fold.alias("fold"))
+    return df.join(assignment, id_col, "inner")
 
 
 def split_summary(split_df: DataFrame, label: str = "Churn") -> DataFrame:
