@@ -55,7 +55,9 @@ def add_engineered_features(df: DataFrame, premium_threshold: float | None = Non
         "avg_charges_per_tenure": F.col("TotalCharges")
         / F.when(F.col("tenure") == 0, F.lit(1)).otherwise(F.col("tenure")),
         "charge_tenure_ratio": F.col("MonthlyCharges") / (F.col("tenure") + F.lit(1)),
-        "is_premium": _flag(F.col("MonthlyCharges") >= F.lit(float(premium_threshold))),
+        # no threshold (empty input): nobody is premium
+        "is_premium": _flag(F.col("MonthlyCharges") >= F.lit(float(premium_threshold)))
+        if premium_threshold is not None else F.lit(0),
     }
     if "PaymentMethod" in cols:
         new["is_autopay"] = _flag(F.coalesce(F.lower(F.col("PaymentMethod"))

@@ -33,9 +33,13 @@ def prefix_sums(df: DataFrame, order_col: str, cols: Sequence[str], descending:
     # the edges, the bucket totals and the running sums all read this input:
     # checkpoint it once instead of re-running its (aggregating) lineage three times
     work = materialize(df.withColumn("_key", -key if descending else key))
-    edges = sorted(set(work.approxQuantile("_key", [i / n_buckets for i in range(1, n_buckets)], 1e-3)))
-    splits = [float("-inf"), *edges, float("inf")]
-    work = Bucketizer(splits=splits, inputCol="_key", outputCol="_bk").transform(work)
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    edges = sorted(set(work.approxQuantile("_key", probs, 1e-3))) if probs else []
+    if edges:
+        splits = [float("-inf"), *edges, float("inf")]
+        work = Bucketizer(splits=splits, inputCol="_key", outputCol="_bk").transform(work)
+    else:
+        work = work.withColumn("_bk", F.lit(0.0))
     totals = work.groupBy(*by, "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     # one row per (group, bucket): the offset window is bounded by n_buckets per group
     before = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
