@@ -75,16 +75,18 @@ def q_average_precision(spark, sf):
 
 
 @register("roc_curve", with_base("""
-SELECT ROUND(score, 6) AS threshold, ROUND(cp * 1e0 / pp, 6) AS tpr, ROUND(cn * 1e0 / nn, 6) AS fpr
-FROM sb_sc, sb_tot""", _CURVE_SCORES))
+SELECT ROUND(score, 6) AS threshold, ROUND(cp * 1e0 / (SELECT pp FROM sb_tot), 6) AS tpr,
+  ROUND(cn * 1e0 / (SELECT nn FROM sb_tot), 6) AS fpr
+FROM sb_sc""", _CURVE_SCORES))
 def q_roc_curve(spark, sf):
     c = M.curve_points(featured_base(spark, sf))
     return c.select(r6("threshold").alias("threshold"), r6("tpr").alias("tpr"), r6("fpr").alias("fpr"))
 
 
 @register("pr_curve", with_base("""
-SELECT ROUND(score, 6) AS threshold, ROUND(cp * 1e0 / (cp + cn), 6) AS precision, ROUND(cp * 1e0 / pp, 6) AS recall
-FROM sb_sc, sb_tot""", _CURVE_SCORES))
+SELECT ROUND(score, 6) AS threshold, ROUND(cp * 1e0 / (cp + cn), 6) AS precision,
+  ROUND(cp * 1e0 / (SELECT pp FROM sb_tot), 6) AS recall
+FROM sb_sc""", _CURVE_SCORES))
 def q_pr_curve(spark, sf):
     c = M.curve_points(featured_base(spark, sf))
     return c.select(r6("threshold").alias("threshold"), r6("precision").alias("precision"),
@@ -125,12 +127,12 @@ def q_profit_curve(spark, sf):
 
 @register("optimal_threshold", with_base(f"""
 SELECT ROUND(b.t, 6) AS best_threshold, ROUND(b.profit, 4) AS best_profit, 0.5e0 AS baseline_threshold,
-  ROUND(h.profit, 4) AS baseline_profit, ROUND(z.profit, 4) AS treat_all_profit,
-  ROUND(b.profit - h.profit, 4) AS profit_uplift_vs_default,
+  ROUND((SELECT profit FROM sb_pp WHERE i = 50), 4) AS baseline_profit,
+  ROUND((SELECT profit FROM sb_pp WHERE i = 0), 4) AS treat_all_profit,
+  ROUND(b.profit - (SELECT profit FROM sb_pp WHERE i = 50), 4) AS profit_uplift_vs_default,
   ROUND({d(ECON.customer_value)}, 6) AS customer_value, {_COST} AS retention_offer_cost,
   {d(ECON.offer_success_rate)} AS offer_success_rate
-FROM (SELECT * FROM sb_pp ORDER BY profit DESC, i LIMIT 1) b,
-     (SELECT profit FROM sb_pp WHERE i = 50) h, (SELECT profit FROM sb_pp WHERE i = 0) z""", _CURVE))
+FROM (SELECT * FROM sb_pp ORDER BY profit DESC, i LIMIT 1) b""", _CURVE))
 def q_optimal_threshold(spark, sf):
     o = TH.optimize_threshold(featured_base(spark, sf), ECON)
     return o.select(r6("best_threshold").alias("best_threshold"), r6("best_profit", 4).alias("best_profit"),

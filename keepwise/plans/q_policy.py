@@ -28,19 +28,22 @@ sb_mm AS (SELECT MIN(MonthlyCharges) AS lo_mc, MAX(MonthlyCharges) AS hi_mc,
             MIN(num_services) AS lo_ns, MAX(num_services) AS hi_ns FROM sb),
 sb_u0 AS (
   SELECT s.*, LEAST(GREATEST(0e0 + 0.35e0 * is_month_to_month + 0.25e0 * (1 - is_autopay)
-      + 0.25e0 * (MonthlyCharges - m.lo_mc) / ((m.hi_mc - m.lo_mc) + 1e-9)
-      + 0.15e0 * (1e0 - (num_services - m.lo_ns) / ((m.hi_ns - m.lo_ns) + 1e-9)), 0e0), 1e0) AS responsiveness
-  FROM sb s, sb_mm m),
+      + 0.25e0 * (MonthlyCharges - (SELECT lo_mc FROM sb_mm))
+        / (((SELECT hi_mc FROM sb_mm) - (SELECT lo_mc FROM sb_mm)) + 1e-9)
+      + 0.15e0 * (1e0 - (num_services - (SELECT lo_ns FROM sb_mm))
+        / (((SELECT hi_ns FROM sb_mm) - (SELECT lo_ns FROM sb_mm)) + 1e-9)), 0e0), 1e0) AS responsiveness
+  FROM sb s),
 sb_u1 AS (SELECT *, churn_probability * responsiveness AS uplift_score FROM sb_u0),
 sb_med AS (SELECT QUANTILE_CONT(churn_probability, 0.5) AS mp, QUANTILE_CONT(responsiveness, 0.5) AS mr FROM sb_u1),
 sb_u AS (
-  SELECT u.*, CASE WHEN churn_probability >= mp AND responsiveness >= mr THEN '{U.CATEGORIES[0]}'
-                   WHEN churn_probability >= mp THEN '{U.CATEGORIES[1].replace("'", "''")}'
-                   WHEN responsiveness >= mr THEN '{U.CATEGORIES[2]}'
+  SELECT u.*, CASE WHEN churn_probability >= (SELECT mp FROM sb_med) AND responsiveness >= (SELECT mr FROM sb_med)
+                   THEN '{U.CATEGORIES[0]}'
+                   WHEN churn_probability >= (SELECT mp FROM sb_med) THEN '{U.CATEGORIES[1].replace("'", "''")}'
+                   WHEN responsiveness >= (SELECT mr FROM sb_med) THEN '{U.CATEGORIES[2]}'
                    ELSE '{U.CATEGORIES[3]}' END AS persuadable_category,
     CAST(ROW_NUMBER() OVER (ORDER BY uplift_score DESC, customerID) AS BIGINT) AS uplift_rank,
     CAST(GREATEST(1, FLOOR(COUNT(*) OVER () * 0.2e0)) AS BIGINT) AS n_target
-  FROM sb_u1 u, sb_med)"""
+  FROM sb_u1 u)"""
 
 
 UPLIFT_INPUTS = ["customerID", "churn_probability", "MonthlyCharges", "num_services", "is_month_to_month",
@@ -102,7 +105,8 @@ SELECT segment, n_customers, ROUND(avg_tenure, 6) AS avg_tenure, ROUND(avg_month
   CASE WHEN avg_churn_prob >= rm THEN 'High-risk' ELSE 'Low-risk' END AS segment_label,
   {_STRAT_SQL} AS recommended_strategy,
   ROUND(avg_churn_prob * avg_clv * n_customers, 4) AS total_value_at_risk
-FROM sb_seg, (SELECT QUANTILE_CONT(avg_churn_prob, 0.5) AS rm, QUANTILE_CONT(avg_clv, 0.5) AS vm FROM sb_seg) m""",
+FROM (SELECT *, (SELECT QUANTILE_CONT(avg_churn_prob, 0.5) FROM sb_seg) AS rm,
+        (SELECT QUANTILE_CONT(avg_clv, 0.5) FROM sb_seg) AS vm FROM sb_seg) t""",
     """
 sb_seg AS (
   SELECT CAST(o_orderkey % 4 AS INT) AS segment, CAST(COUNT(*) AS BIGINT) AS n_customers, AVG(tenure) AS avg_tenure,
