@@ -28,7 +28,22 @@ COX_COVARIATES = ["MonthlyCharges", "is_month_to_month", "is_autopay", "num_serv
 
 
 def km_table(df: DataFrame, duration: str = "tenure", event: str = "Churn",
-             group: str | None = None, max_times_per_group: int = 1_000_000) -> DataFrame:
+             group: str | None = None, max_times_per_group: int = 1_000_000,
+             include_zero: bool = False) -> DataFrame:
+    """See ``_km_table``; ``include_zero`` adds a (0, S=1) row where time 0 is not observed."""
+    km = _km_table(df, duration, event, group, max_times_per_group)
+    if not include_zero:
+        return km
+    keys = [group] if group else []
+    starts = km.groupBy(*keys).agg(F.min("timeline").alias("_first"), F.max("n_at_risk").alias("_n"))
+    zero = starts.where(F.col("_first") > 0).select(
+        *keys, F.lit(0.0).alias("timeline"), F.col("_n").alias("n_at_risk"),
+        F.lit(0).cast("long").alias("n_events"), F.lit(1.0).alias("survival"))
+    return km.unionByName(zero)
+
+
+def _km_table(df: DataFrame, duration: str, event: str, group: str | None,
+              max_times_per_group: int) -> DataFrame:
     """(group?, timeline, n_at_risk, n_events, survival) at every observed time.
 
     Rows are aggregated to one row per (group, time) first.  When every group

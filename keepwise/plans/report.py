@@ -34,6 +34,7 @@ from keepwise.plans.q_profile import CATEGORICAL as EDA_CATEGORICAL
 from keepwise.plans.q_profile import NUMERIC as EDA_NUMERIC
 from keepwise.session import materialize
 from keepwise.sources.sinks import write_dict, write_report
+from keepwise.sources.tables import select_present
 
 
 def run_reports(spark: SparkSession, data_dir: str, out_dir: str, params: ModelParams = ModelParams(),
@@ -90,15 +91,15 @@ def run_reports(spark: SparkSession, data_dir: str, out_dir: str, params: ModelP
     strategy = strategy_matrix(kmeans_segments(scored)).cache()
     write_report(strategy, out("retention_strategy_matrix"))
     uplift = U.uplift_targeting(scored, 0.2)
-    write_report(top_k(uplift, U.uplift_order(), 200).select(
-        "customerID", "churn_probability", "responsiveness", "uplift_score", "persuadable_category", "target"),
+    write_report(select_present(top_k(uplift, U.uplift_order(), 200), [
+        "customerID", "churn_probability", "responsiveness", "uplift_score", "persuadable_category", "target"]),
         out("uplift_targets"))
     assigned = PO.assign_actions(scored, econ)
     summary = PO.policy_summary(assigned, econ).cache()
     write_report(summary, out("intervention_policy_summary"))
-    write_report(top_k(assigned, [F.col("churn_probability").desc(), F.col("customerID")], 200).select(
+    write_report(select_present(top_k(assigned, [F.col("churn_probability").desc(), F.col("customerID")], 200), [
         "customerID", "Contract", "MonthlyCharges", "churn_probability", "clv", "recommended_action",
-        "expected_value_of_action"), out("intervention_recommendations"))
+        "expected_value_of_action"]), out("intervention_recommendations"))
     bands = spark.range(1).select(PO.band_boundaries(F.lit(econ.customer_value), econ).alias("b")).first()["b"]
     pol = {r["action"]: r for r in summary.collect()}
     n_pers = uplift.where(F.col("persuadable_category") == U.CATEGORIES[0]).count()

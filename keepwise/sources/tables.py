@@ -67,3 +67,9 @@ def read_customer_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw customer export (header CSV) with a fixed schema, no inference."""
     df = spark.read.schema(RAW_SCHEMA).option("header", True).csv(path)
     return require_columns(df)
+
+
+def select_present(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Project the wanted report columns that exist, in the wanted order."""
+    have = set(df.columns)
+    return df.select(*[c for c in columns if c in have])

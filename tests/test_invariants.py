@@ -256,3 +256,10 @@ def test_cox_matches_numpy_efron(spark):
     bucketed = {r["feature"]: r["coef"] for r in
                 SV.cox_ph(df, ["x1", "x2"], penalizer=0.1, max_window_times=3).collect()}
     assert bucketed["x1"] == pytest.approx(want[0], abs=1e-8)
+
+
+def test_kaplan_meier_include_zero(spark):
+    df = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "tenure int, Churn int")
+    rows = {r["timeline"]: r for r in SV.km_table(df, include_zero=True).collect()}
+    assert rows[0.0]["survival"] == 1.0 and rows[0.0]["n_at_risk"] == 3
+    assert rows[1.0]["survival"] == pytest.approx(2 / 3)
