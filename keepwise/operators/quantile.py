@@ -139,7 +139,10 @@ def kth_values(df: DataFrame, col: str, ranks: dict, by: Sequence[str] = (),
              .where(F.col("_x").isNotNull())
              .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        stats = src.groupBy(*by).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect()
+        stats = (src.groupBy(*by).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+                    .limit(max_states + 1).collect())
+        if len(stats) > max_states:
+            raise ValueError("too many groups for exact selection")
         bounds = {tuple(r[c] for c in by): (r["lo"], r["hi"]) for r in stats}
         return _search(src, by, ranks, bounds, buckets, max_states)
     finally:

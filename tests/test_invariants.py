@@ -263,3 +263,15 @@ def test_kaplan_meier_include_zero(spark):
     rows = {r["timeline"]: r for r in SV.km_table(df, include_zero=True).collect()}
     assert rows[0.0]["survival"] == 1.0 and rows[0.0]["n_at_risk"] == 3
     assert rows[1.0]["survival"] == pytest.approx(2 / 3)
+
+
+def test_average_precision_evaluator_on_vector_probabilities(spark):
+    from pyspark.ml.linalg import Vectors
+    from keepwise.models.evaluation import AveragePrecisionEvaluator
+    rng = np.random.default_rng(1)
+    y = rng.integers(0, 2, 300)
+    p = np.round(np.clip(0.3 * y + rng.uniform(0, 0.7, 300), 0, 1), 2)
+    df = spark.createDataFrame([(float(a), Vectors.dense([1 - b, b])) for a, b in zip(y, p)], ["label", "probability"])
+    ap, _ = _brute_ap_auc(y, p)
+    assert AveragePrecisionEvaluator().evaluate(df) == pytest.approx(ap, abs=1e-12)
+    assert AveragePrecisionEvaluator().isLargerBetter()
