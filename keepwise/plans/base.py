@@ -3,6 +3,7 @@ fixture scan -> clean -> engineered features (-> value columns)."""
 from __future__ import annotations
 
 import hashlib
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ _THRESHOLDS: dict[str, float] = {}
 # Written featured tables, one per input folder and process.
 _TABLES: dict[str, str] = {}
 _RUN = uuid.uuid4().hex[:12]
+# queries may be built from several threads: one writer per input folder
+_LOCK = threading.RLock()
 
 
 def raw_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,18 +40,20 @@ def cleaned_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffle and the cleaning run once per input instead of once per query;
     later queries still get column pruning and filter pushdown on the table.
     """
-    if sf_dir not in _TABLES:
-        tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-        path = scratch_path(spark, f"cleaned-{_RUN}-{tag}")
-        cleaned_plan(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _TABLES[sf_dir] = path
-    return spark.read.parquet(_TABLES[sf_dir])
+    with _LOCK:
+        if sf_dir not in _TABLES:
+            tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+            path = scratch_path(spark, f"cleaned-{_RUN}-{tag}")
+            cleaned_plan(spark, sf_dir).write.mode("overwrite").parquet(path)
+            _TABLES[sf_dir] = path
+        return spark.read.parquet(_TABLES[sf_dir])
 
 
 def premium_threshold(spark: SparkSession, sf_dir: str) -> float:
-    if sf_dir not in _THRESHOLDS:
-        _THRESHOLDS[sf_dir] = fit_premium_threshold(cleaned_base(spark, sf_dir))
-    return _THRESHOLDS[sf_dir]
+    with _LOCK:
+        if sf_dir not in _THRESHOLDS:
+            _THRESHOLDS[sf_dir] = fit_premium_threshold(cleaned_base(spark, sf_dir))
+        return _THRESHOLDS[sf_dir]
 
 
 def featured_base(spark: SparkSession, sf_dir: str) -> DataFrame:

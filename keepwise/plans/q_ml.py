@@ -8,6 +8,8 @@ per-round check stays bounded; the defaults reproduce the full settings.
 """
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import functions as F
 
 from keepwise.config import Economics
@@ -28,26 +30,29 @@ from keepwise.session import materialize
 ECON = Economics()
 CHECK_PARAMS = ModelParams(rf_trees=30, gbt_rounds=30)
 _CACHE: dict = {}
+_LOCK = threading.RLock()     # one training per folder even when queries run in parallel threads
 
 
 def split_table(spark, sf):
     key = ("split", sf)
-    if key not in _CACHE:
-        f = featured_base(spark, sf).drop("churn_probability")
-        _CACHE[key] = materialize(stratified_split(f))
-    return _CACHE[key]
+    with _LOCK:
+        if key not in _CACHE:
+            f = featured_base(spark, sf).drop("churn_probability")
+            _CACHE[key] = materialize(stratified_split(f))
+        return _CACHE[key]
 
 
 def trained(spark, sf):
     """(prepared split table, calibrated scorer) — fitted once per folder."""
     key = ("model", sf)
-    if key not in _CACHE:
-        data = materialize(prepare_training(split_table(spark, sf), "logistic_regression"))
-        model = calibrate(data.where(F.col("split") == "train"), "logistic_regression", ModelParams())
-        val = model.transform(data.where(F.col("split") == "val"))
-        t = TH.optimize_threshold(val, ECON).first()["best_threshold"]
-        _CACHE[key] = (data, ChurnScorer(model, t, premium_threshold(spark, sf)))
-    return _CACHE[key]
+    with _LOCK:
+        if key not in _CACHE:
+            data = materialize(prepare_training(split_table(spark, sf), "logistic_regression"))
+            model = calibrate(data.where(F.col("split") == "train"), "logistic_regression", ModelParams())
+            val = model.transform(data.where(F.col("split") == "val"))
+            t = TH.optimize_threshold(val, ECON).first()["best_threshold"]
+            _CACHE[key] = (data, ChurnScorer(model, t, premium_threshold(spark, sf)))
+        return _CACHE[key]
 
 
 @register("stratified_split")
