@@ -142,3 +142,21 @@ def test_csv_scan_with_fixed_schema_and_subset_check(spark, sf_dir, tmp_dir):
         raw.where(lenient_double("TotalCharges").isNull()).count()
     with pytest.raises(ValueError):
         require_columns(raw.drop("Contract"))
+
+
+def test_preprocessor_maps_unseen_levels_to_all_zeros(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    from keepwise.models.pipeline import preprocessor_stages
+    train = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (None, "a"), (4.0, None)], "x double, c string")
+    model = Pipeline(stages=preprocessor_stages(train, ["x"], ["c"])).fit(train)
+    rows = {r["c"]: r["v"] for r in model.transform(
+        spark.createDataFrame([(3.0, "a"), (3.0, "b"), (3.0, "zzz"), (None, None)], "x double, c string"))
+        .select("c", vector_to_array("features").alias("v")).collect()}
+    assert rows["a"][1:] == [1.0, 0.0] and rows["b"][1:] == [0.0, 1.0]
+    assert rows["zzz"][1:] == [0.0, 0.0]                 # unseen level -> all zeros
+    assert rows[None][1:] == [1.0, 0.0]                  # missing level -> training mode ("a")
+    # missing numeric -> training median (2.0) before scaling; same scaled value as an explicit 2.0
+    two = model.transform(spark.createDataFrame([(2.0, "a")], "x double, c string")) \
+        .select(vector_to_array("features").alias("v")).first()["v"][0]
+    assert rows[None][0] == pytest.approx(two)
