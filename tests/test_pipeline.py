@@ -160,3 +160,15 @@ def test_preprocessor_maps_unseen_levels_to_all_zeros(spark):
     two = model.transform(spark.createDataFrame([(2.0, "a")], "x double, c string")) \
         .select(vector_to_array("features").alias("v")).first()["v"][0]
     assert rows[None][0] == pytest.approx(two)
+
+
+def test_uplift_budget_flags_exactly_the_budget(spark, sf_dir):
+    u = QUERIES["uplift_budget"](spark, sf_dir)
+    n = u.count()
+    assert u.where("target").count() == max(1, int(n * 0.2))
+    ranks = sorted(r[0] for r in u.select("uplift_rank").collect())
+    assert ranks == list(range(1, n + 1))
+    # every targeted customer has an uplift score >= every untargeted one
+    lo_t = u.where("target").agg(F.min("uplift_score")).first()[0]
+    hi_u = u.where("NOT target").agg(F.max("uplift_score")).first()[0]
+    assert lo_t >= hi_u
