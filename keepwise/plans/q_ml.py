@@ -33,8 +33,13 @@ _CACHE: dict = {}
 _LOCK = threading.RLock()     # one training per folder even when queries run in parallel threads
 
 
+def _ctx(spark) -> int:
+    """Cached DataFrames belong to one SparkContext; a restarted session gets fresh ones."""
+    return id(spark.sparkContext._jsc)
+
+
 def split_table(spark, sf):
-    key = ("split", sf)
+    key = ("split", sf, _ctx(spark))
     with _LOCK:
         if key not in _CACHE:
             f = featured_base(spark, sf).drop("churn_probability")
@@ -44,7 +49,7 @@ def split_table(spark, sf):
 
 def trained(spark, sf):
     """(prepared split table, calibrated scorer) — fitted once per folder."""
-    key = ("model", sf)
+    key = ("model", sf, _ctx(spark))
     with _LOCK:
         if key not in _CACHE:
             data = materialize(prepare_training(split_table(spark, sf), "logistic_regression"))
