@@ -10,10 +10,6 @@ RISK_TIER_EDGES = (-0.01, 0.3, 0.6, 1.01)
 RISK_TIER_LABELS = ("Low", "Medium", "High")
 
 
-def sigmoid(x: Column) -> Column:
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
-
-
 def clip(x: Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(x, F.lit(float(lo))), F.lit(float(hi)))
 

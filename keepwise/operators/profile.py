@@ -10,23 +10,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from keepwise.operators.quantile import column_quantiles, exact_quantiles
 
 TENURE_BAND_EDGES = [0, 6, 12, 24, 48, 72]
 
 
-def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    return [f.name for f in df.schema.fields
-            if isinstance(f.dataType, T.StringType) and f.name not in exclude]
-
-
-def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    return [f.name for f in df.schema.fields
-            if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
-
-
 def unpivot_levels(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Long (keep..., feature, level) rows for the given columns (as text)."""
     wide = df.select(*keep, *[F.col(c).cast("string").alias(c) for c in cols])

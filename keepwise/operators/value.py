@@ -12,15 +12,6 @@ VAR_REPORT_COLUMNS = ["customerID", "Contract", "MonthlyCharges", "tenure",
                       "churn_probability", "clv", "expected_value_at_risk", "priority_rank"]
 
 
-def contract_horizon(contract: Column) -> Column:
-    """Months of value by contract type, unknown contracts get the default."""
-    expr = None
-    for name, months in CONTRACT_HORIZON.items():
-        expr = (F.when(contract == name, F.lit(months)) if expr is None
-                else expr.when(contract == name, F.lit(months)))
-    return expr.otherwise(F.lit(DEFAULT_HORIZON))
-
-
 def clv(econ: Economics = Economics(), contract: str = "Contract",
         charges: str = "MonthlyCharges") -> Column:
     """Present value of the monthly margin over the contract horizon.

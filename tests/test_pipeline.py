@@ -79,6 +79,9 @@ def test_report_sinks(spark, sf_dir, tmp_dir):
     out = write_report(QUERIES["policy_summary"](spark, sf_dir), os.path.join(tmp_dir, "policy"))
     assert len(glob.glob(os.path.join(out, "part-*.csv"))) == 1
     write_dict(spark, {"a": 1.5}, os.path.join(tmp_dir, "summary"))
+    from keepwise.sources.sinks import write_record
+    rec = write_record(QUERIES["optimal_threshold"](spark, sf_dir), os.path.join(tmp_dir, "threshold"))
+    assert spark.read.json(rec).count() == 1
     assert glob.glob(os.path.join(tmp_dir, "summary", "part-*"))
     processed = build_processed_dataset(raw_base(spark, sf_dir), os.path.join(tmp_dir, "processed"))
     assert processed.count() == raw_base(spark, sf_dir).count()
