@@ -10,8 +10,10 @@ Documents with equal shingle sets are one class; tables hold one row per class.
 In each bucket, classes meet the bucket's smallest and largest class id (a star,
 not all pairs).  Buckets of more than three classes that still span several
 components go through an exact prefix-filter join: two sets with Jaccard >= s
-share one of their rarest ``n - ceil(s n) + 1`` shingles.  Every candidate is
-confirmed on both full sets before it links anything.
+share one of their rarest ``n - ceil(s n) + 1`` shingles. Bitmaps of both sets
+bound their overlap from above (no more shingles in common than common bits and
+those that share a bit with another of their own set), so pairs that cannot reach s never leave that join. Every
+candidate is confirmed on both full sets before it links anything.
 """
 from __future__ import annotations
 
@@ -33,6 +35,7 @@ _MIX = np.random.default_rng(20240229).integers(1, 2**63, size=256, dtype=np.uin
 _BLOCK = 1 << 16
 _CLASS_SALTS = 1024
 _HUB_SALTS = 8
+_BITMAP_WORDS = 12
 
 
 def _scramble(x: np.ndarray) -> np.ndarray:
@@ -93,6 +96,22 @@ def _set_rows(k: int):
     return run
 
 
+def _unpacked(batches):
+    """id, set bytes -> id, shingles, bitmap of ``64 * _BITMAP_WORDS`` hashed places, shingles beyond its bits."""
+    for batch in batches:
+        shingles, bitmaps, beyond = [], [], []
+        for s in batch.column(1).to_pylist():
+            x = np.frombuffer(s, np.uint64)
+            bits = np.zeros(64 * _BITMAP_WORDS, np.uint8)
+            bits[(x % np.uint64(len(bits))).astype(np.int64)] = 1
+            shingles.append(x.view(np.int64))
+            bitmaps.append(np.packbits(bits).view(np.int64))
+            beyond.append(len(x) - int(bits.sum()))
+        longs = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shingles, longs), pa.array(bitmaps, longs), pa.array(beyond, pa.int64())],
+                                         names=["rep", "shingles", "bitmap", "beyond"])
+
+
 def _confirm(num: int, den: int):
     def run(batches):
         for batch in batches:
@@ -127,9 +146,9 @@ def _rest(multi: DataFrame, roots: DataFrame, sets: DataFrame, done: DataFrame,
     open_keys = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
     unsettled = saved(known.join(open_keys.select("key"), "key", "left_semi")
                       .groupBy("rep").agg(F.first("root").alias("root"), F.first("n").alias("n")), "unsettled")
-    longs = F.udf(lambda s: np.frombuffer(s, np.int64).tolist(), "array<long>", useArrow=True)
-    shingles = saved(unsettled.join(sets.withColumnRenamed("id", "rep"), "rep")
-                     .select("rep", "root", "n", F.explode(longs("s")).alias("shingle")), "shingles")
+    unpacked = saved(sets.join(unsettled.select(F.col("rep").alias("id")), "id", "left_semi")
+                     .mapInArrow(_unpacked, "rep long, shingles array<long>, bitmap array<long>, beyond long").join(unsettled, "rep"), "unpacked")
+    shingles = unpacked.select("rep", "root", "n", F.explode("shingles").alias("shingle"))
     shared = shingles.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
     mine = Window.partitionBy("rep")
     prefix = (shingles.join(shared, "shingle")
@@ -138,12 +157,16 @@ def _rest(multi: DataFrame, roots: DataFrame, sets: DataFrame, done: DataFrame,
               .filter(F.expr(f"at + alone <= n - cast(ceil({num} * n / {den}) as long) + 1"))
               .select("shingle", "rep", "root", "n"))
     mixed = prefix.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
-    prefix = saved(prefix.join(mixed.select("shingle"), "shingle", "left_semi"), "prefix")
-    one = prefix.select("shingle", *(F.col(c).alias(f"a_{c}") for c in ("rep", "root", "n")))
-    two = prefix.select("shingle", *(F.col(c).alias(f"b_{c}") for c in ("rep", "root", "n")))
+    prefix = (saved(prefix.join(mixed.select("shingle"), "shingle", "left_semi").select("shingle", "rep"), "prefix")
+              .join(unpacked.select("rep", "root", "n", "beyond", *(F.coalesce(F.col("bitmap")[i], F.lit(0)).alias(f"w{i}") for i in range(_BITMAP_WORDS))), "rep"))
+    columns = [c for c in prefix.columns if c != "shingle"]
+    one = prefix.select("shingle", *(F.col(c).alias(f"a_{c}") for c in columns))
+    two = prefix.select("shingle", *(F.col(c).alias(f"b_{c}") for c in columns))
+    common_bits = " + ".join(f"bit_count(a_w{i} & b_w{i})" for i in range(_BITMAP_WORDS))
+    overlap = f"(least(a_beyond, b_beyond) + {common_bits})"
     return (one.join(two, "shingle")
             .filter((F.col("a_rep") < F.col("b_rep")) & (F.col("a_root") != F.col("b_root"))
-                    & _sizes_fit("a_n", "b_n", num, den))
+                    & _sizes_fit("a_n", "b_n", num, den) & F.expr(f"({den} + {num}) * {overlap} >= {num} * (a_n + b_n)"))
             .select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
             .join(done, ["a", "b"], "left_anti"))
 
