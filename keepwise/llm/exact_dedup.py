@@ -49,12 +49,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                                      F.sha2("norm", 256).alias("text_sha256")), "hashes"), "doc_id", _SALTS)
     groups, pairs = _groups(rows, ["hash"])
     groups = saved(groups, "groups")
-    alone = (fan_out(rows, pairs, groups, ["hash"]).filter("group_size = 1")
+    alone = (fan_out(rows, pairs, groups.hint("merge"), ["hash"]).filter("group_size = 1")
              .select("doc_id", "keep_id", "group_size", "text_sha256"))
 
+    # these tables grow with the input, so they are shuffled at every size
     shared = saved(pairs.join(groups.filter("group_size > 1"), "hash"), "shared")
     members = saved(salted(texts.withColumn("hash", content_hash(F.col("norm"))), "doc_id", _SALTS)
-                    .join(shared, ["hash", "_salt"]).select("hash", "_salt", "doc_id", "chars", "norm", "keep_id"), "members")
+                    .join(shared.hint("merge"), ["hash", "_salt"]).select("hash", "_salt", "doc_id", "chars", "norm", "keep_id"), "members")
     keepers = (members.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
                .groupBy("hash").agg(F.min("norm").alias("kept_norm")))
     compared = members.join(shared.select("hash", "_salt").join(keepers, "hash"), ["hash", "_salt"])

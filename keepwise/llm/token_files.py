@@ -9,6 +9,7 @@ decoding the rest; files are written and read through Spark, on any store.
 """
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -120,33 +121,36 @@ class Encoder:
     pre-tokenisation always cuts there, so the parts' ids in a row are the text's ids."""
 
     _EDGE = "!-~À-ɏ"
-    _MOST_PARTS = 400_000
+    _MOST_PARTS = 1_000_000
 
     def __init__(self, path: str):
+        # Spark's tasks are the parallelism
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cut = re.compile(f"(?<=[{self._EDGE}]) (?=[{self._EDGE}])")
-        self.plain = re.compile(f"[{self._EDGE}](?:.*[{self._EDGE}])?", re.DOTALL)
+        self.edge = re.compile(f"[{self._EDGE}]").fullmatch
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
+        self.odd: set[str] = set()  # words beside whose blanks a text may not always be cut
         self.ids, self.starts = array("I"), array("Q", [0])
 
-    def _parts(self, text: str) -> list[str]:
-        words = text.split(" ")
-        if all(map(self.number.__contains__, words)) or all(map(self.plain.fullmatch, words)):
-            return words
-        return self.cut.split(text)
+    def _parts(self, texts: list[str]) -> list[list[str]]:
+        words = [t.split(" ") for t in texts]
+        fresh = set().union(*words).difference(self.number)
+        self.odd.update(w for w in fresh if not (w and self.edge(w[0]) and self.edge(w[-1])))
+        return [w if self.odd.isdisjoint(w) else self.cut.split(t) for t, w in zip(texts, words)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.number) > self._MOST_PARTS:
+        if len(self.number) + len(self.odd) > self._MOST_PARTS:
             self.clear()
-        parts = [self._parts(t) for t in texts]
+        parts = self._parts(texts)
         # the first part of a text has no blank before it
         firsts = [e.ids for e in self.tokenizer.encode_batch_fast([p[0] for p in parts], add_special_tokens=False)]
-        new = list({w for p in parts for w in p[1:] if w not in self.number})
+        new = list(set().union(*(p[1:] for p in parts)).difference(self.number))
         for w, e in zip(new, self.tokenizer.encode_batch_fast([" " + w for w in new], add_special_tokens=False)):
             self.number[w] = len(self.starts) - 1
             self.ids.extend(e.ids)
@@ -225,8 +229,9 @@ def _digests(batches):
             starts = ends - sizes
             crcs = [zlib.crc32(values[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row["doc_ids"], pa.int64()), pa.array(starts + row["offset"], pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                [pa.array([row[k]] * len(sizes), pa.int32()) for k in ("shard", "block")]
+                + [pa.array(row["doc_ids"], pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64())],
+                names=["shard", "block", "doc_id", "at", "n_tokens", "ids_crc32"])
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -239,7 +244,9 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     inside = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (sizes.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(base, "shard")
                .select("shard", "block", (F.col("base") + F.col("inside")).alias("offset")))
-    return blocks.join(offsets, ["shard", "block"]).mapInArrow(_digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return (blocks.mapInArrow(_digests, "shard int, block int, doc_id long, at long, n_tokens long, ids_crc32 long")
+            .join(offsets, ["shard", "block"])
+            .select("doc_id", (F.col("offset") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"))
 
 
 def count_token(spark: SparkSession, path: str, token: int) -> DataFrame:
