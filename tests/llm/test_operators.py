@@ -1,0 +1,239 @@
+"""Small tables against brute force, and awkward rows: nulls, blanks, long texts, repeats, clashing columns, no rows."""
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+pytest.importorskip("keepwise.llm.queries")
+from keepwise.llm import (decontamination, exact_dedup, license_scan, mixing, near_dup, secrets, token_counts,  # noqa: E402
+                          token_files, toxicity, url_rules)
+from keepwise.llm.queries import tokenizer_file  # noqa: E402
+
+RNG = random.Random(5)
+VOCAB = ["".join(RNG.choices("abcdefghij", k=RNG.randint(2, 7))) for _ in range(300)]
+LONG = " ".join(RNG.choices(VOCAB, k=30_000))
+BASE = RNG.choices(VOCAB, k=60)
+COPY = BASE[:30] + ["changed"] + BASE[31:]
+ROWS = [(1, " ".join(BASE), "b"), (2, " ".join(COPY), None), (3, None, "b"), (4, "", "a"), (5, " \t\n ", None), (6, LONG, "a"),
+        (7, " ".join(BASE).upper() + "  ", "a"), (7, " ".join(BASE).upper() + "  ", "a"), (None, "one two three", "a"),
+        (8, "é漢字 <|endoftext|> x\u0085 y", "c"), (9, "word", "c"), (10, " ".join(RNG.choices(VOCAB, k=80)), "c")]
+EXTRA = ("score double, kept int, _salt string, hash int, rep int, token string, window int, copies int, bucket int, size int, "
+         "features int, label int, start int, n int, root int, value int")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    width = len(EXTRA.split(","))
+    return spark.createDataFrame([(*r, *[None] * width) for r in ROWS], f"doc_id long, text string, source string, {EXTRA}")
+
+
+@pytest.fixture(scope="module")
+def nothing(docs):
+    return docs.filter("false")
+
+
+def brute_components(rows, k, num):
+    sets = {}
+    for i, t, *_ in rows:
+        w = re.findall("[^\x20\x09-\x0d]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets[i] = {tuple(w[j:j + k]) for j in range(max(1, len(w) - k + 1))} if w else set()
+    root = {i: i for i in sets if i is not None}
+    changed = True
+    while changed:
+        changed = False
+        for a in root:
+            for b in root:
+                both = len(sets[a] & sets[b])
+                if both and 100 * both >= num * len(sets[a] | sets[b]) and root[a] != root[b]:
+                    root[a] = root[b] = min(root[a], root[b])
+                    changed = True
+    return root, {i: len(s) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("k, num", [(3, 85), (5, 80)])
+def test_near_duplicates(docs, k, num):
+    got = near_dup.near_duplicates(docs, k=k, num=num).collect()
+    root, size = brute_components(ROWS, k, num)
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in ROWS)
+    assert all(r.component_id == root.get(r.doc_id) and r.n_shingles == size[r.doc_id] for r in got)
+    assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
+
+
+def test_near_duplicates_of_drifting_copies(spark):
+    """Chains of edits: members far from the hub still link through their neighbours."""
+    rows, words, rng = [], RNG.choices(VOCAB, k=120), random.Random(3)
+    for i in range(60):
+        rows.append((i, " ".join(words)))
+        words = list(words)
+        for at in rng.sample(range(120), 1 + i % 4):
+            words[at] = rng.choice(VOCAB)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(frame, k=3, num=85).collect()}
+    assert got == brute_components(rows, 3, 85)[0]
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_exact_duplicates(docs, weak):
+    kind = (lambda c: exact_dedup.md5_128(c).substr(1, 0)) if weak else exact_dedup.md5_128
+    got = exact_dedup.exact_duplicates(docs, content_hash=kind).collect()
+    norm = [(i, re.sub("[\x20\x09-\x0d]", "", t or ""), len(t or "")) for i, t, _ in ROWS]
+    assert len(got) == len(ROWS)
+    for r in got:
+        text = next(n for i, n, _ in norm if i == r.doc_id)
+        group = [(i, c) for i, n, c in norm if n == text]
+        best = min(group, key=lambda x: (-x[1], x[0] is None, x[0] or 0))[0]
+        assert (r.group_size, r.keep_id, r.text_sha256) == (len(group), best, hashlib.sha256(text.encode()).hexdigest())
+        assert r.kept == (r.doc_id == best)
+
+
+def test_mixing(docs):
+    got = mixing.mix(docs, block_words=64).collect()
+    assert len(got) == len(ROWS)
+    totals = {}
+    for r in got:
+        totals.setdefault(r.source, [r.source_size, r.target, 0])[2] += r.taken
+        assert 0 <= r.taken <= 2 * r.size
+    sizes = sum(t[0] for t in totals.values())
+    assert sum(t[1] for t in totals.values()) == pytest.approx(1.5 * sizes)
+    assert all(abs(t[1] - t[2]) <= 1 and t[1] <= 2 * t[0] + 1e-6 for t in totals.values())
+    again = mixing.mix(docs.repartition(5), block_words=64).collect()
+    key = lambda r: (str(r.doc_id), r.taken, str(r.first_slot))
+    assert sorted(map(key, got)) == sorted(map(key, again))
+    assert mixing.mixed_documents(docs).columns == docs.columns
+
+
+def test_decontamination(spark, docs):
+    item = "Tom bought 12 apples and 5 pears at the market for 30 dollars before Tom walked home along the river bank"
+    other = item.replace("Tom", "Anna").replace("12", "17").replace("30", "44")
+    torn = item.replace("Tom walked", "Bob walked")
+    bench = spark.createDataFrame([(1, item, 0), (2, None, 0), (3, "", 0), (4, "seven little words make one short item", 0), (1, item, 0)],
+                                  "item_id long, text string, at int")
+    rows = [(20, f"Some text first. {item}. And more"), (21, f"xx {other} yy"), (22, torn), (23, "A seven little words make one short item here."),
+            (24, "Tom bought 12 apples"), (None, item), (25, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").unionByName(docs, allowMissingColumns=True)
+    got = {(r.doc_id, r.item_id): r.exact for r in decontamination.contaminated(frame, bench).collect()}
+    assert got == {(20, 1): True, (21, 1): False, (23, 4): True, (None, 1): True}
+    kept = decontamination.without_benchmark(frame, bench)
+    assert {20, 21, 23, None}.isdisjoint({r.doc_id for r in kept.filter("doc_id > 19").collect()}) and kept.columns == frame.columns
+    assert decontamination.contaminated(frame, bench.filter("false")).count() == 0
+
+
+def test_url_rules(spark):
+    urls = ["http://A.org/x", "https://example.org/es/1", "http://www.example.org/en/12?x", "http://b.com/fr/", "http://b.com/de/1", "http://b.com/en/",
+            "http://free-bets.b.net/en", "http://notorg/", "no url", None, "", "x://my.org", "http://spam-farm.org/", "ftp://a.com:80/de/", "http://a.net/spam"]
+    frame = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)] + [(0, urls[0], "h")], "page_id long, url string, host string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_rules.judge_urls(frame).collect()}
+    assert len(got) == len(urls)
+    rules = [got[i][2:] for i in range(len(urls))]
+    assert rules == [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"),
+                     (None, "allow"), (None, "block"), (None, "allow"), (None, "allow"), (None, "allow"), (None, "allow"), (None, "allow"),
+                     ("org/", "allow"), (None, "allow"), (None, "allow")]
+    assert got[0][:2] == ("a.org", "/x") and got[2][:2] == ("www.example.org", "/en/12") and got[9][:2] == ("", "")
+
+
+def test_license_scan(spark, docs):
+    texts = {1: "Blah. Released under the MIT License.", 2: "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+             "Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version.",
+             3: "either version 3 of the license, or at your option any later version.", 4: "licensed under CC BY-NC 4.0.\nLicensed under the Apache License, Version 2.0", 5: None}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in license_scan.scan_licenses(frame).collect()}
+    assert got == {1: "MIT", 2: "GPL-3.0", 3: "", 4: "Apache-2.0,CC-BY-NC-4.0", 5: ""}
+    assert license_scan.scan_licenses(docs).count() == len(ROWS)
+
+
+def test_token_counts(docs):
+    path = tokenizer_file("piece_bpe_32k.model")
+    model = token_counts.UnigramModel(path)
+    got = token_counts.count_tokens(docs, path).collect()
+    want = Counter((i, len(token_counts.pre_tokens(t)), sum(map(model.pieces, token_counts.pre_tokens(t)))) for i, t, _ in ROWS)
+    assert Counter(tuple(r) for r in got) == want
+    trie = token_counts.PrefixTrie(model)
+    words = VOCAB + ["▁" + w for w in VOCAB] + ["漢字", "x" * 500]
+    assert [trie.pieces(w) for w in words] == [model.pieces(w) for w in words]
+
+
+def test_token_files(spark, docs, tmp_dir):
+    from tokenizers import Tokenizer
+    path = tokenizer_file("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    out = f"{tmp_dir}/tokens"
+    got = [tuple(r) for r in token_files.token_digests(docs, path, out, block_tokens=500).orderBy("start").collect()]
+    want, at = [], 0
+    for i, t, _ in sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = plain.encode(t or "", add_special_tokens=False).ids + [2]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert got == want
+    assert token_files.count_token(spark, out, 2).agg({"occurrences": "sum"}).first()[0] >= len(ROWS)
+
+
+def test_wavelet_matrix():
+    values = np.random.default_rng(1).integers(0, 700, 3000).astype(np.uint32)
+    m = token_files.WaveletMatrix.build(values)
+    assert (m.values() == values).all() and [m.access(i) for i in range(0, 3000, 37)] == values[::37].tolist()
+    for token in (0, 5, 699, 5000):
+        places = np.flatnonzero(values == token)
+        assert m.count(token) == len(places) and m.count(token, 100, 900) == ((places >= 100) & (places < 900)).sum()
+        assert [m.select(token, k) for k in range(len(places))] == places.tolist()
+    assert len(token_files.WaveletMatrix.build(values[:0]).values()) == 0
+
+
+def test_toxicity(spark, docs):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choices(VOCAB, k=30) + (["rotten" + rng.choice("abcdefgh"), "scoundrel"][i % 8 == 0:][:1] if i % 4 == 0 else [])), int(i % 4 == 0))
+            for i in range(100, 1300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    learn = toxicity.in_training()
+    model = toxicity.fit_toxicity(frame.filter(learn), frame.filter(learn).select("doc_id", "toxic"))
+    scored = toxicity.with_score(frame.filter(~learn), model).collect()
+    assert np.mean([(r.score >= 0.7) == (r.toxic == 1) for r in scored]) > 0.95
+    awkward = toxicity.with_score(docs.drop("score"), model).collect()
+    assert len(awkward) == len(ROWS) and all(0 <= r.score <= 1 for r in awkward)
+    blank = toxicity.fit_toxicity(docs, frame.select("doc_id", "toxic").filter("false"))
+    assert {r.score for r in toxicity.with_score(docs.drop("score"), blank).collect()} == {0.5}
+
+
+def test_secrets(spark, docs):
+    rng = random.Random(2)
+    hexa = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    rows = []
+    for i in range(300):
+        text = [f"see password={hexa(18)} there", f'use token = "{hexa(40)}" here', f"build-20240101-{i:06d} done", f"http://host/path/item{i:08d}/x"][i % 4]
+        rows.append((i, "some words " + text))
+    found = secrets.find_candidates(spark.createDataFrame(rows, "doc_id long, text string"))
+    judged = {r.doc_id: r.secret for r in secrets.scan_secrets(found, found.filter("doc_id % 3 != 1")).collect()}
+    assert np.mean([judged[i] == (i % 4 < 2) for i in judged if i % 3 == 1]) > 0.95
+    none = secrets.find_candidates(docs)
+    assert secrets.scan_secrets(none, none).count() == none.count()
+
+
+def test_empty_tables(spark, nothing):
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert near_dup.near_duplicates(nothing).count() == 0
+    assert exact_dedup.exact_duplicates(nothing).count() == 0
+    assert mixing.mix(nothing).count() == 0
+    assert mixing.mixed_documents(nothing).count() == 0
+    assert license_scan.scan_licenses(nothing).count() == 0
+    assert token_counts.count_tokens(nothing, tokenizer_file("piece_bpe_32k.model")).count() == 0
+    assert token_files.token_digests(nothing, tokenizer_file("byte_bpe_50k.json")).count() == 0
+    assert toxicity.with_score(nothing, toxicity.fit_toxicity(nothing, labels)).count() == 0
+    assert url_rules.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+    found = secrets.find_candidates(nothing)
+    assert secrets.scan_secrets(found, found).count() == 0
+
+
+def test_pipeline_stages(spark, sf_dir):
+    import corpus_pipeline
+    from keepwise.llm.common import saved, table
+    docs = table(spark, sf_dir, "documents")
+    columns, counts = docs.columns, [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = saved(stage(spark, docs, sf_dir), "stage")
+        assert docs.columns == columns, name
+        counts.append(docs.count())
+    assert counts[0] >= counts[1] >= counts[2] >= counts[3] > 0.7 * counts[0]
+    assert corpus_pipeline.STAGES[4][1](spark, docs, sf_dir).count() == counts[4]
