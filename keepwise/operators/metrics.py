@@ -21,27 +21,29 @@ from keepwise.session import materialize
 
 
 def prefix_sums(df: DataFrame, order_col: str, cols: Sequence[str], descending: bool = False,
-                n_buckets: int = 1024, suffix: str = "_cum", by: Sequence[str] = ()) -> DataFrame:
+                bucket_rows: int = 50_000, suffix: str = "_cum", by: Sequence[str] = ()) -> DataFrame:
     """Inclusive running sums of ``cols`` in ``order_col`` order, per ``by`` group.
 
-    ``order_col`` values must be distinct within a group.  Bucket edges are
-    approximate quantiles of the order column, so every (group, bucket)
-    window holds a bounded slice of the rows.
+    ``order_col`` values must be distinct within a group; NULL and NaN have no
+    place in the order and are left out.  Bucket edges are approximate quantiles
+    of the order column, as many as ``bucket_rows`` rows a bucket ask for, so a
+    (group, bucket) window stays as small when the data grow.
     """
     by = list(by)
     key = F.col(order_col).cast("double")
     # the edges, the bucket totals and the running sums all read this input:
     # checkpoint it once instead of re-running its (aggregating) lineage three times
-    work = materialize(df.withColumn("_key", -key if descending else key))
+    work = materialize(df.where(key.isNotNull() & ~F.isnan(key)).withColumn("_key", -key if descending else key))
+    n_buckets = -(-work.count() // bucket_rows)
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = sorted(set(work.approxQuantile("_key", probs, 1e-3))) if probs else []
+    edges = sorted(set(work.approxQuantile("_key", probs, 0.25 / n_buckets))) if probs else []
     if edges:
         splits = [float("-inf"), *edges, float("inf")]
         work = Bucketizer(splits=splits, inputCol="_key", outputCol="_bk").transform(work)
     else:
         work = work.withColumn("_bk", F.lit(0.0))
     totals = work.groupBy(*by, "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    # one row per (group, bucket): the offset window is bounded by n_buckets per group
+    # one row per (group, bucket)
     before = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*by, "_bk", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0))
                                           .alias(f"_o_{c}") for c in cols])
@@ -58,7 +60,9 @@ def score_table(df: DataFrame, label: str = "Churn", prob: str = "churn_probabil
 
     ``resolution`` (decimals) merges scores closer than float noise, so curve
     points do not depend on last-bit differences of ``exp`` implementations.
+    Rows without a score or label (NULL, NaN) are no part of any ranking.
     """
+    df = df.where(F.col(prob).isNotNull() & ~F.isnan(F.col(prob).cast("double")) & F.col(label).isNotNull())
     score = F.col(prob) if resolution is None else F.round(F.col(prob), resolution)
     agg = df.groupBy(*by, score.alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("n_pos"), F.count_if(F.col(label) == 0).alias("n_neg"))
@@ -84,7 +88,8 @@ def ranking_metrics(df: DataFrame, label: str = "Churn", prob: str = "churn_prob
 def curve_points(df: DataFrame, label: str = "Churn", prob: str = "churn_probability",
                  resolution: int | None = 12) -> DataFrame:
     """ROC and PR points at every distinct score threshold (score >= threshold)."""
-    tot = df.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()
+    scored = df.where(F.col(prob).isNotNull() & ~F.isnan(F.col(prob).cast("double")))
+    tot = scored.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()
     n_pos, n_neg = float(tot["p"]), float(tot["n"])
     st = score_table(df, label, prob, resolution)
     tp, fp = F.col("n_pos_cum"), F.col("n_neg_cum")

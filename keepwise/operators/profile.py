@@ -17,9 +17,9 @@ TENURE_BAND_EDGES = [0, 6, 12, 24, 48, 72]
 
 
 def unpivot_levels(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """Long (keep..., feature, level) rows for the given columns (as text)."""
+    """Long (keep..., feature, level) rows for the given columns (as text); missing values are no level."""
     wide = df.select(*keep, *[F.col(c).cast("string").alias(c) for c in cols])
-    return wide.unpivot(list(keep), list(cols), "feature", "level")
+    return wide.unpivot(list(keep), list(cols), "feature", "level").where(F.col("level").isNotNull())
 
 
 def class_balance(df: DataFrame, label: str = "Churn") -> DataFrame:

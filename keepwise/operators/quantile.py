@@ -14,8 +14,8 @@ bucket rows per open rank), so one row per rank reaches the driver.
 
 All groups and ranks advance together, so the number of Spark jobs does not
 grow with the number of columns or groups.  The projected (group, value)
-input is persisted for the passes.  The number of (group, rank) states is
-checked against ``max_states`` because the state travels as a broadcast.
+input is persisted for the passes.  The (group, rank) states are broadcast up
+to ``BROADCAST_STATES`` rows and shuffled beyond; NULL and NaN have no rank.
 """
 from __future__ import annotations
 
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 65536
+BROADCAST_STATES = 200_000
 MAX_PASSES = 40
 
 
@@ -43,31 +44,29 @@ def _interpolate(vals: dict, g, pos) -> float:
 
 
 def _search(src: DataFrame, by: list[str], ranks: dict, bounds: dict,
-            buckets: int, max_states: int) -> dict:
+            buckets: int) -> dict:
     spark = src.sparkSession
     state = {}
     for g, rs in ranks.items():
         lo, hi = bounds[g]
         for k in rs:
             state[(g, k)] = [lo, hi, 0]
-    if len(state) > max_states:
-        raise ValueError(f"{len(state)} quantile states exceed max_states={max_states}")
     done = {key: s[0] for key, s in state.items() if s[0] == s[1]}
 
     def bucket(lo, hi):
         return F.least(F.lit(buckets - 1),
-                       F.floor((F.col("_x") - lo) / (hi - lo) * F.lit(float(buckets))).cast("int"))
+                       F.floor((F.col("_x") / 2 - lo / 2) / (hi / 2 - lo / 2) * F.lit(float(buckets))).cast("int"))
 
     for _ in range(MAX_PASSES):
         open_keys = [key for key in state if key not in done]
         if not open_keys:
             break
         if by:
-            # equi-join on the group key with the (size-checked) search state
+            # equi-join on the group key with the search state, broadcast up to BROADCAST_STATES rows
             rows = [tuple(g) + (i, float(state[(g, k)][0]), float(state[(g, k)][1]))
                     for i, (g, k) in enumerate(open_keys)]
             st = spark.createDataFrame(rows, schema=[*by, "_sid", "_lo", "_hi"])
-            j = (src.join(F.broadcast(st), on=[src[c].eqNullSafe(st[c]) for c in by], how="inner")
+            j = (src.join(F.broadcast(st) if len(rows) <= BROADCAST_STATES else st, on=[src[c].eqNullSafe(st[c]) for c in by], how="inner")
                     .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
                     .select("_x", "_sid", bucket(F.col("_lo"), F.col("_hi")).alias("_b")))
         else:
@@ -87,7 +86,7 @@ def _search(src: DataFrame, by: list[str], ranks: dict, bounds: dict,
                                         "_sid int, _target long")
         # <= B bucket rows per open rank: the running count is a bounded window
         run = Window.partitionBy("_sid").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-        picked = (hist.join(F.broadcast(targets), "_sid")
+        picked = (hist.join(F.broadcast(targets) if len(open_keys) <= BROADCAST_STATES else targets, "_sid")
                       .withColumn("_cum", F.sum("n").over(run))
                       .where((F.col("_cum") - F.col("n") <= F.col("_target")) & (F.col("_target") < F.col("_cum")))
                       .select("_sid", (F.col("_cum") - F.col("n")).alias("before"), "bmin", "bmax")
@@ -104,47 +103,43 @@ def _search(src: DataFrame, by: list[str], ranks: dict, bounds: dict,
 
 
 def quantiles_by(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-                 max_states: int = 200_000, buckets: int = BUCKETS) -> dict:
+                 buckets: int = BUCKETS) -> dict:
     """Exact quantiles of ``col`` per group: {group tuple: [value per prob]}.
 
     Groups with no non-null value are absent from the result.
     """
     by = list(by)
     src = (df.select(*[F.col(c) for c in by], F.col(col).cast("double").alias("_x"))
-             .where(F.col("_x").isNotNull())
+             .where(F.col("_x").isNotNull() & ~F.isnan("_x"))
              .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         stats = (src.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"),
                                       F.max("_x").alias("hi"))
-                    .limit(max_states + 1).collect())
-        if len(stats) * max(1, 2 * len(probs)) > max_states:
-            raise ValueError("too many groups for exact quantiles; use percentile_approx")
+                    .collect())
         bounds, pos, ranks = {}, {}, {}
         for r in stats:
             g = tuple(r[c] for c in by)
             bounds[g] = (r["lo"], r["hi"])
             pos[g] = [_positions(r["n"], q) for q in probs]
             ranks[g] = {k for lo, hi, _ in pos[g] for k in (lo, hi)}
-        vals = _search(src, by, ranks, bounds, buckets, max_states) if ranks else {}
+        vals = _search(src, by, ranks, bounds, buckets) if ranks else {}
         return {g: [_interpolate(vals, g, p) for p in pos[g]] for g in pos}
     finally:
         src.unpersist()
 
 
 def kth_values(df: DataFrame, col: str, ranks: dict, by: Sequence[str] = (),
-               max_states: int = 200_000, buckets: int = BUCKETS) -> dict:
+               buckets: int = BUCKETS) -> dict:
     """Exact values at 0-based ranks: ``ranks`` {group: set(rank)} -> {(group, rank): value}."""
     by = list(by)
     src = (df.select(*[F.col(c) for c in by], F.col(col).cast("double").alias("_x"))
-             .where(F.col("_x").isNotNull())
+             .where(F.col("_x").isNotNull() & ~F.isnan("_x"))
              .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         stats = (src.groupBy(*by).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
-                    .limit(max_states + 1).collect())
-        if len(stats) > max_states:
-            raise ValueError("too many groups for exact selection")
+                    .collect())
         bounds = {tuple(r[c] for c in by): (r["lo"], r["hi"]) for r in stats}
-        return _search(src, by, ranks, bounds, buckets, max_states)
+        return _search(src, by, ranks, bounds, buckets)
     finally:
         src.unpersist()
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwise.functions.distributions import chi2_sf_udf, t_two_sided_udf
@@ -32,12 +32,10 @@ def chi_square(df: DataFrame, cols: Sequence[str], label: str = "Churn") -> Data
     statistic.  Columns with < 2 levels or a missing class are skipped.
     """
     ct = crosstab_counts(df, cols, label)
-    w = Window.partitionBy("feature")   # one partition per feature over its levels only
+    totals = ct.groupBy("feature").agg(
+        F.sum("n_retained").alias("_c0"), F.sum("n_churned").alias("_c1"), F.count(F.lit(1)).alias("_nl"))
     # (column names are case-insensitive: keep them distinct)
-    ct = (ct.withColumn("_rs", F.col("n_retained") + F.col("n_churned"))
-            .withColumn("_c0", F.sum("n_retained").over(w))
-            .withColumn("_c1", F.sum("n_churned").over(w))
-            .withColumn("_nl", F.count(F.lit(1)).over(w))
+    ct = (ct.join(totals, "feature").withColumn("_rs", F.col("n_retained") + F.col("n_churned"))
             .withColumn("_nn", F.col("_c0") + F.col("_c1")))
     e0 = F.col("_rs") * F.col("_c0") / F.col("_nn")
     e1 = F.col("_rs") * F.col("_c1") / F.col("_nn")
@@ -54,13 +52,11 @@ def chi_square(df: DataFrame, cols: Sequence[str], label: str = "Churn") -> Data
                    F.first("_c0").alias("_c0"), F.first("_c1").alias("_c1"))
               .where((F.col("n_levels") >= 2) & (F.col("_c0") > 0) & (F.col("_c1") > 0))
               .drop("_c0", "_c1"))
-    n, r, k = F.col("n").cast("double"), F.col("n_levels").cast("double"), F.lit(2.0)
-    phi2 = F.col("chi2") / n
-    phi2corr = F.greatest(F.lit(0.0), phi2 - (k - 1) * (r - 1) / (n - 1))
-    rcorr = r - (r - 1) * (r - 1) / (n - 1)
-    kcorr = k - (k - 1) * (k - 1) / (n - 1)
-    denom = F.least(kcorr - 1, rcorr - 1)
-    v = F.when(denom > 0, F.sqrt(phi2corr / denom)).otherwise(F.lit(0.0))
+    # bias-corrected V of a two-class label: of the smaller side of the table only 1 - 1/(n - 1) is left
+    free, others = F.col("n_levels") - 1, (F.col("n") - 1).cast("double")
+    excess = F.greatest(F.col("chi2") / F.col("n") - free / others, F.lit(0.0))
+    room = F.least(1 - 1 / others, free * (1 - free / others))
+    v = F.when(room > 0, F.sqrt(excess / room)).otherwise(F.lit(0.0))
     return agg.select("feature", F.col("n_levels").cast("long").alias("n_levels"),
                       (F.col("n_levels") - 1).cast("long").alias("dof"),
                       F.col("n").cast("long").alias("n"), "chi2", v.alias("cramers_v"))

@@ -14,6 +14,7 @@ mapped back to the original units.
 """
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 import numpy as np
@@ -28,10 +29,9 @@ COX_COVARIATES = ["MonthlyCharges", "is_month_to_month", "is_autopay", "num_serv
 
 
 def km_table(df: DataFrame, duration: str = "tenure", event: str = "Churn",
-             group: str | None = None, max_times_per_group: int = 1_000_000,
-             include_zero: bool = False) -> DataFrame:
+             group: str | None = None, include_zero: bool = False) -> DataFrame:
     """See ``_km_table``; ``include_zero`` adds a (0, S=1) row where time 0 is not observed."""
-    km = _km_table(df, duration, event, group, max_times_per_group)
+    km = _km_table(df, duration, event, group)
     if not include_zero:
         return km
     keys = [group] if group else []
@@ -42,31 +42,18 @@ def km_table(df: DataFrame, duration: str = "tenure", event: str = "Churn",
     return km.unionByName(zero)
 
 
-def _km_table(df: DataFrame, duration: str, event: str, group: str | None,
-              max_times_per_group: int) -> DataFrame:
+def _km_table(df: DataFrame, duration: str, event: str, group: str | None) -> DataFrame:
     """(group?, timeline, n_at_risk, n_events, survival) at every observed time.
 
-    Rows are aggregated to one row per (group, time) first.  When every group
-    has at most ``max_times_per_group`` distinct times (months, days), the
-    at-risk counts and the survival product are windows over that small table;
-    otherwise (continuous durations, a hot group) both running totals come
-    from the bucketed ``prefix_sums`` and S = exp(sum log(1 - d/n)), exactly 0
-    once an at-risk set is exhausted.
+    Rows are aggregated to one row per (group, time) first; at-risk counts and
+    S = exp(sum log(1 - d/n)), exactly 0 once an at-risk set is exhausted, come
+    from bucketed running sums.  Rows without a group or duration are left out.
     """
     from keepwise.operators.metrics import prefix_sums
 
     keys = [group] if group else []
-    per_t = df.groupBy(*keys, F.col(duration).cast("double").alias("timeline")).agg(
+    per_t = df.na.drop(subset=[*keys, duration]).groupBy(*keys, F.col(duration).cast("double").alias("timeline")).agg(
         F.count(F.lit(1)).alias("n_t"), F.sum(F.col(event).cast("long")).alias("n_events"))
-    widest = per_t.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if widest <= max_times_per_group:
-        desc = Window.partitionBy(*keys).orderBy(F.col("timeline").desc()) \
-            .rowsBetween(Window.unboundedPreceding, 0)
-        asc = Window.partitionBy(*keys).orderBy("timeline").rowsBetween(Window.unboundedPreceding, 0)
-        per_t = per_t.withColumn("n_at_risk", F.sum("n_t").over(desc))
-        factor = F.lit(1.0) - F.col("n_events") / F.col("n_at_risk")
-        return per_t.select(*keys, "timeline", "n_at_risk", "n_events",
-                            F.product(factor).over(asc).alias("survival"))
     risk = prefix_sums(per_t, "timeline", ["n_t"], descending=True, by=keys).withColumnRenamed(
         "n_t_cum", "n_at_risk")
     exhausted = F.col("n_events") >= F.col("n_at_risk")
@@ -85,21 +72,20 @@ def median_survival(df: DataFrame, group: str, duration: str = "tenure",
     med = km.groupBy(group).agg(
         F.coalesce(F.min(F.when(F.col("survival") <= 0.5, F.col("timeline"))),
                    F.lit(float("inf"))).alias("median_survival_months"))
-    size = df.groupBy(group).agg(F.count(F.lit(1)).alias("n_customers"),
+    size = df.na.drop(subset=[group, duration]).groupBy(group).agg(F.count(F.lit(1)).alias("n_customers"),
                                  F.avg(event).alias("churn_rate"))
-    return med.join(size, group).select(group, "median_survival_months", "n_customers", "churn_rate")
+    return (med.join(size, group).select(group, "median_survival_months", "n_customers", "churn_rate")
+               .orderBy("median_survival_months", group))
 
 
 _TIE_CHUNK = 4096
 
 
-def _efron_pass(z: DataFrame, beta: np.ndarray, p: int, pairs: list, few_times: bool) -> tuple:
+def _efron_pass(z: DataFrame, beta: np.ndarray, p: int, pairs: list) -> tuple:
     """Efron log-likelihood, gradient and Hessian at ``beta``, all sums in Spark.
 
     1. one row per distinct duration: sums of w, w*z, w*z*z' (all rows, event rows);
-    2. risk-set sums = descending inclusive running sums over durations (a
-       window over the per-duration table when it is bounded, else the
-       bucketed prefix sums);
+    2. risk-set sums = descending inclusive running sums over durations (bucketed);
     3. tied events at a duration are expanded (in chunks spread over tasks) to
        one row per tie index l, each contributing its Efron term; one final
        aggregation returns p + p(p+1)/2 + 1 numbers.
@@ -122,12 +108,7 @@ def _efron_pass(z: DataFrame, beta: np.ndarray, p: int, pairs: list, few_times:
                  F.coalesce(F.sum(F.when(ev, w * zz)), F.lit(0.0)).alias(f"ewxx{i}_{j}")]
     per_t = z.groupBy("_t").agg(*aggs)
     risk_cols = ["w", *[f"wx{i}" for i in range(p)], *[f"wxx{i}_{j}" for i, j in pairs]]
-    if few_times:
-        # one row per distinct duration, bounded (checked by the caller)
-        desc = Window.orderBy(F.col("_t").desc()).rowsBetween(Window.unboundedPreceding, 0)
-        risk = per_t.select("*", *[F.sum(c).over(desc).alias(f"{c}_cum") for c in risk_cols])
-    else:
-        risk = prefix_sums(per_t, "_t", risk_cols, descending=True)
+    risk = prefix_sums(per_t, "_t", risk_cols, descending=True)
     events = risk.where(F.col("d") > 0)
     chunks = events.withColumn("_c", F.explode(F.sequence(F.lit(0), F.floor((F.col("d") - 1) / _TIE_CHUNK))))
     chunks = chunks.repartition(max(1, z.sparkSession.sparkContext.defaultParallelism))
@@ -153,8 +134,12 @@ def _efron_pass(z: DataFrame, beta: np.ndarray, p: int, pairs: list, few_times:
 
 def cox_ph(df: DataFrame, covariates: Sequence[str] = COX_COVARIATES, duration: str = "tenure",
            event: str = "Churn", penalizer: float = 0.1, min_duration: float = 0.5,
-           max_iter: int = 50, tol: float = 1e-9, max_window_times: int = 1_000_000) -> DataFrame:
-    """Penalised Cox model: feature, coef, hazard_ratio, p_value (by hazard ratio desc)."""
+           max_iter: int = 50, tol: float = 1e-9) -> DataFrame:
+    """Penalised Cox model: feature, coef, hazard_ratio, p_value (by hazard ratio desc).
+
+    Newton steps are halved while the penalised likelihood falls.  A fit that does
+    not converge, or has no event, gives an empty table with a warning.
+    """
     spark = df.sparkSession
     cov = [c for c in covariates if c in df.columns]
     p = len(cov)
@@ -165,26 +150,45 @@ def cox_ph(df: DataFrame, covariates: Sequence[str] = COX_COVARIATES, duration:
                    *[F.avg(c).alias(f"m_{c}") for c in cov],
                    *[F.stddev_samp(c).alias(f"s_{c}") for c in cov]).first()
     n = int(mom["n"])
-    mean = np.array([mom[f"m_{c}"] for c in cov])
+    mean = np.array([mom[f"m_{c}"] or 0.0 for c in cov])
     std = np.array([mom[f"s_{c}"] or 1.0 for c in cov])
     std[std == 0] = 1.0
     z = base.select("_t", "_e", *[((F.col(c) - F.lit(float(mean[i]))) / F.lit(float(std[i]))).alias(f"z{i}")
                                   for i, c in enumerate(cov)]).persist(StorageLevel.MEMORY_AND_DISK)
     beta = np.zeros(p)
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
+    nothing = spark.createDataFrame([], "feature string, coef double, hazard_ratio double, p_value double")
+
+    def at(b: np.ndarray) -> tuple:
+        ll, g, h = _efron_pass(z, b, p, pairs)
+        return ll - 0.5 * n * penalizer * float(b @ b), g - n * penalizer * b, h - n * penalizer * np.eye(p)
+
     try:
-        few_times = z.select("_t").distinct().count() <= max_window_times
+        if not n or not p or z.where("_e = 1").isEmpty():
+            warnings.warn("Cox fit without covariates, rows or events")
+            return nothing
+        ll, g, h = at(beta)
+        converged = False
         for _ in range(max_iter):
-            ll, g, h = _efron_pass(z, beta, p, pairs, few_times)
-            g = g - n * penalizer * beta
-            h = h - n * penalizer * np.eye(p)
             step = np.linalg.solve(h, g)
-            beta = beta - step
+            if not np.isfinite(step).all():
+                break
+            new = at(beta - step)
+            while not (new[0] >= ll - 1e-9 * abs(ll)) and np.max(np.abs(step)) >= tol:
+                step = step / 2
+                new = at(beta - step)
+            beta, (ll, g, h) = beta - step, new
             if np.max(np.abs(step)) < tol:
+                converged = True
                 break
-        cov_norm = np.linalg.inv(-h)
+        cov_norm = np.linalg.inv(-h) if converged else None
+    except np.linalg.LinAlgError:
+        converged = False
     finally:
         z.unpersist()
+    if not converged or not (np.diag(cov_norm) > 0).all():
+        warnings.warn("Cox fit did not converge")
+        return nothing
     coef = beta / std
     se = np.sqrt(np.diag(cov_norm)) / std
     rows = [(c, float(coef[i]), float(np.exp(coef[i])), float(norm_two_sided(coef[i] / se[i])))

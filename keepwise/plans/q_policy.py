@@ -267,20 +267,36 @@ def q_slider_bounds(spark, sf):
                                         F.max("MonthlyCharges").alias("max_monthly_charges"))
 
 
-@register("save_list", with_base(f"""
+_SAVE_LIST_SQL = f"""
 SELECT customerID, Contract, tenure, ROUND(MonthlyCharges, 6) AS MonthlyCharges,
   ROUND(churn_probability, 6) AS churn_probability, risk_tier
 FROM (SELECT *, {_TIER_SQL} AS risk_tier FROM sb) t
-WHERE risk_tier IN ('High') AND MonthlyCharges >= (SELECT MIN(MonthlyCharges) FROM sb)
-ORDER BY churn_probability DESC, customerID LIMIT 500"""))
-def q_save_list(spark, sf):
+WHERE risk_tier IN ('High') AND MonthlyCharges >= (SELECT MIN(MonthlyCharges) FROM sb)"""
+
+
+def _risk_view(spark, sf):
+    """The risk explorer's filtered view at its defaults: high risk, charges from the slider's minimum."""
     f = featured_base(spark, sf)
-    lo = f.agg(F.min("MonthlyCharges")).first()[0]           # slider default: the minimum
-    view = (f.withColumn("risk_tier", risk_tier(F.col("churn_probability")))
+    lo = f.agg(F.min("MonthlyCharges")).first()[0]
+    return (f.withColumn("risk_tier", risk_tier(F.col("churn_probability")))
              .where(F.col("risk_tier").isin("High") & (F.col("MonthlyCharges") >= F.lit(lo))))
-    top = top_k(view, [F.col("churn_probability").desc(), F.col("customerID")], 500)
-    return top.select("customerID", "Contract", "tenure", r6("MonthlyCharges").alias("MonthlyCharges"),
-                      r6("churn_probability").alias("churn_probability"), "risk_tier")
+
+
+def _risk_columns(view):
+    return view.select("customerID", "Contract", "tenure", r6("MonthlyCharges").alias("MonthlyCharges"),
+                       r6("churn_probability").alias("churn_probability"), "risk_tier")
+
+
+@register("save_list", with_base(_SAVE_LIST_SQL))
+def q_save_list(spark, sf):
+    """The whole filtered view, as exported."""
+    return _risk_columns(_risk_view(spark, sf))
+
+
+@register("risk_explorer_top", with_base(_SAVE_LIST_SQL + " ORDER BY t.churn_probability DESC, customerID LIMIT 500"))
+def q_risk_explorer_top(spark, sf):
+    """The 500 rows shown on screen."""
+    return _risk_columns(top_k(_risk_view(spark, sf), [F.col("churn_probability").desc(), F.col("customerID")], 500))
 
 
 # ---------------------------------------------------------------- summary

@@ -29,8 +29,10 @@ def write_report(df: DataFrame, path: str) -> str:
 
 
 def write_record(df: DataFrame, path: str) -> str:
-    """A one-row DataFrame (nested structs/arrays allowed) as JSON."""
-    return write_table(df.limit(1), path, fmt="json", single_file=True)
+    """A one-row DataFrame (nested structs/arrays allowed) as JSON; any other number of rows is an error."""
+    if (n := len(df.take(2))) != 1:
+        raise ValueError(f"a record has one row, not {'none' if n == 0 else 'several'}")
+    return write_table(df, path, fmt="json", single_file=True)
 
 
 def write_dict(spark: SparkSession, record: dict, path: str) -> str:

@@ -37,7 +37,7 @@ def test_global_rank_dense_and_sorted(spark, vals, parts):
 @given(vals=st.lists(st.integers(0, 9), min_size=1, max_size=400), buckets=st.integers(1, 32))
 def test_prefix_sums_equal_cumsum(spark, vals, buckets):
     df = spark.createDataFrame([(float(i), v) for i, v in enumerate(vals)], "k double, v long")
-    out = prefix_sums(df, "k", ["v"], n_buckets=buckets).orderBy("k").collect()
+    out = prefix_sums(df, "k", ["v"], bucket_rows=-(-len(vals) // buckets)).orderBy("k").collect()
     assert [x["v_cum"] for x in out] == list(np.cumsum(vals))
 
 
