@@ -1,2 +1,83 @@
 """DuckDB SQL for the queries that SQL can express."""
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+from keepwise.llm.license_scan import RULES, SENTENCE_END, SENTENCES
+from keepwise.llm.url_rules import LIST_RULES, PATTERN_RULES
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), '%s', '%s'), '[^\x20\x09-\x0D]+')" % (_UPPER, _LOWER)
+
+
+def _near_duplicates(k: int, num: int, den: int = 100) -> str:
+    return f"""
+WITH RECURSIVE words AS (SELECT DISTINCT doc_id, {_WORDS} AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - {k} + 2), lambda i: array_to_string(list_slice(w, i, i + {k} - 1), ' ')) END) AS s FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING {den} * count(*) >= {num} * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+root AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+FROM documents d JOIN sets s ON s.doc_id = d.doc_id JOIN root r ON r.a = d.doc_id"""
+
+
+_MIXING = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+  md5(CAST(doc_id AS VARCHAR)) AS digest FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size,
+  [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight FROM d GROUP BY source),
+l AS (SELECT *, 2.0 * source_size AS cap, 2.0 * source_size / weight AS cut FROM s),
+f AS (SELECT *, (1.5 * (SELECT sum(source_size) FROM s) - coalesce(sum(cap) OVER w, 0))
+  / ((SELECT sum(weight) FROM s) - coalesce(sum(weight) OVER w, 0)) AS level, row_number() OVER (ORDER BY cut, source NULLS LAST) AS k
+  FROM l WINDOW w AS (ORDER BY cut, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (SELECT arg_min(level, k) AS level FROM f WHERE level < cut),
+t AS (SELECT source, source_size, CASE WHEN g.level IS NULL OR l.cut <= g.level THEN l.cap ELSE l.weight * g.level END AS target
+  FROM l LEFT JOIN g ON true),
+p AS (SELECT d.doc_id, d.size, t.source_size, t.target, least(round(t.target)::BIGINT, 2 * t.source_size) AS want,
+  (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.digest, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  (greatest(0, least(start + size, want) - start) + greatest(0, least(start + size, want - source_size) - start))::BIGINT AS taken FROM p"""
+
+_EXACT = r"""
+WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+k AS (SELECT doc_id, norm, first_value(doc_id) OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS keep_id,
+  count(*) OVER (PARTITION BY norm) AS group_size FROM t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM k"""
+
+
+def _url_rules() -> str:
+    ordered = sorted(LIST_RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in ordered]
+    rule = " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (_, h, p) in zip(fits, ordered))
+    listed = " ".join(f"WHEN {f} THEN '{v}'" for f, (v, _, _) in zip(fits, ordered))
+    words = "|".join("-".join(tokens) for _, _, tokens in PATTERN_RULES)
+    return rf"""
+WITH a AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a)
+SELECT page_id, host, path, CASE {rule} END AS rule,
+  CASE {listed} WHEN regexp_matches(host, '(^|[^a-z0-9])({words})([^a-z0-9]|$)') THEN 'block' ELSE 'allow' END AS verdict FROM u"""
+
+
+def _licenses() -> str:
+    number = {name: i for i, name in enumerate(SENTENCES, 1)}
+    cases = " ".join(f"WHEN '{text}' THEN {number[name]}" for name, text in SENTENCES.items())
+    hits = ", ".join(f"CASE WHEN contains(seq, ',{','.join(str(number[s]) for s in names)},') THEN '{license}' END" for license, names in RULES)
+    return rf"""
+WITH p AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '{SENTENCE_END}'),
+  lambda x: trim(regexp_replace(lower(x), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))), lambda x: x <> '') AS parts FROM documents),
+n AS (SELECT doc_id, list_transform(parts, lambda x: CASE x {cases} ELSE 0 END) AS numbers FROM p),
+s AS (SELECT doc_id, numbers, ',' || coalesce(array_to_string(numbers, ','), '') || ',' AS seq FROM n)
+SELECT doc_id, CAST(len(list_filter(numbers, lambda x: x > 0)) AS BIGINT) AS known_sentences,
+  coalesce(array_to_string(list_sort(list_distinct(list_filter([{hits}], lambda x: x IS NOT NULL))), ','), '') AS licenses FROM s"""
+
+
+ORACLE: dict[str, str] = {
+    "op2_near_duplicates": _near_duplicates(3, 85),
+    "op4_mixing": _MIXING,
+    "op5_exact_duplicates": _EXACT,
+    "op6_url_rules": _url_rules(),
+    "op7_license_scan": _licenses(),
+}
