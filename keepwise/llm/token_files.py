@@ -13,10 +13,10 @@ import os
 import re
 import uuid
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,8 +43,9 @@ class WaveletMatrix:
         bits = max(1, int(values.max(initial=0)).bit_length())
         width = (n + _SAMPLE - 1) // _SAMPLE * _SAMPLE // 8
         planes, zeros, ranks = np.zeros((bits, width), np.uint8), [], np.zeros((bits, width * 8 // _SAMPLE + 1), np.uint32)
+        values = values.astype(np.uint16 if bits <= 16 else np.uint32)
         for level in range(bits):
-            ones = (values >> (bits - 1 - level)) & 1 == 1
+            ones = (values & (1 << (bits - 1 - level))).astype(bool)
             packed = np.packbits(ones, bitorder="little")
             planes[level, :len(packed)] = packed
             ranks[level, 1:] = np.cumsum(np.bitwise_count(planes[level]).reshape(-1, _SAMPLE // 8).sum(axis=1, dtype=np.uint32))
@@ -104,24 +105,44 @@ class WaveletMatrix:
 
     def values(self) -> np.ndarray:
         """All values in order: the stable partitions undone from the last plane to the first."""
-        out = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        out = np.zeros(self.n, kind)
         for level in reversed(range(self.bits)):
             ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
-            before = np.empty(self.n, np.uint32)
+            before = np.empty(self.n, kind)
             before[~ones] = out[:self.zeros[level]]
-            before[ones] = out[self.zeros[level]:] | np.uint32(1 << (self.bits - 1 - level))
+            before[ones] = out[self.zeros[level]:] | kind(1 << (self.bits - 1 - level))
             out = before
-        return out
+        return out.astype(np.uint32)
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+class _Numbers(dict):
+    """Part -> its number; a part not met before gets the next number and is noted in ``new``."""
+
+    def __init__(self, parts=()):
+        super().__init__((part, n) for n, part in enumerate(parts))
+        self.new: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        number = self[part] = len(self)
+        self.new.append(part)
+        return number
 
 
 class Encoder:
     """Ids of whole texts from a tokenizers file, with a bounded memory of text parts already encoded.
 
     Texts are cut before a single blank between printable ASCII or Latin letters: byte-level
-    pre-tokenisation always cuts there, so the parts' ids in a row are the text's ids."""
+    pre-tokenisation always cuts there, so the parts' ids in a row are the text's ids. A part
+    is remembered with its leading blank. When the memory is full, parts met once are forgotten."""
 
     _EDGE = "!-~À-ɏ"
-    _MOST_PARTS = 1_000_000
+    _MOST_PARTS, _MOST_CHARS = 1_000_000, 1 << 25
+    _TOGETHER = 256  # new plain parts encoded as one text
 
     def __init__(self, path: str):
         # Spark's tasks are the parallelism
@@ -130,40 +151,94 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cut = re.compile(f"(?<=[{self._EDGE}]) (?=[{self._EDGE}])")
-        self.edge = re.compile(f"[{self._EDGE}]").fullmatch
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.odd: set[str] = set()  # words beside whose blanks a text may not always be cut
-        self.ids, self.starts = array("I"), array("Q", [0])
-
-    def _parts(self, texts: list[str]) -> list[list[str]]:
-        words = [t.split(" ") for t in texts]
-        fresh = set().union(*words).difference(self.number)
-        self.odd.update(w for w in fresh if not (w and self.edge(w[0]) and self.edge(w[-1])))
-        return [w if self.odd.isdisjoint(w) else self.cut.split(t) for t, w in zip(texts, words)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.number) + len(self.odd) > self._MOST_PARTS:
-            self.clear()
-        parts = self._parts(texts)
+        # words after a blank that a text may always be cut before and behind
+        self.plain = re.compile(f" [{self._EDGE}](?:[^ ]*[{self._EDGE}])?").fullmatch
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.blank_first = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.blank_first[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+        self.ids, self.begin, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self._remember([], np.empty(0, np.int64))
+
+    def _remember(self, parts: list[str], old: np.ndarray) -> None:
+        """Start the memory anew with ``parts``, whose numbers were ``old``."""
+        ids = [self.ids[self.begin[i]:self.begin[i] + self.size[i]] for i in old.tolist()]
+        self.number, self.chars = _Numbers(parts), sum(map(len, parts))
+        self.ids = np.concatenate([np.empty(0, np.uint32), *ids])
+        self.size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.begin = np.cumsum(self.size) - self.size
+        self.odd = np.fromiter((not self.plain(p) for p in parts), bool, len(parts))
+        self.again = np.zeros(len(parts), bool)
+
+    def _forget(self) -> None:
+        keep = np.flatnonzero(self.again)
+        parts = list(self.number)
+        chosen = [parts[i] for i in keep.tolist()]
+        if 2 * len(chosen) > self._MOST_PARTS or 2 * sum(map(len, chosen)) > self._MOST_CHARS:
+            chosen, keep = [], keep[:0]
+        self._remember(chosen, keep)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode new parts. Plain ones have one blank each, at their start, so they are encoded
+        together and their ids told apart by the tokens that begin with a blank."""
+        odd = np.fromiter((not self.plain(p) for p in new), bool, len(new))
+        plain, others = [p for p, o in zip(new, odd) if not o], [p for p, o in zip(new, odd) if o]
+        together = self._ids(["".join(plain[at:at + self._TOGETHER]) for at in range(0, len(plain), self._TOGETHER)])
+        flat = np.concatenate([np.empty(0, np.uint32), *together])
+        begin = np.flatnonzero(self.blank_first[flat])
+        if len(begin) != len(plain):
+            raise ValueError("not a byte-level vocabulary: its tokens do not tell where a word begins")
+        alone = self._ids(others)
+        alone_size = np.fromiter(map(len, alone), np.int64, len(alone))
+        size, start = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        size[~odd], size[odd] = np.diff(begin, append=len(flat)), alone_size
+        start[~odd], start[odd] = begin, len(flat) + np.cumsum(alone_size) - alone_size
+        self.begin = np.concatenate([self.begin, start + len(self.ids)])
+        self.size = np.concatenate([self.size, size])
+        self.odd = np.concatenate([self.odd, odd])
+        self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
+        self.ids = np.concatenate([self.ids, flat, *alone])
+        self.chars += sum(map(len, new))
+
+    def _numbers(self, parts: list[str]) -> np.ndarray:
+        known = len(self.number)
+        at = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        self.again[at[at < known]] = True
+        if self.number.new:
+            new, self.number.new = self.number.new, []
+            self._learn(new)
+        return at
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of ids of each text); a null text is empty."""
+        if not len(texts):
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        if len(self.number) > self._MOST_PARTS or self.chars > self._MOST_CHARS:
+            self._forget()
+        texts = texts.fill_null("")
+        words = pc.split_pattern(texts, " ")
+        begin = words.offsets.to_numpy()[:-1]
+        coded = words.flatten().dictionary_encode()
+        which = coded.indices.to_numpy()
+        at = self._numbers(_strings(pc.binary_join_element_wise(" ", coded.dictionary, "")))[which]
+        count = np.diff(begin, append=len(at))
         # the first part of a text has no blank before it
-        firsts = [e.ids for e in self.tokenizer.encode_batch_fast([p[0] for p in parts], add_special_tokens=False)]
-        new = list(set().union(*(p[1:] for p in parts)).difference(self.number))
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([" " + w for w in new], add_special_tokens=False)):
-            self.number[w] = len(self.starts) - 1
-            self.ids.extend(e.ids)
-            self.starts.append(len(self.ids))
-        ids, starts = np.frombuffer(self.ids, np.uint32) if self.ids else np.empty(0, np.uint32), np.frombuffer(self.starts, np.uint64).astype(np.int64)
-        out = []
-        for first, p in zip(firsts, parts):
-            at = np.fromiter(map(self.number.__getitem__, p[1:]), np.int64, len(p) - 1)
-            sizes = starts[at + 1] - starts[at]
-            ends = np.cumsum(sizes)
-            places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[at] - (ends - sizes), sizes)
-            out.append(np.concatenate([np.array(first, np.uint32), ids[places]]))
-        return out
+        firsts = _strings(coded.dictionary.take(pa.array(which[begin])))
+        uncut = np.flatnonzero(np.logical_or.reduceat(self.odd[at], begin)).tolist()
+        if uncut:
+            rows = np.split(at, begin[1:])
+            for i in uncut:
+                firsts[i], *rest = self.cut.split(texts[i].as_py())
+                rows[i] = np.append(0, self._numbers([" " + p for p in rest]))
+            at, count = np.concatenate(rows), np.fromiter(map(len, rows), np.int64, len(rows))
+            begin = np.cumsum(count) - count
+        at[begin] = self._numbers(firsts)
+        sizes = self.size[at]
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1]) + np.repeat(self.begin[at] - (ends - sizes), sizes)
+        return self.ids[places], np.add.reduceat(sizes, begin)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -183,17 +258,26 @@ def _block(shard: int, block: int, doc_ids: list, parts: list[np.ndarray]) -> pa
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=[c.split()[0] for c in _SCHEMA.split(", ")])
 
 
-def _encoded(path: str, end_id: int, block_tokens: int, chunk: int = 256):
+def _pieces(batch: pa.RecordBatch, most_bytes: int):
+    """The rows of a batch in order, in slices of about ``most_bytes`` of text."""
+    length = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    piece = np.cumsum(length, dtype=np.int64) // most_bytes
+    edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(edges, edges[1:]):
+        yield batch.slice(a, b - a)
+
+
+def _encoded(path: str, end_id: int, block_tokens: int, piece_bytes: int = 1 << 22):
     def run(batches):
         encoder, shard, block = _encoder(path), TaskContext.get().partitionId(), 0
         ids, parts, held = [], [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, chunk):
-                piece = batch.slice(at, chunk)
-                texts = [t or "" for t in piece.column(1).to_pylist()]
-                for doc_id, tokens in zip(piece.column(0).to_pylist(), encoder.encode(texts)):
+            for piece in _pieces(batch, piece_bytes):
+                tokens, sizes = encoder.encode(piece.column(1))
+                ends = np.cumsum(sizes)
+                for doc_id, a, b in zip(piece.column(0).to_pylist(), (ends - sizes).tolist(), ends.tolist()):
                     ids.append(doc_id)
-                    parts.append(np.append(tokens, np.uint32(end_id)))
+                    parts.append(np.append(tokens[a:b], np.uint32(end_id)))
                     held += len(parts[-1])
                     if held >= block_tokens:
                         yield _block(shard, block, ids, parts)
