@@ -1,7 +1,7 @@
 """Stratified train / validation / test split and stratified k-fold ids.
 
-Rows are ordered inside each class by a seeded 64-bit hash of the id (ties by
-id) with one distributed sort; the within-class position decides the split:
+Rows are ordered inside each class by the MD5 digest of ``id|seed`` (ties by
+id; every engine computes the same digest) with one distributed sort; the within-class position decides the split:
 test = first ceil(test * n_c), validation = next ceil(val / (1 - test) * rest),
 train = the remainder.  Fold ids for the training rows are position mod k.
 Deterministic, exact sizes per class, no single-task window.  Only the
@@ -23,7 +23,7 @@ def stratified_split(df: DataFrame, settings: Settings = DEFAULT, folds: int | N
     """Add ``split`` (train / val / test) and ``fold`` (0..k-1 for train rows, else NULL)."""
     label, id_col, seed = settings.target_col, settings.id_col, settings.seed
     k = folds or settings.cv_folds
-    key = F.xxhash64(F.col(id_col).cast("string"), F.lit(seed))
+    key = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}")))
     strat = F.col(label) if settings.stratify else F.lit(0)
     work = df.select(F.col(id_col), strat.alias("_stratum"), key.alias("_h"))
     ranked = global_rank(work, [F.col("_stratum"), F.col("_h"), F.col(id_col)], "_r")

@@ -1,5 +1,5 @@
 """Model-based queries (checked by row counts and the invariant tests; the
-learned numbers have no SQL formulation).
+learned numbers have no SQL formulation; the split and its folds have one).
 
 One calibrated logistic model is trained per input folder and shared by the
 scoring, threshold and explanation queries.  The registered bake-off uses
@@ -12,7 +12,7 @@ import threading
 
 from pyspark.sql import functions as F
 
-from keepwise.config import Economics
+from keepwise.config import DEFAULT, Economics
 from keepwise.models import explain as X
 from keepwise.models.calibrate import calibrate
 from keepwise.models.pipeline import CATEGORICAL, NUMERIC, ModelParams
@@ -25,7 +25,8 @@ from keepwise.operators.features import add_engineered_features, fit_premium_thr
 from keepwise.operators.segments import kmeans_segments, strategy_matrix
 from keepwise.operators.value import with_value_at_risk
 from keepwise.plans.base import cleaned_base, featured_base, raw_base
-from keepwise.plans.catalog import register
+from keepwise.plans.catalog import r6, register
+from keepwise.plans.oracle import with_base
 from keepwise.session import materialize
 
 ECON = Economics()
@@ -68,17 +69,47 @@ def trained(spark, sf):
         return _CACHE[key]
 
 
-@register("stratified_split")
+# The split's own SQL: exact class sizes, positions by the digest of the id.
+_PLACED = """
+sp_pos AS (
+  SELECT customerID, Churn, COUNT(*) OVER (PARTITION BY Churn) AS nc,
+    ROW_NUMBER() OVER (PARTITION BY Churn ORDER BY md5(customerID || '|{seed}'), customerID) AS pos
+  FROM sb_clean
+),
+sp_test AS (
+  SELECT *, CAST(CEIL(CAST('{test!r}' AS DOUBLE) * nc) AS BIGINT) AS nt FROM sp_pos
+),
+sp_size AS (
+  SELECT *, CAST(CEIL(CAST('{val!r}' AS DOUBLE) * (nc - nt)) AS BIGINT) AS nv FROM sp_test
+),
+sp AS (
+  SELECT customerID, Churn,
+    CASE WHEN pos <= nt THEN 'test' WHEN pos <= nt + nv THEN 'val' ELSE 'train' END AS split,
+    CASE WHEN pos > nt + nv THEN CAST((pos - nt - nv - 1) % {folds} AS INT) END AS fold
+  FROM sp_size
+)""".format(seed=DEFAULT.seed, test=DEFAULT.test_size, val=DEFAULT.validation_size / (1.0 - DEFAULT.test_size),
+            folds=DEFAULT.cv_folds)
+
+
+def _split_sql(body: str) -> str:
+    return with_base(body, _PLACED)
+
+
+@register("stratified_split", _split_sql(
+    "SELECT customerID, Churn, split, COALESCE(fold, -1) AS fold FROM sp"))
 def q_stratified_split(spark, sf):
-    return split_table(spark, sf).select("customerID", "Churn", "split", "fold")
+    """Every customer's split and fold (-1 outside the training rows)."""
+    return split_table(spark, sf).select("customerID", "Churn", "split", F.coalesce("fold", F.lit(-1)).alias("fold"))
 
 
-@register("split_summary")
+@register("split_summary", _split_sql(
+    "SELECT split, COUNT(*) AS n, ROUND(AVG(Churn), 6) AS churn_rate FROM sp GROUP BY split"))
 def q_split_summary(spark, sf):
-    return split_summary(split_table(spark, sf))
+    return split_summary(split_table(spark, sf)).withColumn("churn_rate", r6("churn_rate"))
 
 
-@register("kfold_assignment")
+@register("kfold_assignment", _split_sql(
+    "SELECT fold, Churn, COUNT(*) AS n FROM sp WHERE split = 'train' GROUP BY fold, Churn"))
 def q_kfold_assignment(spark, sf):
     s = split_table(spark, sf).where(F.col("split") == "train")
     return s.groupBy("fold", "Churn").agg(F.count(F.lit(1)).alias("n"))

@@ -12,8 +12,7 @@ from keepwise.plans.catalog import ORACLE, QUERIES, load_all
 
 load_all()
 
-ROWS_ONLY_FAST = ["stratified_split", "split_summary", "kfold_assignment", "categorical_association",
-                  "numeric_significance", "cox_hazard_ratios", "kmeans_segments", "strategy_matrix_kmeans",
+ROWS_ONLY_FAST = ["categorical_association", "numeric_significance", "cox_hazard_ratios", "kmeans_segments", "strategy_matrix_kmeans",
                   "calibrated_scores", "validation_threshold", "test_metrics", "batch_scores",
                   "scenario_scores", "linear_attributions", "top_reasons"]
 ROWS_ONLY_SLOW = ["bakeoff_leaderboard", "permutation_importance"]
