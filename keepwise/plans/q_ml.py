@@ -9,19 +9,23 @@ check stays bounded; every training row is held out once (5 folds).
 from __future__ import annotations
 
 import threading
+from functools import reduce
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from keepwise.config import DEFAULT, Economics
 from keepwise.models import explain as X
 from keepwise.models.calibrate import calibrate
-from keepwise.models.pipeline import CATEGORICAL, NUMERIC, ModelParams
+from keepwise.models.pipeline import CATEGORICAL, NUMERIC, ModelParams, preprocessor_stages, with_label
 from keepwise.models.scoring import ChurnScorer
 from keepwise.models.selection import CANDIDATES, bakeoff, prepare_training
+from keepwise.models.smote import oversample
 from keepwise.models.split import split_summary, stratified_split
 from keepwise.operators import metrics as M
 from keepwise.operators import threshold as TH
 from keepwise.operators.features import add_engineered_features, fit_premium_threshold
+from keepwise.operators.ranking import top_k
 from keepwise.operators.segments import kmeans_segments, strategy_matrix
 from keepwise.operators.value import with_value_at_risk
 from keepwise.plans.base import cleaned_base, featured_base, raw_base
@@ -115,6 +119,32 @@ def q_kfold_assignment(spark, sf):
     return s.groupBy("fold", "Churn").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("smote_balance", _split_sql("""
+SELECT fold, Churn, MAX(n) OVER (PARTITION BY fold) AS n, MAX(n) OVER (PARTITION BY fold) - n AS n_synthetic
+FROM (SELECT k.fold, s.Churn, COUNT(*) AS n
+      FROM (SELECT DISTINCT fold FROM sp WHERE split = 'train') k JOIN sp s ON s.split = 'train' AND s.fold <> k.fold
+      GROUP BY k.fold, s.Churn) c"""))
+def q_smote_balance(spark, sf):
+    """Class counts after oversampling each fold's fitting rows (encoded by that fold's preprocessor)."""
+    train = split_table(spark, sf).where(F.col("split") == "train")
+    parts = []
+    for k in range(DEFAULT.cv_folds):
+        fit = with_label(train.where(F.col("fold") != k))
+        encoded = Pipeline(stages=preprocessor_stages(fit)).fit(fit).transform(fit)
+        parts.append(oversample(encoded).groupBy(F.lit(k).alias("fold"), F.col("label").cast("int").alias("Churn"))
+                     .agg(F.count(F.lit(1)).alias("n"), F.count_if("synthetic").alias("n_synthetic")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@register("explanation_sample_test", with_base("""
+SELECT customerID, b.Churn, tenure, Contract, num_services
+FROM sb b JOIN sp USING (customerID) WHERE sp.split = 'test' ORDER BY customerID LIMIT 300""", _PLACED))
+def q_explanation_sample_test(spark, sf):
+    """The 300 test rows that are explained (first by id)."""
+    test = split_table(spark, sf).where(F.col("split") == "test")
+    return top_k(test, [F.col("customerID")], 300).select("customerID", "Churn", "tenure", "Contract", "num_services")
+
+
 @register("bakeoff_leaderboard")
 def q_bakeoff_leaderboard(spark, sf):
     board, _ = bakeoff(split_table(spark, sf), CANDIDATES, CHECK_PARAMS, folds=5)
