@@ -8,7 +8,7 @@ merely share a frame are not. DataFrame operations only.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keepwise.llm.common import WORD, saved
@@ -25,6 +25,8 @@ NAME = r"^\p{Lu}\p{Ll}+$"
 
 # windows of the benchmark up to this many are broadcast; beyond it both sides are shuffled
 _BROADCAST_WINDOWS = 500_000
+# template tokens of the short runs that measure how much of an item stands around its matching windows
+_GRAM = 3
 
 
 def _tokens(text: Column) -> Column:
@@ -60,38 +62,89 @@ def _windows(length: int, min_literals: int) -> Column:
 
 
 def _hashed(texts: DataFrame) -> DataFrame:
-    """id, text -> id, token (array), hash (array of template hashes), slot (array of 0/1)."""
-    t = texts.select("id", _tokens(F.col("text")).alias("token"))
+    """id, text -> id, body (one per id and text), token (array), hash (array of template hashes), slot (array of 0/1)."""
+    t = texts.select("id", F.xxhash64("id", "text").alias("body"), _tokens(F.col("text")).alias("token"))
     t = t.withColumn("template", F.transform("token", _template))
-    return t.select("id", "token", F.transform("template", lambda x: F.xxhash64(x)).alias("hash"),
+    return t.select("id", "body", "token", F.transform("template", lambda x: F.xxhash64(x)).alias("hash"),
                     F.transform("template", lambda x: x.startswith("<").cast("int")).alias("slot"))
 
 
 def _placed(hashed: DataFrame, length: int, min_literals: int) -> DataFrame:
-    """id, at, window, said (the window's tokens), is_slot (0/1 of each): one row per usable window."""
+    """id, body, at, window, said (the window's tokens), is_slot (0/1 of each): one row per usable window."""
     full = F.transform(
         F.arrays_zip(*_shifted("hash", length), *_shifted("slot", length), *_shifted("token", length)),
         lambda w: F.struct(_window(w, length, min_literals).alias("window"), F.array(*(w[f"token{i}"] for i in range(length))).alias("said"),
                            F.array(*(w[f"slot{i}"] for i in range(length))).alias("is_slot")))
-    return hashed.select("id", F.posexplode(full).alias("at", "w")).select("id", "at", "w.*").filter("window is not null")
+    return hashed.select("id", "body", F.posexplode(full).alias("at", "w")).select("id", "body", "at", "w.*").filter("window is not null")
+
+
+def _longest(places: Column) -> Column:
+    """Length of the longest run of consecutive numbers in an array of distinct ints."""
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("n"), F.lit(0).alias("best"))
+
+    def step(s: Column, x: Column) -> Column:
+        n = F.when(x == s["last"] + 1, s["n"] + 1).otherwise(F.lit(1))
+        return F.struct(x.alias("last"), n.alias("n"), F.greatest(s["best"], n).alias("best"))
+
+    return F.aggregate(F.array_sort(places), start, step, lambda s: s["best"])
+
+
+def _grams(hashes: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(hashes) - (_GRAM - 1), F.lit(1))),
+                       lambda i: F.xxhash64(F.slice(hashes, i, _GRAM)))
+
+
+def _groups(runs: DataFrame, window: int) -> DataFrame:
+    """Matching windows of a (document, item) by alignment: every single shift, and every chain of
+    shifts that lie at most ``window`` apart, as an inserted or deleted word moves the rest of a copy."""
+    shifts = (runs.groupBy("id", "body", "item", "shift")
+              .agg(F.collect_set("item_at").alias("matched"), F.collect_set(F.when(F.col("verbatim"), F.col("item_at"))).alias("same"),
+                   F.array_distinct(F.flatten(F.collect_set("values"))).alias("pairs")))
+    order = Window.partitionBy("id", "body", "item").orderBy("shift")
+    chained = (shifts.withColumn("_new", (F.col("shift") - F.lag("shift", 1, 0).over(order) > window).cast("int"))
+               .withColumn("chain", F.sum("_new").over(order).cast("int")))
+    each = F.explode(F.array(F.struct(F.lit(0), "shift"), F.struct(F.lit(1), F.col("chain").alias("shift")))).alias("group")
+    union = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
+    return (chained.select("*", each).groupBy("id", "body", "item", "group")
+            .agg(union("matched").alias("matched"), union("same").alias("same"), union("pairs").alias("pairs"),
+                 F.min("shift").alias("low"), F.max("shift").alias("high"),
+                 F.min(F.col("shift") + F.array_min("matched")).alias("at"), F.max(_longest(F.col("same"))).alias("run")))
+
+
+def _with_share(groups: DataFrame, docs: DataFrame, window: int) -> DataFrame:
+    """groups + share: the part of the item's template tokens that stand, in runs of ``_GRAM``, where the group lies."""
+    n = F.size("item_hash")
+    start = F.greatest(F.col("low") - window, F.lit(0))
+    region = F.slice("hash", start + 1, F.col("high") + n + window - start)
+    texts = docs.select(F.col("body"), "hash").dropDuplicates(["body"])
+    met = saved(groups.join(texts, "body").withColumn("region", region).withColumn("n", n)
+                .select(*groups.columns, "n", _grams(F.col("item_hash")).alias("grams"), _grams(F.col("region")).alias("there")), "regions")
+    met = met.withColumn("common", F.array_intersect("grams", "there")).drop("there")
+    covered = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.arrays_overlap(
+        F.slice("grams", F.greatest(i - (_GRAM - 2), F.lit(1)), F.least(i + 1, F.lit(_GRAM))), F.col("common")))
+    return met.withColumn("share", F.size(covered) / F.col("n"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", window: int = 8, min_literals: int = 4,
-                 cover: float = 0.6) -> DataFrame:
+                 cover: float = 0.6, run: int | None = None) -> DataFrame:
     """Pairs (doc_id, item_id, at, windows, item_windows, exact): documents that hold a benchmark item.
 
-    An item is held where, on one alignment, at least ``cover`` of its usable
-    windows match and every slot value maps to one value and back. ``at`` is the
-    first aligned token, ``exact`` tells whether no slot value was changed. Items
-    of fewer than ``window`` tokens are matched whole; windows (and items) with
-    fewer than ``min_literals`` literal tokens carry no evidence and never match.
+    Matching windows count on one alignment or on a chain of alignments that lie at
+    most ``window`` tokens apart (words inserted or deleted between them). An item
+    is held where every slot value maps to one value and back and ``cover`` of its
+    usable windows match or ``cover`` of its tokens stand there in runs of three;
+    or where ``run`` windows in a row (default: ``window``) are verbatim, whatever
+    their share. ``at`` is the first aligned token, ``exact`` tells whether no slot
+    value was changed. Items of fewer than ``window`` tokens are matched whole;
+    windows (and items) with fewer than ``min_literals`` literal tokens carry no
+    evidence and never match.
     Null and empty texts hold nothing; rows that repeat an id count once per id;
     null ids are reported as null. Other columns are ignored; an empty table on
     either side gives an empty table.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    items = saved(_hashed(benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text"))), "items")
+    items = saved(_hashed(benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).distinct()), "items")
     sizes = F.array_sort(F.collect_set(F.least(F.size("token"), F.lit(window))))
     lengths = [n for n in (items.agg(sizes).first()[0] or []) if n >= min_literals]
     found = None
@@ -99,26 +152,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         mine = items.filter(F.size("token") == length) if length < window else items.filter(F.size("token") >= window)
         need = min(min_literals, length)
         known = saved(_placed(mine, length, need)
-                      .select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "window", F.col("said").alias("item_said"), "is_slot"), "windows")
+                      .select(F.col("body").alias("item"), F.col("at").alias("item_at"), "window", F.col("said").alias("item_said"), "is_slot"), "windows")
         small = known.count() <= _BROADCAST_WINDOWS
         narrow = known.select("window").distinct()
         hits = saved(_hashed(texts).select("id", F.explode(_windows(length, need)).alias("window"))
                      .join(F.broadcast(narrow) if small else narrow, "window", "left_semi")
                      .groupBy("id").agg(F.count("*").alias("n")), "hits")
-        chosen = texts.join(hits.select(F.col("id").alias("hit")), F.col("id").eqNullSafe(F.col("hit")), "left_semi")
-        places = _placed(_hashed(chosen), length, need).select("id", "at", "window", "said")
+        chosen = saved(_hashed(texts.join(hits.select(F.col("id").alias("hit")), F.col("id").eqNullSafe(F.col("hit")), "left_semi")), "chosen")
+        places = _placed(chosen, length, need).select("id", "body", "at", "window", "said")
         values = F.transform(F.filter(F.arrays_zip("item_said", "said", "is_slot"), lambda x: x["is_slot"] == 1),
                              lambda x: F.struct(F.lower(x["item_said"]).alias("b"), F.lower(x["said"]).alias("d")))
         runs = (places.join(F.broadcast(known) if small else known, "window")
-                .select("id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", values.alias("values")))
-        mapped = (runs.groupBy("id", "item_id", "shift")
-                  .agg(F.count_distinct("item_at").alias("windows"), F.min("item_at").alias("first"),
-                       F.array_distinct(F.flatten(F.collect_set("values"))).alias("pairs")))
-        total = known.groupBy("item_id").agg(F.count_distinct("item_at").alias("item_windows"))
+                .select("id", "body", "item", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", values.alias("values"),
+                        F.forall(values, lambda p: p["b"] == p["d"]).alias("verbatim")))
+        total = known.groupBy("item").agg(F.count_distinct("item_at").alias("item_windows"))
+        facts = mine.select(F.col("body").alias("item"), F.col("id").alias("item_id"), F.col("hash").alias("item_hash")).join(total, "item")
+        groups = _with_share(_groups(runs, window).join(facts, "item"), chosen, window)
         side = lambda c: F.size(F.array_distinct(F.transform("pairs", lambda p: p[c])))
-        held = (mapped.join(total, "item_id").filter(F.col("windows") >= cover * F.col("item_windows"))
-                .filter((side("b") == F.size("pairs")) & (side("d") == F.size("pairs")))
-                .select(F.col("id").alias("doc_id"), "item_id", (F.col("first") + F.col("shift")).alias("at"), "windows", "item_windows",
+        mapped = (side("b") == F.size("pairs")) & (side("d") == F.size("pairs"))
+        enough = (F.size("matched") >= cover * F.col("item_windows")) | ((F.col("n") >= window) & (F.col("share") >= cover))
+        long_run = (F.col("n") >= window) & (F.col("run") >= (run or window))
+        held = (groups.filter((mapped & enough) | long_run)
+                .select(F.col("id").alias("doc_id"), "item_id", F.col("at").cast("int").alias("at"),
+                        F.size("matched").cast("long").alias("windows"), "item_windows",
                         F.forall("pairs", lambda p: p["b"] == p["d"]).alias("exact")))
         found = held if found is None else found.unionByName(held)
     if found is None:

@@ -122,6 +122,23 @@ def test_decontamination(spark, docs):
     assert decontamination.contaminated(frame, bench.filter("false")).count() == 0
 
 
+def test_decontamination_of_edited_and_cut_copies(spark):
+    rng = random.Random(11)
+    items = [(i, " ".join(rng.choices(VOCAB, k=n))) for i, n in enumerate([16, 20, 24, 26, 30, 38, 45, 59])]
+    rows = []
+    for i, text in items:
+        w = text.split()
+        for at in range(len(w)):
+            rows.append((i, " ".join(["before"] * 9 + w[:at] + w[at + 1:] + ["after"] * 9)))
+            rows.append((i, " ".join(["before"] * 9 + w[:at] + ["inserted"] + w[at:] + ["after"] * 9)))
+        rows.append((i, " ".join(["before"] * 5 + w[:-(-len(w) * 6 // 10)] + ["after"] * 5)))
+    w = items[-1][1].split()
+    rows.append((len(items) - 1, " ".join(["before"] * 5 + w[:20])))    # 13 windows in a row of 52
+    frame = spark.createDataFrame([(1000 * i + n, t) for n, (i, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id for r in decontamination.contaminated(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {1000 * i + n for n, (i, _) in enumerate(rows)}
+
+
 def test_url_rules(spark):
     urls = ["http://A.org/x", "https://example.org/es/1", "http://www.example.org/en/12?x", "http://b.com/fr/", "http://b.com/de/1", "http://b.com/en/",
             "http://free-bets.b.net/en", "http://notorg/", "no url", None, "", "x://my.org", "http://spam-farm.org/", "ftp://a.com:80/de/", "http://a.net/spam"]
