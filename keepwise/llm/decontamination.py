@@ -134,13 +134,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     most ``window`` tokens apart (words inserted or deleted between them). An item
     is held where every slot value maps to one value and back and ``cover`` of its
     usable windows match or ``cover`` of its tokens stand there in runs of three;
-    or where ``run`` windows in a row (default: ``window``) are verbatim, whatever
-    their share. ``at`` is the first aligned token, ``exact`` tells whether no slot
+    where ``cover`` of its usable windows are verbatim, whatever the other slots;
+    or where ``run`` windows in a row (default: ``window``) are, whatever their share. ``at`` is the first aligned token, ``exact`` tells whether no slot
     value was changed. Items of fewer than ``window`` tokens are matched whole;
     windows (and items) with fewer than ``min_literals`` literal tokens carry no
     evidence and never match.
     Null and empty texts hold nothing; rows that repeat an id count once per id;
-    null ids are reported as null. Other columns are ignored; an empty table on
+    null ids, of documents or items, are reported as null. Other columns are ignored; an empty table on
     either side gives an empty table.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -172,7 +172,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         mapped = (side("b") == F.size("pairs")) & (side("d") == F.size("pairs"))
         enough = (F.size("matched") >= cover * F.col("item_windows")) | ((F.col("n") >= window) & (F.col("share") >= cover))
         long_run = (F.col("n") >= window) & (F.col("run") >= (run or window))
-        held = (groups.filter((mapped & enough) | long_run)
+        verbatim = F.size("same") >= cover * F.col("item_windows")
+        held = (groups.filter((mapped & enough) | verbatim | long_run)
                 .select(F.col("id").alias("doc_id"), "item_id", F.col("at").cast("int").alias("at"),
                         F.size("matched").cast("long").alias("windows"), "item_windows",
                         F.forall("pairs", lambda p: p["b"] == p["d"]).alias("exact")))

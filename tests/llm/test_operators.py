@@ -139,6 +139,16 @@ def test_decontamination_of_edited_and_cut_copies(spark):
     assert got == {1000 * i + n for n, (i, _) in enumerate(rows)}
 
 
+def test_decontamination_of_verbatim_windows_and_null_items(spark):
+    rng = random.Random(12)
+    item = "Tom " + " ".join(rng.choices(VOCAB, k=13)) + " Tom " + " ".join(rng.choices(VOCAB, k=2))
+    bench = [(1, item), (None, " ".join(rng.choices(VOCAB, k=25)))]
+    rows = [(20, item[::-1].replace("moT", "boB", 1)[::-1]), (21, "x " + bench[1][1])]    # 7 of 10 windows are verbatim
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert got == {(20, 1), (21, None)}
+
+
 def test_url_rules(spark):
     urls = ["http://A.org/x", "https://example.org/es/1", "http://www.example.org/en/12?x", "http://b.com/fr/", "http://b.com/de/1", "http://b.com/en/",
             "http://free-bets.b.net/en", "http://notorg/", "no url", None, "", "x://my.org", "http://spam-farm.org/", "ftp://a.com:80/de/", "http://a.net/spam"]
