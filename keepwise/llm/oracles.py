@@ -74,10 +74,26 @@ SELECT doc_id, CAST(len(list_filter(numbers, lambda x: x > 0)) AS BIGINT) AS kno
   coalesce(array_to_string(list_sort(list_distinct(list_filter([{hits}], lambda x: x IS NOT NULL))), ','), '') AS licenses FROM s"""
 
 
+_HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, list_dot_product(a.x, b.x)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM p JOIN scored n ON n.anchor_id = p.anchor_id AND n.label <> p.own
+  AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) QUALIFY row_number() OVER w <= 3"""
+
+
 ORACLE: dict[str, str] = {
     "op2_near_duplicates": _near_duplicates(3, 85),
     "op4_mixing": _MIXING,
     "op5_exact_duplicates": _EXACT,
     "op6_url_rules": _url_rules(),
     "op7_license_scan": _licenses(),
+    "op12_hard_negatives": _HARD_NEGATIVES,
 }

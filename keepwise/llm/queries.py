@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwise.llm import (decontamination, exact_dedup, license_scan, mixing, near_dup, secrets, token_counts,
-                          token_files, toxicity, url_rules)
+from keepwise.llm import (decontamination, exact_dedup, hard_negatives, license_scan, mixing, near_dup, secrets,
+                          token_counts, token_files, toxicity, url_rules, whitening)
 from keepwise.llm.common import saved, table
 from keepwise.llm.oracles import ORACLE  # noqa: F401
 
@@ -83,3 +83,13 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = saved(secrets.find_candidates(table(spark, sf_dir, "documents"), words), "findings")
     return (secrets.scan_secrets(found, found.filter(toxicity.in_training()))
             .select("doc_id", "start", F.length("value").cast("long").alias("length"), F.sha2("value", 256).alias("value_sha256"), "score", "secret"))
+
+
+@_query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined_negatives(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_embeddings(table(spark, sf_dir, "embeddings"))
