@@ -1,6 +1,7 @@
 """Helpers that several operators share: tables, text measures, saved tables, hot-safe joins."""
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_BATCH_BYTES = 4 << 20
+
+
+def table_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id long, text string) of ``docs`` on their way to Python workers, in Arrow batches of bounded bytes.
+
+    The bound is Spark's own setting, lowered in this session where it is larger: ten thousand whole texts,
+    the default size of a batch, may be more than a worker holds."""
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(re.match(r"-?\d+", conf.get(key))[0]) <= _BATCH_BYTES:
+        conf.set(key, str(_BATCH_BYTES))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

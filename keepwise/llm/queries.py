@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwise.llm import (decontamination, exact_dedup, hard_negatives, license_scan, mixing, near_dup, secrets,
+from keepwise.llm import (decontamination, exact_dedup, hard_negatives, license_scan, mixing, near_dup, pii, secrets,
                           token_counts, token_files, toxicity, url_rules, whitening)
 from keepwise.llm.common import saved, table
 from keepwise.llm.oracles import ORACLE  # noqa: F401
@@ -85,6 +85,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "start", F.length("value").cast("long").alias("length"), F.sha2("value", 256).alias("value_sha256"), "score", "secret"))
 
 
+@_query
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digests(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 @_query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined_negatives(table(spark, sf_dir, "embeddings"))
