@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keepwise.operators.quantile import kth_values
+from keepwise.operators.quantile import kth_value
 from keepwise.session import materialize
 
 _LOW_BITS = (1 << 33) - 1
@@ -56,7 +56,7 @@ def sum_of_top(df: DataFrame, col: str, k: int) -> float:
     if n == 0 or k <= 0:
         return 0.0
     k = min(k, n)
-    v = kth_values(df, col, {(): {n - k}})[((), n - k)]
+    v = kth_value(df, col, n - k, n)
     row = df.agg(F.sum(F.when(F.col(col) > v, F.col(col))).alias("s"),
                  F.count_if(F.col(col) > v).alias("c")).first()
     return float(row["s"] or 0.0) + (k - row["c"]) * v

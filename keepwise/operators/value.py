@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwise.config import CONTRACT_HORIZON, DEFAULT_HORIZON, Economics
-from keepwise.operators.quantile import kth_values
+from keepwise.operators.quantile import kth_value
 from keepwise.operators.ranking import global_rank, top_k
 
 VAR_REPORT_COLUMNS = ["customerID", "Contract", "MonthlyCharges", "tenure",
@@ -56,7 +56,7 @@ def value_at_risk_summary(df_with_var: DataFrame) -> DataFrame:
     n = df_with_var.where(F.col(col).isNotNull()).count()
     k = max(1, n // 10)
     # the k-th largest value is found by distributed selection; the rest is one pass
-    v = kth_values(df_with_var, col, {(): {max(0, n - k)}})[((), max(0, n - k))] if n else 0.0
+    v = kth_value(df_with_var, col, max(0, n - k), n) if n else 0.0
     x = F.col(col)
     agg = df_with_var.agg(F.count(F.lit(1)).alias("n_customers"),
                           F.sum(x).alias("total_value_at_risk"),

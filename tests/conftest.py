@@ -28,3 +28,9 @@ def sf_dir():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="keepwise-test-")
+
+
+@pytest.fixture(scope="module")
+def monkeypatch_module():
+    with pytest.MonkeyPatch.context() as patch:
+        yield patch

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from keepwise.operators.features import add_engineered_features
 from keepwise.operators.metrics import prefix_sums
+from keepwise.operators import quantile
 from keepwise.operators.quantile import exact_quantiles
 from keepwise.operators.ranking import global_rank
 
@@ -34,10 +35,10 @@ def test_global_rank_dense_and_sorted(spark, vals, parts):
 
 
 @SETTINGS
-@given(vals=st.lists(st.integers(0, 9), min_size=1, max_size=400), buckets=st.integers(1, 32))
-def test_prefix_sums_equal_cumsum(spark, vals, buckets):
-    df = spark.createDataFrame([(float(i), v) for i, v in enumerate(vals)], "k double, v long")
-    out = prefix_sums(df, "k", ["v"], bucket_rows=-(-len(vals) // buckets)).orderBy("k").collect()
+@given(vals=st.lists(st.integers(0, 9), min_size=1, max_size=400), parts=st.integers(1, 9))
+def test_prefix_sums_equal_cumsum(spark, vals, parts):
+    df = spark.createDataFrame([(float(i), v) for i, v in enumerate(vals)], "k double, v long").repartition(parts)
+    out = prefix_sums(df, "k", ["v"]).orderBy("k").collect()
     assert [x["v_cum"] for x in out] == list(np.cumsum(vals))
 
 
@@ -45,3 +46,32 @@ def test_empty_input_keeps_working(spark):
     df = spark.createDataFrame([], "tenure int, TotalCharges double, MonthlyCharges double")
     assert exact_quantiles(df, "MonthlyCharges", [0.5]) == [None]
     assert add_engineered_features(df).count() == 0
+
+
+@SETTINGS
+@given(vals=st.lists(st.floats(-5, 5) | st.sampled_from([0.0, 1.0, float("inf"), float("-inf"), float("nan"), None]), min_size=1, max_size=300),
+       accuracy=st.sampled_from([3, 10, 100_000]))
+def test_quantiles_are_exact_whatever_the_sketch(spark, monkeypatch_module, vals, accuracy):
+    """A sketch too coarse for its margin misses ranks; wider brackets still find them."""
+    monkeypatch_module.setattr(quantile, "ACCURACY", accuracy)
+    df = spark.createDataFrame([(i % 3 if i % 5 else None, v) for i, v in enumerate(vals)], "g int, v double")
+    probs = [0.0, 0.1, 0.5, 0.75, 1.0]
+
+    def want(xs):
+        xs = sorted(x for x in xs if x is not None and x == x)
+        out = []
+        for p in probs if xs else []:
+            h = (len(xs) - 1) * p
+            a, b = xs[int(h)], xs[min(len(xs) - 1, int(h) + (h > int(h)))]
+            out.append(a if a == b else a + (b - a) * (h - int(h)))
+        return out
+
+    same = lambda a, b: a == b or (a != a and b != b) or abs(a - b) < 1e-12
+    got = exact_quantiles(df, "v", probs)
+    assert (got == [None] * 5) if not want(vals) else all(map(same, got, want(vals)))
+    by = {}
+    for r in quantile.grouped_quantiles(df, "v", probs, ["g"]).orderBy("q").collect():
+        by.setdefault(r["g"], []).append(r["value"])
+    for g in {0, 1, 2, None}:
+        xs = want([v for i, v in enumerate(vals) if (i % 3 if i % 5 else None) == g])
+        assert len(by.get(g, [])) == len(xs) and all(map(same, by.get(g, []), xs))
