@@ -2,17 +2,15 @@
 
 Ranking metrics work on the table of distinct scores (one row per score with
 positive/negative counts).  Cumulative counts over that table are computed by
-``prefix_sums``: the scores are cut into ~equal-sized range buckets
-(approximate quantile edges + ``Bucketizer`` binary search), each bucket gets
-its offset from a table with one row per bucket, and the running sum inside a
-bucket is an ordinary window partitioned by the bucket.  No step moves all
-rows into one task.
+``prefix_sums``: one distributed sort range-partitions the scores, each partition
+is a bucket that gets its offset from a table with one row per bucket, and the
+running sum inside a bucket is an ordinary window partitioned by the bucket.  No
+step moves all rows into one task, and no edges pass through the driver.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,28 +18,21 @@ from keepwise.operators.quantile import exact_quantiles
 from keepwise.session import materialize
 
 
-def prefix_sums(df: DataFrame, order_col: str, cols: Sequence[str], descending: bool = False,
-                bucket_rows: int = 50_000, suffix: str = "_cum", by: Sequence[str] = ()) -> DataFrame:
-    """Inclusive running sums of ``cols`` in ``order_col`` order, per ``by`` group.
+def ordered(df: DataFrame, order_col: str, by: Sequence[str] = (), descending: bool = False) -> DataFrame:
+    """``df`` sorted by group and ``order_col``, its range partitions numbered as buckets (``_bk``, order in ``_key``).
 
-    ``order_col`` values must be distinct within a group; NULL and NaN have no
-    place in the order and are left out.  Bucket edges are approximate quantiles
-    of the order column, as many as ``bucket_rows`` rows a bucket ask for, so a
-    (group, bucket) window stays as small when the data grow.
+    NULL and NaN have no place in the order and are left out.  The sorted table is
+    checkpointed once: running sums over it read the same buckets whatever executors are lost.
     """
-    by = list(by)
     key = F.col(order_col).cast("double")
-    # the edges, the bucket totals and the running sums all read this input:
-    # checkpoint it once instead of re-running its (aggregating) lineage three times
-    work = materialize(df.where(key.isNotNull() & ~F.isnan(key)).withColumn("_key", -key if descending else key))
-    n_buckets = -(-work.count() // bucket_rows)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = sorted(set(work.approxQuantile("_key", probs, 0.25 / n_buckets))) if probs else []
-    if edges:
-        splits = [float("-inf"), *edges, float("inf")]
-        work = Bucketizer(splits=splits, inputCol="_key", outputCol="_bk").transform(work)
-    else:
-        work = work.withColumn("_bk", F.lit(0.0))
+    work = df.where(key.isNotNull() & ~F.isnan(key)).withColumn("_key", -key if descending else key)
+    work = work.orderBy(*by, "_key").withColumn("_bk", F.shiftright(F.monotonically_increasing_id(), 33))
+    return materialize(work)
+
+
+def running_sums(work: DataFrame, cols: Sequence[str], suffix: str = "_cum", by: Sequence[str] = ()) -> DataFrame:
+    """Inclusive running sums of ``cols`` over an ``ordered`` table, per ``by`` group."""
+    by = list(by)
     totals = work.groupBy(*by, "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     # one row per (group, bucket)
     before = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
@@ -51,7 +42,16 @@ def prefix_sums(df: DataFrame, order_col: str, cols: Sequence[str], descending:
     out = work.join(offsets, [*by, "_bk"])
     for c in cols:
         out = out.withColumn(c + suffix, F.col(f"_o_{c}") + F.sum(c).over(inside))
-    return out.drop("_key", "_bk", *[f"_o_{c}" for c in cols])
+    return out.drop(*[f"_o_{c}" for c in cols])
+
+
+def prefix_sums(df: DataFrame, order_col: str, cols: Sequence[str], descending: bool = False,
+                suffix: str = "_cum", by: Sequence[str] = ()) -> DataFrame:
+    """Inclusive running sums of ``cols`` in ``order_col`` order, per ``by`` group (groups must not be NULL).
+
+    ``order_col`` values must be distinct within a group.
+    """
+    return running_sums(ordered(df, order_col, by, descending), cols, suffix, by).drop("_key", "_bk")
 
 
 def score_table(df: DataFrame, label: str = "Churn", prob: str = "churn_probability",

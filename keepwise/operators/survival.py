@@ -7,8 +7,9 @@ survival a running product over that small table (partitioned by group).
 Cox PH: every Newton iteration aggregates, per distinct duration, the sums of
 w, w*x, w*x*x' (all rows and event rows) with w = exp(x'b); the risk-set sums
 are descending prefix sums over the durations, and the Efron terms of tied
-events are summed in Spark, so only the gradient and the p x p Hessian reach
-the driver, whatever the number of distinct durations or ties.  Ties: Efron.  Covariates are standardised and a ridge
+events are sums in closed form, one row per duration, so only the gradient and
+the p x p Hessian reach the driver, whatever the number of distinct durations or
+ties.  Ties: Efron.  Covariates are standardised and a ridge
 penalty 0.5 * n * penalizer * |b|^2 is applied on that scale; coefficients are
 mapped back to the original units.
 """
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwise.functions.distributions import norm_two_sided
@@ -45,22 +46,29 @@ def km_table(df: DataFrame, duration: str = "tenure", event: str = "Churn",
 def _km_table(df: DataFrame, duration: str, event: str, group: str | None) -> DataFrame:
     """(group?, timeline, n_at_risk, n_events, survival) at every observed time.
 
-    Rows are aggregated to one row per (group, time) first; at-risk counts and
-    S = exp(sum log(1 - d/n)), exactly 0 once an at-risk set is exhausted, come
-    from bucketed running sums.  Rows without a group or duration are left out.
+    Rows are aggregated to one row per (group, time), sorted and written once; at-risk
+    counts (all of the group less those who left before) and S = exp(sum log(1 - d/n)),
+    exactly 0 once an at-risk set is exhausted, are running sums over its buckets.
+    Rows without a group or duration are left out.
     """
-    from keepwise.operators.metrics import prefix_sums
+    from keepwise.operators.metrics import ordered, running_sums
 
     keys = [group] if group else []
     per_t = df.na.drop(subset=[*keys, duration]).groupBy(*keys, F.col(duration).cast("double").alias("timeline")).agg(
         F.count(F.lit(1)).alias("n_t"), F.sum(F.col(event).cast("long")).alias("n_events"))
-    risk = prefix_sums(per_t, "timeline", ["n_t"], descending=True, by=keys).withColumnRenamed(
-        "n_t_cum", "n_at_risk")
+    work = ordered(per_t, "timeline", keys)
+    sizes = work.groupBy(*keys).agg(F.sum("n_t").alias("_all"))
+    gone = running_sums(work, ["n_t"], by=keys)
+    if keys:
+        gone = gone.join(sizes, keys)                     # one row per group
+    else:
+        gone = gone.withColumn("_all", F.lit(sizes.first()["_all"]).cast("long"))
+    risk = gone.withColumn("n_at_risk", F.col("_all") - F.col("n_t_cum") + F.col("n_t"))
     exhausted = F.col("n_events") >= F.col("n_at_risk")
     terms = (risk.withColumn("_log", F.when(exhausted, F.lit(0.0))
                              .otherwise(F.log1p(-F.col("n_events") / F.col("n_at_risk"))))
                  .withColumn("_zero", F.when(exhausted, 1).otherwise(0).cast("long")))
-    run = prefix_sums(terms, "timeline", ["_log", "_zero"], by=keys)
+    run = running_sums(terms, ["_log", "_zero"], by=keys)
     surv = F.when(F.col("_zero_cum") > 0, F.lit(0.0)).otherwise(F.exp(F.col("_log_cum")))
     return run.select(*keys, "timeline", "n_at_risk", "n_events", surv.alias("survival"))
 
@@ -78,7 +86,33 @@ def median_survival(df: DataFrame, group: str, duration: str = "tenure",
                .orderBy("median_survival_months", group))
 
 
-_TIE_CHUNK = 4096
+_DIRECT = 12
+
+
+def _tie_sums(a: Column, d: Column) -> tuple[Column, Column, Column]:
+    """Sums of log y, 1 / y and 1 / y^2 over y = a, a - 1, ..., a - d + 1 (a >= d >= 1), whatever d, in fixed work.
+
+    They are differences of the log-gamma, digamma and trigamma functions: the ``_DIRECT`` smallest
+    terms are added one by one, the rest by the Euler-Maclaurin formula, whose differences are
+    written so that a much larger than d loses no digits.
+    """
+    low = a - d + 1
+    few = F.sequence(F.lit(0), (F.least(d, F.lit(_DIRECT)) - 1).cast("int"))
+
+    def direct(f):
+        return F.aggregate(F.transform(few, lambda j: f(low + j)), F.lit(0.0), lambda s, v: s + v)
+
+    left = low + _DIRECT                                   # smallest of the remaining terms; a is the largest
+    gap = a - left
+    rest = d > _DIRECT
+    log = (gap * (F.log(a) - 1) + left * F.log1p(gap / left) + (F.log(a) + F.log(left)) / 2 + (1 / a - 1 / left) / 12
+           - (1 / F.pow(a, F.lit(3)) - 1 / F.pow(left, F.lit(3))) / 360 + (1 / F.pow(a, F.lit(5)) - 1 / F.pow(left, F.lit(5))) / 1260)
+    one = (F.log1p(gap / left) + (1 / a + 1 / left) / 2 - (1 / F.pow(a, F.lit(2)) - 1 / F.pow(left, F.lit(2))) / 12
+           + (1 / F.pow(a, F.lit(4)) - 1 / F.pow(left, F.lit(4))) / 120 - (1 / F.pow(a, F.lit(6)) - 1 / F.pow(left, F.lit(6))) / 252)
+    two = (gap / (a * left) + (1 / F.pow(a, F.lit(2)) + 1 / F.pow(left, F.lit(2))) / 2 - (1 / F.pow(a, F.lit(3)) - 1 / F.pow(left, F.lit(3))) / 6
+           + (1 / F.pow(a, F.lit(5)) - 1 / F.pow(left, F.lit(5))) / 30 - (1 / F.pow(a, F.lit(7)) - 1 / F.pow(left, F.lit(7))) / 42)
+    return tuple(direct(f) + F.when(rest, g).otherwise(F.lit(0.0))
+                 for f, g in ((F.log, log), (lambda y: 1 / y, one), (lambda y: 1 / (y * y), two)))
 
 
 def _efron_pass(z: DataFrame, beta: np.ndarray, p: int, pairs: list) -> tuple:
@@ -86,9 +120,11 @@ def _efron_pass(z: DataFrame, beta: np.ndarray, p: int, pairs: list) -> tuple:
 
     1. one row per distinct duration: sums of w, w*z, w*z*z' (all rows, event rows);
     2. risk-set sums = descending inclusive running sums over durations (bucketed);
-    3. tied events at a duration are expanded (in chunks spread over tasks) to
-       one row per tie index l, each contributing its Efron term; one final
-       aggregation returns p + p(p+1)/2 + 1 numbers.
+    3. the Efron terms of d tied events in closed form (``_tie_sums``), one row per duration
+       however many ties it has; one final aggregation returns p + p(p+1)/2 + 1 numbers.
+
+    With W, E the risk set's and the events' sums of w, the l-th tied term's weight is
+    W - l E / d = (E / d) (a - l) for a = W d / E.
     """
     from keepwise.operators.metrics import prefix_sums
 
@@ -109,20 +145,20 @@ def _efron_pass(z: DataFrame, beta: np.ndarray, p: int, pairs: list) -> tuple:
     per_t = z.groupBy("_t").agg(*aggs)
     risk_cols = ["w", *[f"wx{i}" for i in range(p)], *[f"wxx{i}_{j}" for i, j in pairs]]
     risk = prefix_sums(per_t, "_t", risk_cols, descending=True)
-    events = risk.where(F.col("d") > 0)
-    chunks = events.withColumn("_c", F.explode(F.sequence(F.lit(0), F.floor((F.col("d") - 1) / _TIE_CHUNK))))
-    chunks = chunks.repartition(max(1, z.sparkSession.sparkContext.defaultParallelism))
-    ties = chunks.withColumn("_l", F.explode(F.sequence(
-        F.col("_c") * _TIE_CHUNK, F.least(F.col("_c") * _TIE_CHUNK + (_TIE_CHUNK - 1), F.col("d") - 1))))
-    a = F.col("_l") / F.col("d")
-    first = F.col("_l") == 0            # per-duration terms counted once
-    phi0 = F.col("w_cum") - a * F.col("ew")
-    phi1 = [F.col(f"wx{i}_cum") - a * F.col(f"ewx{i}") for i in range(p)]
-    terms = [F.sum(F.when(first, F.col("exb")).otherwise(F.lit(0.0)) - F.log(phi0)).alias("ll")]
-    terms += [F.sum(F.when(first, F.col(f"ex{i}")).otherwise(F.lit(0.0)) - phi1[i] / phi0).alias(f"g{i}")
-              for i in range(p)]
-    terms += [F.sum(-((F.col(f"wxx{i}_{j}_cum") - a * F.col(f"ewxx{i}_{j}")) / phi0
-                      - phi1[i] * phi1[j] / (phi0 * phi0))).alias(f"h{i}_{j}") for i, j in pairs]
+    d, ew = F.col("d").cast("double"), F.col("ew")
+    whole = F.greatest(F.col("w_cum"), ew)                 # equal when all at risk have the event: no rounding below it
+    logs, ones, twos = _tie_sums(whole * d / ew, d)
+    keep = [c for c in risk.columns if c not in risk_cols]
+    ties = risk.where(F.col("d") > 0).select(*keep, logs.alias("_s0"), ones.alias("_s1"), twos.alias("_s2"), (whole / ew).alias("_q"), (d / ew).alias("_r"))
+    u = [F.col(f"wx{i}_cum") - F.col("_q") * F.col(f"ewx{i}") for i in range(p)]
+    v = [F.col(f"ewx{i}") / ew for i in range(p)]
+    s1, s2, r = F.col("_s1"), F.col("_s2"), F.col("_r")
+    terms = [F.sum(F.col("exb") - F.col("_s0") + d * F.log(r)).alias("ll")]
+    terms += [F.sum(F.col(f"ex{i}") - r * u[i] * s1 - d * v[i]).alias(f"g{i}") for i in range(p)]
+    for i, j in pairs:
+        second = r * (F.col(f"wxx{i}_{j}_cum") - F.col("_q") * F.col(f"ewxx{i}_{j}")) * s1 + d * F.col(f"ewxx{i}_{j}") / ew
+        square = r * r * u[i] * u[j] * s2 + r * (u[i] * v[j] + u[j] * v[i]) * s1 + d * v[i] * v[j]
+        terms.append(F.sum(square - second).alias(f"h{i}_{j}"))
     t = ties.agg(*terms).first()
     ll = float(t["ll"] or 0.0)
     g = np.array([float(t[f"g{i}"] or 0.0) for i in range(p)])

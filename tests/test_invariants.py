@@ -56,7 +56,7 @@ def test_prefix_sums_match_cumsum(spark):
     keys = rng.permutation(5000).astype(float)
     vals = rng.integers(0, 10, 5000)
     df = spark.createDataFrame([(float(k), int(v), int(k) % 2) for k, v in zip(keys, vals)], "k double, v long, g int")
-    out = M.prefix_sums(df, "k", ["v"], descending=True, bucket_rows=300, by=["g"]).toPandas()
+    out = M.prefix_sums(df, "k", ["v"], descending=True, by=["g"]).toPandas()
     for g in (0, 1):
         sub = out[out.g == g].sort_values("k", ascending=False)
         assert list(sub["v_cum"]) == list(np.cumsum(sub["v"]))
@@ -306,3 +306,28 @@ def test_average_precision_evaluator_on_vector_probabilities(spark):
     ap, _ = _brute_ap_auc(y, p)
     assert AveragePrecisionEvaluator().evaluate(df) == pytest.approx(ap, abs=1e-12)
     assert AveragePrecisionEvaluator().isLargerBetter()
+
+
+def test_cox_tie_sums_in_closed_form(spark):
+    def tie_sums(a, d):
+        y = [a - i for i in range(d)]
+        return math.fsum(map(math.log, y)), math.fsum(1 / v for v in y), math.fsum(1 / v ** 2 for v in y)
+
+    cases = [(float(a), float(d)) for d in (1, 2, 11, 12, 13, 14, 50, 5000) for a in (d, d + 0.25, d + 3.7, 2.0 * d, 1e3 * d, 1e8 * d)]
+    df = spark.createDataFrame(cases, "a double, d double")
+    cols = SV._tie_sums(F.col("a"), F.col("d"))
+    for r in df.select("a", "d", *[c.alias(f"s{i}") for i, c in enumerate(cols)]).collect():
+        for i, want in enumerate(tie_sums(r["a"], int(r["d"]))):
+            assert r[f"s{i}"] == pytest.approx(want, rel=1e-11), (r["a"], r["d"], i)
+
+
+def test_cox_with_many_ties_matches_numpy(spark):
+    rng = np.random.default_rng(8)
+    n = 3000
+    x = np.column_stack([rng.normal(size=n), rng.integers(0, 2, n)])
+    t = np.ceil(rng.exponential(np.exp(-0.6 * x[:, 0]) * 3)).clip(1, 6)        # six durations: hundreds of ties each
+    e = (rng.random(n) < 0.7).astype(int)
+    df = spark.createDataFrame([(float(a), int(b), float(c), float(f)) for a, b, c, f in zip(t, e, x[:, 0], x[:, 1])], "tenure double, Churn int, x1 double, x2 double")
+    got = {r["feature"]: r["coef"] for r in SV.cox_ph(df, ["x1", "x2"], penalizer=0.1).collect()}
+    want = _numpy_cox(t, e, x, 0.1)
+    assert [got["x1"], got["x2"]] == pytest.approx(list(want), abs=1e-8)
