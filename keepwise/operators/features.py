@@ -33,6 +33,11 @@ def _flag(cond: Column) -> Column:
     return F.when(cond, 1).otherwise(0)
 
 
+def premium_flag(charge: Column, threshold: float | None) -> Column:
+    """No threshold (empty input): nobody is premium."""
+    return _flag(charge >= F.lit(float(threshold))) if threshold is not None else F.lit(0)
+
+
 def fit_premium_threshold(df: DataFrame, col: str = "MonthlyCharges") -> float:
     return exact_quantiles(df, col, [PREMIUM_QUANTILE])[0]
 
@@ -43,11 +48,16 @@ def add_engineered_features(df: DataFrame, premium_threshold: float | None = Non
     ``premium_threshold=None`` uses the frame's own 75th percentile (the
     reference's behaviour, Q1); pass a fitted value for leakage-free use.
     """
+    if premium_threshold is None:
+        premium_threshold = fit_premium_threshold(df)
+    return add_row_features(df).withColumn("is_premium", premium_flag(F.col("MonthlyCharges"), premium_threshold))
+
+
+def add_row_features(df: DataFrame) -> DataFrame:
+    """The eight engineered columns that need no fitted statistic (models fit ``is_premium`` themselves)."""
     cols = set(df.columns)
     services = [c for c in SERVICE_COLS if c in cols]
     num_services = sum((_flag(F.col(c) == "Yes") for c in services), F.lit(0))
-    if premium_threshold is None:
-        premium_threshold = fit_premium_threshold(df)
     new = {
         "tenure_group": tenure_group(F.col("tenure")),
         "num_services": num_services,
@@ -55,9 +65,6 @@ def add_engineered_features(df: DataFrame, premium_threshold: float | None = Non
         "avg_charges_per_tenure": F.col("TotalCharges")
         / F.when(F.col("tenure") == 0, F.lit(1)).otherwise(F.col("tenure")),
         "charge_tenure_ratio": F.col("MonthlyCharges") / (F.col("tenure") + F.lit(1)),
-        # no threshold (empty input): nobody is premium
-        "is_premium": _flag(F.col("MonthlyCharges") >= F.lit(float(premium_threshold)))
-        if premium_threshold is not None else F.lit(0),
     }
     if "PaymentMethod" in cols:
         new["is_autopay"] = _flag(F.coalesce(F.lower(F.col("PaymentMethod"))

@@ -2,9 +2,8 @@
 learned numbers have no SQL formulation; the split and its folds have one).
 
 One calibrated logistic model is trained per input folder and shared by the
-scoring, threshold and explanation queries.  The registered bake-off uses
-30 trees / 30 boosting rounds instead of ``ModelParams()`` so the per-round
-check stays bounded; every training row is held out once (5 folds).
+scoring, threshold and explanation queries.  The registered bake-off runs
+``ModelParams()`` as it is; every training row is held out once (5 folds).
 """
 from __future__ import annotations
 
@@ -19,12 +18,12 @@ from keepwise.models import explain as X
 from keepwise.models.calibrate import calibrate
 from keepwise.models.pipeline import CATEGORICAL, NUMERIC, ModelParams, preprocessor_stages, with_label
 from keepwise.models.scoring import ChurnScorer
-from keepwise.models.selection import CANDIDATES, bakeoff, prepare_training
+from keepwise.models.selection import CANDIDATES, bakeoff
 from keepwise.models.smote import oversample
 from keepwise.models.split import split_summary, stratified_split
 from keepwise.operators import metrics as M
 from keepwise.operators import threshold as TH
-from keepwise.operators.features import add_engineered_features, fit_premium_threshold
+from keepwise.operators.features import add_row_features, fit_premium_threshold, premium_flag
 from keepwise.operators.ranking import top_k
 from keepwise.operators.segments import kmeans_segments, strategy_matrix
 from keepwise.operators.value import with_value_at_risk
@@ -34,7 +33,6 @@ from keepwise.plans.oracle import with_base
 from keepwise.session import materialize
 
 ECON = Economics()
-CHECK_PARAMS = ModelParams(rf_trees=30, gbt_rounds=30)
 _CACHE: dict = {}
 _LOCK = threading.RLock()     # one training per folder even when queries run in parallel threads
 
@@ -48,16 +46,8 @@ def split_table(spark, sf):
     key = ("split", sf, _ctx(spark))
     with _LOCK:
         if key not in _CACHE:
-            split = materialize(stratified_split(cleaned_base(spark, sf).drop("churn_probability")))
-            # the premium threshold is a fitted number: from the training rows only
-            limit = fit_premium_threshold(split.where(F.col("split") == "train"))
-            _CACHE[key] = (add_engineered_features(split, limit), limit)
-        return _CACHE[key][0]
-
-
-def train_threshold(spark, sf) -> float:
-    split_table(spark, sf)
-    return _CACHE["split", sf, _ctx(spark)][1]
+            _CACHE[key] = materialize(add_row_features(stratified_split(cleaned_base(spark, sf).drop("churn_probability"))))
+        return _CACHE[key]
 
 
 def trained(spark, sf):
@@ -65,11 +55,11 @@ def trained(spark, sf):
     key = ("model", sf, _ctx(spark))
     with _LOCK:
         if key not in _CACHE:
-            data = materialize(prepare_training(split_table(spark, sf), "logistic_regression"))
+            data = with_label(split_table(spark, sf))
             model = calibrate(data.where(F.col("split") == "train"), "logistic_regression", ModelParams())
             val = model.transform(data.where(F.col("split") == "val"))
             t = TH.optimize_threshold(val, ECON).first()["best_threshold"]
-            _CACHE[key] = (data, ChurnScorer(model, t, train_threshold(spark, sf)))
+            _CACHE[key] = (data, ChurnScorer(model, t))
         return _CACHE[key]
 
 
@@ -130,7 +120,7 @@ def q_smote_balance(spark, sf):
     parts = []
     for k in range(DEFAULT.cv_folds):
         fit = with_label(train.where(F.col("fold") != k))
-        encoded = Pipeline(stages=preprocessor_stages(fit)).fit(fit).transform(fit)
+        encoded = Pipeline(stages=preprocessor_stages()).fit(fit).transform(fit)
         parts.append(oversample(encoded).groupBy(F.lit(k).alias("fold"), F.col("label").cast("int").alias("Churn"))
                      .agg(F.count(F.lit(1)).alias("n"), F.count_if("synthetic").alias("n_synthetic")))
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -147,7 +137,7 @@ def q_explanation_sample_test(spark, sf):
 
 @register("bakeoff_leaderboard")
 def q_bakeoff_leaderboard(spark, sf):
-    board, _ = bakeoff(split_table(spark, sf), CANDIDATES, CHECK_PARAMS, folds=5)
+    board, _ = bakeoff(split_table(spark, sf), CANDIDATES, ModelParams(), folds=5)
     return board
 
 
@@ -204,7 +194,9 @@ def q_strategy_matrix_kmeans(spark, sf):
 @register("permutation_importance")
 def q_permutation_importance(spark, sf):
     data, scorer = trained(spark, sf)
-    test = data.where(F.col("split") == "test")
+    # the flag is a feature like any other here: given, so that its permutation counts
+    limit = fit_premium_threshold(data.where(F.col("split") == "train"))
+    test = data.where(F.col("split") == "test").withColumn("is_premium", premium_flag(F.col("MonthlyCharges"), limit))
     return X.permutation_importance(scorer.model, test, NUMERIC + CATEGORICAL)
 
 

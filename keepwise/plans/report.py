@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from keepwise.config import Economics
 from keepwise.models import explain as X
 from keepwise.models.calibrate import calibrate
-from keepwise.models.pipeline import CATEGORICAL, NUMERIC, ModelParams
+from keepwise.models.pipeline import CATEGORICAL, NUMERIC, ModelParams, with_label
 from keepwise.models.scoring import ChurnScorer
-from keepwise.models.selection import CANDIDATES, bakeoff, prepare_training
+from keepwise.models.selection import CANDIDATES, bakeoff
 from keepwise.models.split import stratified_split
 from keepwise.operators import metrics as M
 from keepwise.operators import policy as PO
@@ -26,10 +26,11 @@ from keepwise.operators import stats as S
 from keepwise.operators import survival as SV
 from keepwise.operators import threshold as TH
 from keepwise.operators import uplift as U
+from keepwise.operators.features import fit_premium_threshold, premium_flag
 from keepwise.operators.ranking import top_k
 from keepwise.operators.segments import kmeans_segments, strategy_matrix
 from keepwise.operators.value import top_value_at_risk, value_at_risk_summary, with_value_at_risk
-from keepwise.plans.base import featured_base, premium_threshold
+from keepwise.plans.base import featured_base
 from keepwise.plans.q_profile import CATEGORICAL as EDA_CATEGORICAL
 from keepwise.plans.q_profile import NUMERIC as EDA_NUMERIC
 from keepwise.session import materialize
@@ -43,19 +44,19 @@ def run_reports(spark: SparkSession, data_dir: str, out_dir: str, params: ModelP
         return os.path.join(out_dir, name)
 
     featured = featured_base(spark, data_dir)
-    model_input = featured.drop("churn_probability")
+    model_input = featured.drop("churn_probability", "is_premium")       # models flag by their own threshold
     # 1-2: split, bake-off, calibration of the winner, threshold on validation
     split = materialize(stratified_split(model_input))
     board, _ = bakeoff(split, candidates, params, folds)
     board = board.cache()
     write_report(board, out("leaderboard"))
     best = board.first()["model"]
-    data = materialize(prepare_training(split, best))
+    data = with_label(split)
     model = calibrate(data.where(F.col("split") == "train"), best, params, folds)
     val = model.transform(data.where(F.col("split") == "val"))
     thr = TH.optimize_threshold(val, econ).first().asDict()
     test = model.transform(data.where(F.col("split") == "test")).select("Churn", "churn_probability")
-    scorer = ChurnScorer(model, thr["best_threshold"], premium_threshold(spark, data_dir))
+    scorer = ChurnScorer(model, thr["best_threshold"])
     scorer.save(out("model"))
     rank = M.ranking_metrics(test).first().asDict()
     # profit uplift of the validation-chosen threshold, re-measured on the test split (101 grid rows)
@@ -78,7 +79,8 @@ def run_reports(spark: SparkSession, data_dir: str, out_dir: str, params: ModelP
     write_report(S.numeric_significance(featured, EDA_NUMERIC), out("eda_numeric_significance"))
     # 4-5: evaluation curve on test, importance
     write_report(TH.profit_curve(test, econ), out("profit_curve"))
-    test_rows = data.where(F.col("split") == "test")
+    limit = fit_premium_threshold(data.where(F.col("split") == "train"))
+    test_rows = data.where(F.col("split") == "test").withColumn("is_premium", premium_flag(F.col("MonthlyCharges"), limit))
     write_report(X.permutation_importance(model, test_rows, NUMERIC + CATEGORICAL), out("feature_importance"))
     # 6: survival
     write_report(SV.median_survival(featured, "Contract"), out("median_survival_by_contract"))

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +66,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _SHIPPED: set[str] = set()
+_SHIPPING = threading.Lock()      # fits run in several threads
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -77,18 +79,19 @@ def ship_package(spark: SparkSession) -> None:
 
     sc = spark.sparkContext
     key = sc.applicationId
-    if key in _SHIPPED:
-        return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    root = os.path.dirname(pkg_dir)
-    out = os.path.join(tempfile.mkdtemp(prefix="keepwise-pkg-"), "keepwise.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
-        for dirpath, _, files in os.walk(pkg_dir):
-            if "__pycache__" in dirpath:
-                continue
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(dirpath, f)
-                    zf.write(full, os.path.relpath(full, root))
-    sc.addPyFile(out)
-    _SHIPPED.add(key)
+    with _SHIPPING:
+        if key in _SHIPPED:
+            return
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg_dir)
+        out = os.path.join(tempfile.mkdtemp(prefix="keepwise-pkg-"), "keepwise.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+            for dirpath, _, files in os.walk(pkg_dir):
+                if "__pycache__" in dirpath:
+                    continue
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(dirpath, f)
+                        zf.write(full, os.path.relpath(full, root))
+        sc.addPyFile(out)
+        _SHIPPED.add(key)

@@ -151,7 +151,7 @@ def test_preprocessor_maps_unseen_levels_to_all_zeros(spark):
     from pyspark.ml.functions import vector_to_array
     from keepwise.models.pipeline import preprocessor_stages
     train = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (None, "a"), (4.0, None)], "x double, c string")
-    model = Pipeline(stages=preprocessor_stages(train, ["x"], ["c"])).fit(train)
+    model = Pipeline(stages=preprocessor_stages(["x"], ["c"])).fit(train)
     rows = {r["c"]: r["v"] for r in model.transform(
         spark.createDataFrame([(3.0, "a"), (3.0, "b"), (3.0, "zzz"), (None, None)], "x double, c string"))
         .select("c", vector_to_array("features").alias("v")).collect()}
