@@ -31,4 +31,4 @@ def load_all() -> None:
     """Import every query module so the registry is complete."""
     from keepwise.plans import (q_core, q_metrics, q_ml, q_policy, q_profile,  # noqa: F401
                                 q_stats, q_survival)
-    from keepwise.plans import q_io, q_missing  # noqa: F401
+    from keepwise.plans import q_io, q_missing, q_report  # noqa: F401

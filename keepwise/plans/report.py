@@ -20,7 +20,6 @@ from keepwise.models.pipeline import CATEGORICAL, NUMERIC, ModelParams, with_lab
 from keepwise.models.scoring import ChurnScorer
 from keepwise.models.selection import CANDIDATES, bakeoff
 from keepwise.models.split import stratified_split
-from keepwise.operators import metrics as M
 from keepwise.operators import policy as PO
 from keepwise.operators import stats as S
 from keepwise.operators import survival as SV
@@ -29,12 +28,13 @@ from keepwise.operators import uplift as U
 from keepwise.operators.features import fit_premium_threshold, premium_flag
 from keepwise.operators.ranking import top_k
 from keepwise.operators.segments import kmeans_segments, strategy_matrix
-from keepwise.operators.value import top_value_at_risk, value_at_risk_summary, with_value_at_risk
+from keepwise.operators.value import top_value_at_risk, with_value_at_risk
 from keepwise.plans.base import featured_base
 from keepwise.plans.q_profile import CATEGORICAL as EDA_CATEGORICAL
 from keepwise.plans.q_profile import NUMERIC as EDA_NUMERIC
+from keepwise.plans.q_report import executive_summary, metrics_report
 from keepwise.session import materialize
-from keepwise.sources.sinks import write_dict, write_report
+from keepwise.sources.sinks import write_dict, write_record, write_report
 from keepwise.sources.tables import select_present
 
 
@@ -58,22 +58,9 @@ def run_reports(spark: SparkSession, data_dir: str, out_dir: str, params: ModelP
     test = model.transform(data.where(F.col("split") == "test")).select("Churn", "churn_probability")
     scorer = ChurnScorer(model, thr["best_threshold"])
     scorer.save(out("model"))
-    rank = M.ranking_metrics(test).first().asDict()
-    # profit uplift of the validation-chosen threshold, re-measured on the test split (101 grid rows)
-    idx = F.round(F.col("threshold") * TH.GRID).cast("int")
-    test_curve = TH.profit_curve(test, econ)
-    pick = test_curve.agg(
-        F.max(F.when(idx == int(round(thr["best_threshold"] * TH.GRID)), F.col("profit"))).alias("best"),
-        F.max(F.when(idx == TH.GRID // 2, F.col("profit"))).alias("default")).first()
-    uplift_test = pick["best"] - pick["default"]
-    test_default = {**M.confusion_metrics(test, 0.5).first().asDict(), **rank}
-    test_optimal = {**M.confusion_metrics(test, thr["best_threshold"]).first().asDict(), **rank}
-    counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
-    write_dict(spark, {"best_model": best, "leaderboard": [r.asDict() for r in board.collect()],
-                       "threshold_optimization": thr, "test_metrics_default": test_default,
-                       "test_metrics_optimal": test_optimal, "n_train": counts.get("train", 0),
-                       "n_val": counts.get("val", 0), "n_test": counts.get("test", 0),
-                       "churn_rate": featured.agg(F.avg("Churn")).first()[0]}, out("metrics_report"))
+    record = metrics_report(spark, best, board, thr, test, split, featured.agg(F.avg("Churn")).first()[0]).cache()
+    write_record(record, out("metrics_report"))
+    report = record.first().asDict(recursive=True)
     # 3: statistical EDA on the featured base
     write_report(S.categorical_association(featured, EDA_CATEGORICAL), out("eda_categorical_association"))
     write_report(S.numeric_significance(featured, EDA_NUMERIC), out("eda_numeric_significance"))
@@ -89,7 +76,6 @@ def run_reports(spark: SparkSession, data_dir: str, out_dir: str, params: ModelP
     # 7-10: full base scored by the calibrated model (includes training rows, as in the original)
     scored = materialize(with_value_at_risk(model.transform(model_input), econ))
     write_report(top_value_at_risk(scored, 200, econ), out("top_value_at_risk"))
-    var = value_at_risk_summary(scored).first().asDict()
     strategy = strategy_matrix(kmeans_segments(scored)).cache()
     write_report(strategy, out("retention_strategy_matrix"))
     uplift = U.uplift_targeting(scored, 0.2)
@@ -102,22 +88,8 @@ def run_reports(spark: SparkSession, data_dir: str, out_dir: str, params: ModelP
     write_report(select_present(top_k(assigned, [F.col("churn_probability").desc(), F.col("customerID")], 200), [
         "customerID", "Contract", "MonthlyCharges", "churn_probability", "clv", "recommended_action",
         "expected_value_of_action"]), out("intervention_recommendations"))
-    bands = spark.range(1).select(PO.band_boundaries(F.lit(econ.customer_value), econ).alias("b")).first()["b"]
-    pol = {r["action"]: r for r in summary.collect()}
     n_pers = uplift.where(F.col("persuadable_category") == U.CATEGORIES[0]).count()
-    executive = {
-        "best_model": best, "test_pr_auc": test_optimal["pr_auc"], "test_roc_auc": test_optimal["roc_auc"],
-        "test_recall_at_optimal_threshold": test_optimal["recall"], "optimal_threshold": thr["best_threshold"],
-        "profit_uplift_vs_default": thr["profit_uplift_vs_default"],      # measured on validation
-        "profit_uplift_vs_default_test": uplift_test,
-        "total_expected_value_at_risk": var["total_value_at_risk"], "n_persuadables": n_pers,
-        "segments": strategy.count(),
-        "policy_band_do_nothing_to_discount": bands["do_nothing_to_discount"],
-        "policy_band_discount_to_call": bands["discount_to_call"],
-        "policy_n_call": pol["call"]["n_customers"], "policy_n_discount": pol["discount"]["n_customers"],
-        "policy_n_do_nothing": pol["do_nothing"]["n_customers"],
-        "policy_total_expected_value": sum(r["expected_value"] for r in pol.values()),
-    }
+    executive = executive_summary(best, report, scored, summary, strategy.count(), n_pers, econ)
     write_dict(spark, executive, out("executive_summary"))
     return executive
 

@@ -4,8 +4,11 @@ import glob
 import os
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from keepwise.models.pipeline import CATEGORICAL, NUMERIC
+from keepwise.operators.value import with_value_at_risk
 from keepwise.plans import q_ml
 from keepwise.plans.base import featured_base, raw_base
 from keepwise.plans.catalog import ORACLE, QUERIES, load_all
@@ -16,6 +19,7 @@ ROWS_ONLY_FAST = ["categorical_association", "numeric_significance", "cox_hazard
                   "calibrated_scores", "validation_threshold", "test_metrics", "batch_scores",
                   "scenario_scores", "linear_attributions", "top_reasons"]
 ROWS_ONLY_SLOW = ["bakeoff_leaderboard", "permutation_importance"]
+ROWS_ONLY_FAST += ["executive_summary_model", "explained_test_rows"]
 
 
 def test_clean_target_binary_and_no_nulls(spark, sf_dir):
@@ -105,10 +109,40 @@ def test_rows_only_queries_run(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
-@pytest.mark.skipif(not os.environ.get("KEEPWISE_SLOW"), reason="set KEEPWISE_SLOW=1 for model bake-off")
-@pytest.mark.parametrize("name", ROWS_ONLY_SLOW)
-def test_slow_rows_only_queries_run(spark, sf_dir, name):
-    assert QUERIES[name](spark, sf_dir).count() > 0
+@pytest.mark.parametrize("name, rows", list(zip(ROWS_ONLY_SLOW, [3, len(NUMERIC + CATEGORICAL)])))
+def test_bakeoff_and_importance_run(spark, sf_dir, name, rows):
+    assert QUERIES[name](spark, sf_dir).count() == rows
+
+
+def test_executive_summary_of_the_model(spark, sf_dir):
+    """Headline values against pandas on the scored tables."""
+    from keepwise.operators.policy import assign_actions, policy_summary
+    got = QUERIES["executive_summary_model"](spark, sf_dir).first()
+    data, scorer = q_ml.trained(spark, sf_dir)
+    test = scorer.model.transform(data.where("split = 'test'")).select("Churn", "churn_probability").toPandas()
+    hit = test.churn_probability >= got["optimal_threshold"]
+    assert got["test_recall_at_optimal_threshold"] == pytest.approx((hit & (test.Churn == 1)).sum() / (test.Churn == 1).sum())
+    order = test.sort_values("churn_probability", ascending=False).groupby("churn_probability", sort=False).Churn.agg(["sum", "count"]).cumsum()
+    gained = order["sum"].diff().fillna(order["sum"])
+    assert got["test_pr_auc"] == pytest.approx((gained * order["sum"] / order["count"]).sum() / test.Churn.sum())
+    assert got["optimal_threshold"] == scorer.threshold and 2 <= got["segments"] <= 4
+    scored = scorer.model.transform(featured_base(spark, sf_dir).drop("churn_probability"))
+    summary = {r["action"]: r for r in policy_summary(assign_actions(with_value_at_risk(scored))).collect()}
+    assert [got[f"policy_n_{a}"] for a in ("call", "discount", "do_nothing")] == [summary[a]["n_customers"] if a in summary else 0 for a in ("call", "discount", "do_nothing")]
+    assert got["policy_n_call"] + got["policy_n_discount"] + got["policy_n_do_nothing"] == scored.count()
+
+
+def test_explained_rows_add_up(spark, sf_dir):
+    """Attributions plus the score of the mean row give the member's log-odds."""
+    rows = QUERIES["explained_test_rows"](spark, sf_dir).collect()
+    data, scorer = q_ml.trained(spark, sf_dir)
+    n_test = data.where("split = 'test'").count()
+    assert len(rows) == min(300, n_test) and all(0 <= r["churn_probability"] <= 1 for r in rows)
+    odds = {r["customerID"]: r["m"] for r in scorer.model.members[0][0].transform(data.where("split = 'test'")).select(
+        "customerID", vector_to_array("rawPrediction")[1].alias("m")).collect()}
+    base = [odds[r["customerID"]] - sum(a["attribution"] for a in r["attributions"]) for r in rows]
+    assert max(base) - min(base) < 1e-9
+    assert all(len(r["top_reasons"]) == 3 for r in rows)
 
 
 def test_every_query_is_tested():
@@ -116,7 +150,6 @@ def test_every_query_is_tested():
     assert set(QUERIES) == covered
 
 
-@pytest.mark.skipif(not os.environ.get("KEEPWISE_SLOW"), reason="set KEEPWISE_SLOW=1 for the full report run")
 def test_report_runner_writes_every_report(spark, sf_dir, tmp_dir):
     from keepwise.models.pipeline import ModelParams
     from keepwise.plans.report import run_reports
