@@ -10,9 +10,10 @@ Documents with equal shingle sets are one class; tables hold one row per class.
 In each bucket, classes meet the bucket's smallest and largest class id (a star,
 not all pairs).  Buckets of more than three classes that still span several
 components go through an exact prefix-filter join: two sets with Jaccard >= s
-share one of their rarest ``n - ceil(s n) + 1`` shingles. Bitmaps of both sets
-bound their overlap from above (no more shingles in common than common bits and
-those that share a bit with another of their own set), so pairs that cannot reach s never leave that join. Every
+share one of their rarest ``n - ceil(s n) + 1`` shingles. Two bounds of the overlap are part of that
+join: after their first common shingle (in order of rarity) both sets have only so many left, and
+bitmaps have only so many common bits (and shingles that share a bit with another of their own set).
+Pairs that merely share a passage fall to the first bound, as their own shingles are rarer and come first. Every
 candidate is confirmed on both full sets before it links anything.
 """
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from keepwise.llm.common import fan_out, per_key, salted, saved
+from keepwise.llm.common import fan_out, per_key, salted, saved, table_text
 from keepwise.llm.components import components
 from keepwise.session import ship_package
 
@@ -88,11 +89,16 @@ def _signatures(k: int, m: int):
 
 
 def _set_rows(k: int):
+    """(class, its fingerprint, a text of its document) -> (class, set bytes), where the text is of that class."""
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([shingle_set(t.as_py(), k).tobytes() for t in batch.column(1)], pa.binary())],
-                names=["id", "s"])
+            ids, sets = [], []
+            for i, fp, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                s = shingle_set(text.as_py(), k).tobytes()
+                if xxhash.xxh3_128_digest(s) == fp:
+                    ids.append(i)
+                    sets.append(s)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "s"])
     return run
 
 
@@ -153,17 +159,18 @@ def _rest(multi: DataFrame, roots: DataFrame, sets: DataFrame, done: DataFrame,
     mine = Window.partitionBy("rep")
     prefix = (shingles.join(shared, "shingle")
               .withColumn("at", F.row_number().over(mine.orderBy("df", "shingle")))
-              .withColumn("alone", F.col("n") - F.count("*").over(mine))
-              .filter(F.expr(f"at + alone <= n - cast(ceil({num} * n / {den}) as long) + 1"))
-              .select("shingle", "rep", "root", "n"))
+              .withColumn("at", F.col("at") + F.col("n") - F.count("*").over(mine))        # shingles of no other set come first
+              .filter(F.expr(f"at <= n - cast(ceil({num} * n / {den}) as long) + 1"))
+              .select("shingle", "rep", "root", "n", F.col("at").cast("int").alias("at")))
     mixed = prefix.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
-    prefix = (saved(prefix.join(mixed.select("shingle"), "shingle", "left_semi").select("shingle", "rep"), "prefix")
+    prefix = (saved(prefix.join(mixed.select("shingle"), "shingle", "left_semi").select("shingle", "rep", "at"), "prefix")
               .join(unpacked.select("rep", "root", "n", "beyond", *(F.coalesce(F.col("bitmap")[i], F.lit(0)).alias(f"w{i}") for i in range(_BITMAP_WORDS))), "rep"))
     columns = [c for c in prefix.columns if c != "shingle"]
     one = prefix.select("shingle", *(F.col(c).alias(f"a_{c}") for c in columns))
     two = prefix.select("shingle", *(F.col(c).alias(f"b_{c}") for c in columns))
     common_bits = " + ".join(f"bit_count(a_w{i} & b_w{i})" for i in range(_BITMAP_WORDS))
-    overlap = f"(least(a_beyond, b_beyond) + {common_bits})"
+    # no more in common than what follows the first common shingle in both orders, nor than the bitmaps leave
+    overlap = f"least(least(a_n - a_at, b_n - b_at) + 1, least(a_beyond, b_beyond) + {common_bits})"
     return (one.join(two, "shingle")
             .filter((F.col("a_rep") < F.col("b_rep")) & (F.col("a_root") != F.col("b_root"))
                     & _sizes_fit("a_n", "b_n", num, den) & F.expr(f"({den} + {num}) * {overlap} >= {num} * (a_n + b_n)"))
@@ -171,28 +178,36 @@ def _rest(multi: DataFrame, roots: DataFrame, sets: DataFrame, done: DataFrame,
             .join(done, ["a", "b"], "left_anti"))
 
 
+def _of_one_document(sigs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of rows that repeat a doc_id with different sets."""
+    several = sigs.groupBy("doc_id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo != hi").select("doc_id")
+    mine = sigs.select("doc_id", "fp").join(several, "doc_id", "left_semi").distinct().join(classes.select("fp", "cid"), "fp").select("doc_id", "cid")
+    mine = saved(mine, "repeated")
+    return mine.join(mine.groupBy("doc_id").agg(F.min("cid").alias("a")), "doc_id").select("a", F.col("cid").alias("b")).filter("a != b")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                     num: int = 80, den: int = 100, miss: float = 2e-4) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Words are runs of non-blank characters, A-Z lower-cased; documents link when
-    ``den * |intersection| >= num * |union|`` of their k-word shingle sets.
-    Null, empty and blank texts have no shingle and link with nothing. Rows that
-    repeat a doc_id are one document (component by the id). A null doc_id never
-    links: component_id null, kept true. Other columns are ignored. An empty table
-    gives an empty table. Whole texts are read, whatever their length.
+    ``den * |intersection| >= num * |union|`` of their k-word shingle sets; component_id is the
+    smallest doc_id reachable. Null, empty and blank texts have no shingle and link with nothing.
+    Rows that repeat a doc_id are one document: the links of each of their texts are its links.
+    A null doc_id never links: component_id null, kept true. Other columns are ignored. An empty table
+    gives an empty table. Whole texts are read, whatever their length, in batches of bounded bytes.
     """
     ship_package(docs.sparkSession)
     m = side_count(num / den, miss)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = table_text(docs, id_col, text_col)
     sigs = saved(texts.mapInArrow(_signatures(k, m), "doc_id long, n_shingles long, fp binary, sides array<long>"), "sigs")
 
-    rows = salted(sigs.filter("n_shingles > 0 and doc_id is not null"), "doc_id", _CLASS_SALTS)
-    classes, pairs = per_key(rows, ["fp"], [F.min("doc_id").alias("rep")], [F.min("rep").alias("rep")])
-    classes = saved(classes, "classes")
-    reps = (sigs.filter("n_shingles > 0 and doc_id is not null")
-            .join(classes.select("fp", F.col("rep").alias("doc_id")), ["fp", "doc_id"], "left_semi")
-            .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sides"))
+    known = sigs.filter("n_shingles > 0 and doc_id is not null")
+    classes, pairs = per_key(salted(known, "doc_id", _CLASS_SALTS), ["fp"], [F.min("doc_id").alias("rep")], [F.min("rep").alias("rep")])
+    # a class is a shingle set: its number, its smallest doc_id
+    classes = saved(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    reps = (known.join(classes.select("fp", F.col("rep").alias("doc_id"), "cid"), ["fp", "doc_id"])
+            .groupBy(F.col("cid").alias("rep")).agg(F.first("n_shingles").alias("n"), F.first("sides").alias("sides")))
     keys = saved(reps, "reps").select(
         "rep", "n", F.expr(f"explode(flatten(transform(slice(sides, 1, {m}), (x, i) -> "
                            f"transform(slice(sides, {m + 1}, {m}), (y, j) -> xxhash64(x, y, i * {m} + j)))))").alias("key"))
@@ -206,16 +221,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     starred = multi.select("rep", "n", F.explode(F.expr("array(struct(lo as hub, n_lo as m), struct(hi as hub, n_hi as m))")).alias("h"))
     stars = saved(starred.filter(F.col("rep") != F.col("h.hub")).filter(_sizes_fit("n", "h.m", num, den))
                   .select(F.least("rep", "h.hub").alias("a"), F.greatest("rep", "h.hub").alias("b")).distinct(), "stars")
-    wanted = multi.select(F.col("rep").alias("doc_id")).distinct()
-    sets = saved(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_set_rows(k), "id long, s binary")
+    wanted = (classes.join(multi.select(F.col("rep").alias("cid")).distinct(), "cid", "left_semi")
+              .select("cid", "fp", F.col("rep").alias("doc_id")))
+    sets = saved(wanted.join(texts, "doc_id").select("cid", "fp", "text").mapInArrow(_set_rows(k), "id long, s binary")
                  .groupBy("id").agg(F.min("s").alias("s")), "sets")
     links = saved(_verified(stars, sets, num, den), "links")
     rest = saved(_rest(multi, components(links), sets, stars, num, den), "rest")
-    links = saved(links.union(_verified(rest, sets, num, den)), "links")
-    roots = components(links)
+    links = saved(links.union(_verified(rest, sets, num, den)).union(_of_one_document(known, classes)), "links")
 
-    facts = (classes.join(roots.withColumnRenamed("id", "rep"), "rep", "left")
-             .select("fp", F.coalesce("root", "rep").alias("component_id")))
+    rooted = (classes.join(components(links).withColumnRenamed("id", "cid"), "cid", "left")
+              .select("fp", "rep", "cid", F.coalesce("root", "cid").alias("root")))
+    rooted = salted(rooted, "cid", _CLASS_SALTS)
+    smallest, spread = per_key(rooted, ["root"], [F.min("rep").alias("component_id")], [F.min("component_id").alias("component_id")])
+    facts = fan_out(rooted, spread, smallest, ["root"]).select("fp", "component_id")
     linked = fan_out(salted(sigs.select("doc_id", "n_shingles", "fp"), "doc_id", _CLASS_SALTS), pairs, facts, ["fp"])
     root = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (linked.select("doc_id", "n_shingles", root.alias("component_id"))

@@ -63,6 +63,20 @@ def test_near_duplicates(docs, k, num):
     assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
 
 
+def test_near_duplicates_of_repeated_ids_and_shared_passages(spark):
+    """An id's texts all count; texts that share a long passage and little else do not link."""
+    rng = random.Random(8)
+    text = lambda n: rng.choices(VOCAB, k=n)
+    a, b, passage = text(90), text(90), text(120)
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (7, " ".join(a[:-1] + ["z"])), (9, " ".join(b[:-1] + ["z"])), (5, None), (11, None)]
+    rows += [(100 + i, " ".join(text(9) + passage + text(9))) for i in range(40)] + [(200 + i, " ".join([f"q{i}"] + passage)) for i in range(5)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=3, num=85).collect()
+    component = {r.doc_id: r.component_id for r in got}
+    assert component[5] == component[7] == component[9] == 5 and component[11] == 11 and len(got) == len(rows)
+    root, _ = brute_components(rows[6:], 3, 85)
+    assert {i: c for i, c in component.items() if i >= 100} == root
+
+
 def test_near_duplicates_of_drifting_copies(spark):
     """Chains of edits: members far from the hub still link through their neighbours."""
     rows, words, rng = [], RNG.choices(VOCAB, k=120), random.Random(3)
