@@ -1,10 +1,16 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms of a document: its distinct words and their prefixes of four and five
-letters, hashed to 31 bits. Class counts of every term over all labelled
-training rows choose the model's terms; the machine (linear weights and factor
-vectors, AdaGrad on logistic loss) is then fitted on at most ``sample_rows`` of
-those rows, and scores every whole text in Arrow batches.
+Terms of a document: its distinct words and their prefixes of four and five letters, each
+hashed to one of ``2 ** bits`` slots. Every slot has a linear weight and a factor vector, and
+every term of a text takes part; none is chosen or dropped. What a slot counts for is its value
+
+    df / (df + 20) * (0.1 + 0.9 * z^2 / (z^2 + 30)),
+
+with df and z (its lean towards a class) from the fit's rows: words seen once or twice, of which
+there are more than of all others, weigh little, so that the machine cannot learn its rows by heart, and a
+frequent word without a lean of its own keeps a tenth of its value, enough to learn what it means beside another. AdaGrad on
+the logistic loss, a share of the terms left out of each step, fits on at most ``sample_rows``
+labelled rows; every whole text is scored in Arrow batches.
 """
 from __future__ import annotations
 
@@ -16,26 +22,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from keepwise.llm.common import table_text
 from keepwise.session import ship_package
 
-_HASH_SPACE = 1 << 31
 _PREFIXES = (4, 5)
-# labels up to this many rows are broadcast to the texts; beyond it both sides are shuffled
-_BROADCAST_LABELS = 500_000
+_SLICE = 256          # texts scored together
 
 
 @dataclass(frozen=True)
 class FactorModel:
-    terms: np.ndarray      # sorted hashed terms
     bias: float
-    weights: np.ndarray    # one per term
-    factors: np.ndarray    # terms x k
+    slots: np.ndarray      # slots x (1 + k), float32: linear weight and factors, times the slot's value
 
+    @property
+    def bits(self) -> int:
+        return len(self.slots).bit_length() - 1
 
-def hashed_terms(text: Column) -> Column:
-    """Distinct hashed terms of a text; null and empty texts have none."""
+
+def hashed_terms(text: Column, bits: int) -> Column:
+    """Distinct slots of a text's terms; null and empty texts have none."""
     words = F.array_distinct(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+"))
-    hashed = lambda c: F.pmod(F.xxhash64(c), F.lit(_HASH_SPACE)).cast("int")
+    hashed = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits)).cast("int")
 
     def terms(w: Column) -> Column:
         starts = [F.when(F.length(w) > n, hashed(F.concat(F.lit("^"), F.substring(w, 1, n)))) for n in _PREFIXES]
@@ -50,107 +57,110 @@ def _flat(ids: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(ids)), sizes), ids.flatten().to_numpy(zero_copy_only=False)
 
 
-def _look_up(terms: np.ndarray, ids: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    rows, values = _flat(ids)
-    if not len(terms):
-        return rows[:0], rows[:0]
-    at = np.minimum(np.searchsorted(terms, values), len(terms) - 1)
-    hit = terms[at] == values
-    return rows[hit], at[hit]
+def _sums(x: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the sums of all columns, and of the squared factors."""
+    sums = np.stack([np.bincount(rows, x[:, f], n) for f in range(x.shape[1])], axis=1)
+    return sums, np.bincount(rows, (x[:, 1:].astype(float) ** 2).sum(axis=1), n)
+
+
+def margins(model: FactorModel, n: int, rows: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """bias + sum of weights + sum over pairs of the products of their factors, for (row, slot) pairs."""
+    sums, squares = _sums(model.slots[slots], rows, n)
+    return model.bias + sums[:, 0] + 0.5 * ((sums[:, 1:] ** 2).sum(axis=1) - squares)
+
+
+def _probability(margin: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def _margin(model: FactorModel, n: int, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
-    k = model.factors.shape[1]
-    linear = np.bincount(rows, model.weights[at], n)
-    pairs = np.zeros(n)
-    for f in range(k):
-        v = model.factors[at, f]
-        pairs += np.bincount(rows, v, n) ** 2 - np.bincount(rows, v * v, n)
-    return model.bias + linear + 0.5 * pairs
+def slot_values(rows: np.ndarray, slots: np.ndarray, labels: np.ndarray, bits: int) -> np.ndarray:
+    df = np.bincount(slots, minlength=1 << bits).astype(float)
+    positive, share = np.bincount(slots, labels[rows], 1 << bits), labels.mean()
+    z2 = (positive - df * share) ** 2 / np.maximum(df * share * (1 - share), 1e-9)
+    return df / (df + 20) * (0.1 + 0.9 * z2 / (z2 + 30))
 
 
-def train_factors(rows: np.ndarray, at: np.ndarray, labels: np.ndarray, terms: np.ndarray, k: int = 4,
-                  epochs: int = 30, batch: int = 256, rate: float = 0.2, decay: float = 1e-4, seed: int = 7) -> FactorModel:
-    """AdaGrad on logistic loss; rows / at are (row, term index) pairs sorted by row."""
+def train_factors(rows: np.ndarray, slots: np.ndarray, labels: np.ndarray, bits: int, k: int = 4, visits: int = 120_000, batch: int = 128,
+                  rate: float = 0.5, decay: float = 1e-4, left_out: float = 0.3, seed: int = 7) -> FactorModel:
+    """rows / slots are (row, slot) pairs sorted by row; labels 0 / 1, both present. ``visits``: rows seen in all passes together."""
     rng = np.random.default_rng(seed)
-    n, d = len(labels), len(terms)
-    w, v = np.zeros(d), rng.normal(0, 0.01, (d, k))
-    gw, gv, b, gb = np.full(d, 1e-6), np.full((d, k), 1e-6), float(np.log((labels.sum() + 1) / (n - labels.sum() + 1))), 1e-6
+    n = len(labels)
+    value = slot_values(rows, slots, labels, bits).astype(np.float32)
+    p = np.zeros((1 << bits, k + 1), np.float32)
+    p[:, 1:] = rng.normal(0, 0.01, (1 << bits, k))
+    seen = np.full((1 << bits, k + 1), 1e-4, np.float32)
+    bias, seen_bias = float(np.log((labels.sum() + 1) / (n - labels.sum() + 1))), 1e-6
     starts = np.searchsorted(rows, np.arange(n + 1))
-    for _ in range(epochs):
+    for _ in range(min(100, -(-visits // n))):
         order = rng.permutation(n)
         for lo in range(0, n, batch):
-            chosen = order[lo:lo + batch]
-            part = np.concatenate([np.arange(starts[i], starts[i + 1]) for i in chosen])
-            r, a = np.repeat(np.arange(len(chosen)), starts[chosen + 1] - starts[chosen]), at[part]
-            sums = np.stack([np.bincount(r, v[a, f], len(chosen)) for f in range(k)], axis=1)
-            squares = np.stack([np.bincount(r, v[a, f] ** 2, len(chosen)) for f in range(k)], axis=1)
-            margin = b + np.bincount(r, w[a], len(chosen)) + 0.5 * (sums ** 2 - squares).sum(axis=1)
-            slope = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[chosen]) / len(chosen)
-            dw = np.bincount(a, slope[r], d).astype(float)
-            dv = np.stack([np.bincount(a, slope[r] * (sums[r, f] - v[a, f]), d) for f in range(k)], axis=1).astype(float)
-            seen = np.unique(a)
-            dw[seen] += decay * w[seen] / len(chosen)
-            dv[seen] += decay * v[seen] / len(chosen)
-            gw += dw ** 2
-            gv += dv ** 2
-            gb += slope.sum() ** 2
-            w -= rate * dw / np.sqrt(gw)
-            v -= 0.25 * rate * dv / np.sqrt(gv)
-            b -= rate * slope.sum() / np.sqrt(gb)
-    return FactorModel(terms, float(b), w, v)
+            chosen = np.sort(order[lo:lo + batch])
+            r = np.repeat(np.arange(len(chosen)), starts[chosen + 1] - starts[chosen])
+            a = np.concatenate([slots[starts[i]:starts[i + 1]] for i in chosen])
+            keep = rng.random(len(a)) >= left_out
+            a, r = a[keep], r[keep]
+            used, at = np.unique(a, return_inverse=True)
+            v = value[used][:, None]
+            x = (p[used] * v)[at]
+            sums, squares = _sums(x, r, len(chosen))
+            margin = bias + sums[:, 0] + 0.5 * ((sums[:, 1:] ** 2).sum(axis=1) - squares)
+            slope = (_probability(margin) - labels[chosen]) / len(chosen)
+            step = np.empty((len(used), k + 1))
+            step[:, 0] = np.bincount(at, slope[r], len(used))
+            for f in range(1, k + 1):
+                step[:, f] = np.bincount(at, slope[r] * (sums[r, f] - x[:, f]), len(used))
+            step = step * v + decay * p[used]
+            seen[used] += step ** 2
+            p[used] -= rate * step / np.sqrt(seen[used])
+            seen_bias += slope.sum() ** 2
+            bias -= 0.1 * slope.sum() / np.sqrt(seen_bias)
+    return FactorModel(float(bias), p * value[:, None])
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 label_col: str = "toxic", max_terms: int = 4096, min_docs: int = 4, min_z: float = 4.0,
-                 sample_rows: int = 20_000) -> FactorModel:
-    """Fit on the labelled rows of ``docs``.
-
-    Term counts cover all of them; the machine's fit reads at most ``sample_rows``
-    of them, in the order of a hash of the id. Rows with a null id or label are
-    left out. Without rows of both classes the model has no terms and scores the
-    prior (0.5 without any label).
+                 label_col: str = "toxic", bits: int = 18, sample_rows: int = 20_000) -> FactorModel:
+    """Fit on labelled rows of ``docs``: at most ``sample_rows`` of them, in the order of a hash of the id.
+
+    Rows with a null id or label are left out; an id labelled several times has its largest label; rows that repeat an
+    id each count. Without rows of both classes the model scores the prior (0.5 without any label).
     """
     ship_package(docs.sparkSession)
     known = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
              .filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y")))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    small = labels.count() <= _BROADCAST_LABELS
-    ids = texts.join(F.broadcast(known) if small else known, "doc_id").select("doc_id", "y", hashed_terms(F.col("text")).alias("ids"))
-    totals = texts.select("doc_id").join(F.broadcast(known) if small else known, "doc_id").agg(F.count("*"), F.sum("y")).first()
-    n, pos = totals[0], totals[1] or 0
-    if pos in (0, n):
-        return FactorModel(np.empty(0, np.int64), float(np.log((pos + 1) / (n - pos + 1))), np.empty(0), np.empty((0, 1)))
-    share = pos / n
-    z = (F.col("p") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
-    chosen = (ids.select("y", F.explode("ids").alias("term")).groupBy("term")
-              .agg(F.count("*").alias("n"), F.sum("y").alias("p")).filter(F.col("n") >= min_docs)
-              .withColumn("z", F.abs(z)).filter(F.col("z") >= min_z)
-              .orderBy(F.desc("z"), "term").limit(max_terms).select("term").collect())
-    terms = np.array(sorted(r.term for r in chosen), np.int64)
-
-    @arrow_udf("array<int>")
-    def model_terms(column: pa.Array) -> pa.Array:
-        rows, at = _look_up(terms, column)
-        offsets = np.searchsorted(rows, np.arange(len(column) + 1)).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(at.astype(np.int32)))
-
-    few = min(1.0, 1.2 * sample_rows / n)
-    sample = (ids.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(few * (1 << 30)))
-              .select("doc_id", "y", model_terms("ids").alias("at"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).toArrow())
-    rows, at = _flat(sample["at"].combine_chunks())
-    return train_factors(rows, at, sample["y"].to_numpy().astype(float), terms)
-
-
-def with_score(docs: DataFrame, model: FactorModel, text_col: str = "text", out: str = "score") -> DataFrame:
-    """docs + the model's probability of toxicity; null and empty texts get the score of no term."""
+    texts = table_text(docs, id_col, text_col)
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = known.join(texts.select("doc_id"), "doc_id", "left_semi").orderBy(*order).limit(sample_rows)
+    # the chosen labels are at most ``sample_rows`` pairs of numbers
+    ids = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", hashed_terms(F.col("text"), bits).alias("ids"))
+    sample = ids.orderBy(*order, F.xxhash64("ids")).limit(sample_rows).toArrow()
+    y = sample["y"].to_numpy().astype(float)
+    if len(set(y)) < 2:
+        return FactorModel(float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))), np.zeros((1 << bits, 2), np.float32))
+    rows, slots = _flat(sample["ids"].combine_chunks())
+    return train_factors(rows, slots, y, bits)
+
+
+def toxic_score(model: FactorModel, text: Column) -> Column:
+    """The model's probability of toxicity, 0 to 1; null and empty texts get the score of no term."""
     @arrow_udf("double")
     def score(column: pa.Array) -> pa.Array:
-        rows, at = _look_up(model.terms, column)
-        return pa.array(1 / (1 + np.exp(-np.clip(_margin(model, len(column), rows, at), -30, 30))))
+        out = [np.zeros(0)]
+        for at in range(0, len(column), _SLICE):
+            part = column.slice(at, _SLICE)
+            out.append(_probability(margins(model, len(part), *_flat(part))))
+        return pa.array(np.concatenate(out))
+
+    return score(hashed_terms(text, model.bits))
+
 
-    return docs.withColumn(out, score(hashed_terms(F.col(text_col))))
+def score_documents(docs: DataFrame, model: FactorModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, score: one row per row of ``docs``.
+
+    Whole texts are read. Null and empty texts have a score too; equal texts have equal scores; repeated rows and a null
+    doc_id keep their rows; other columns, whatever their names, are ignored; an empty table gives an empty table.
+    """
+    ship_package(docs.sparkSession)
+    return table_text(docs, id_col, text_col).select("doc_id", toxic_score(model, F.col("text")).alias("score"))
 
 
 def in_training(id_col: str = "doc_id") -> Column:

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("keepwise.llm.queries")
 from keepwise.llm import (decontamination, exact_dedup, license_scan, mixing, near_dup, secrets, token_counts,  # noqa: E402
@@ -230,12 +231,44 @@ def test_toxicity(spark, docs):
     frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     learn = toxicity.in_training()
     model = toxicity.fit_toxicity(frame.filter(learn), frame.filter(learn).select("doc_id", "toxic"))
-    scored = toxicity.with_score(frame.filter(~learn), model).collect()
-    assert np.mean([(r.score >= 0.7) == (r.toxic == 1) for r in scored]) > 0.95
-    awkward = toxicity.with_score(docs.drop("score"), model).collect()
-    assert len(awkward) == len(ROWS) and all(0 <= r.score <= 1 for r in awkward)
+    held = frame.filter(~learn)
+    scored = {r.doc_id: r.score for r in toxicity.score_documents(held, model).collect()}
+    assert np.mean([(scored[r.doc_id] >= 0.7) == (r.toxic == 1) for r in held.collect()]) > 0.95
+    awkward = toxicity.score_documents(docs, model).collect()
+    assert Counter(r.doc_id for r in awkward) == Counter(r[0] for r in ROWS) and all(0 <= r.score <= 1 for r in awkward)
     blank = toxicity.fit_toxicity(docs, frame.select("doc_id", "toxic").filter("false"))
-    assert {r.score for r in toxicity.with_score(docs.drop("score"), blank).collect()} == {0.5}
+    assert {r.score for r in toxicity.score_documents(docs, blank).collect()} == {0.5}
+    one = toxicity.fit_toxicity(docs, frame.select(F.lit(1).alias("doc_id"), F.lit(1).alias("toxic")).limit(1))
+    assert {round(r.score, 12) for r in toxicity.score_documents(docs, one).collect()} == {round(2 / 3, 12)}
+    few = toxicity.fit_toxicity(frame.unionByName(frame), frame.select("doc_id", "toxic"), sample_rows=50)
+    assert len({r.score for r in toxicity.score_documents(frame, few).collect()}) > 1
+
+
+def test_toxicity_of_pairs_alone(spark):
+    """Toxic where two words occur both or neither: neither word leans, only the pair tells."""
+    rng = random.Random(21)
+    rows = []
+    for i in range(3000):
+        words = rng.choices(VOCAB, k=30)
+        both = [rng.random() < 0.5, rng.random() < 0.5]
+        words[0], words[1] = ("alpha" if both[0] else words[0]), ("omega" if both[1] else words[1])
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(both[0] == both[1])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    learn = toxicity.in_training()
+    model = toxicity.fit_toxicity(frame.filter(learn), frame.filter(learn).select("doc_id", "toxic"))
+    scored = {r.doc_id: r.score for r in toxicity.score_documents(frame.filter(~learn), model).collect()}
+    assert np.mean([(scored[i] >= 0.5) == (y == 1) for i, _, y in rows if i in scored]) >= 0.9
+
+
+def test_margins_by_brute_force():
+    rng = np.random.default_rng(2)
+    model = toxicity.FactorModel(0.3, rng.normal(size=(16, 4)).astype(np.float32))
+    sets = [sorted(rng.choice(16, n, replace=False)) for n in (0, 1, 2, 7)]
+    got = toxicity.margins(model, 4, np.repeat(np.arange(4), [len(s) for s in sets]), np.concatenate(sets).astype(int))
+    for s, m in zip(sets, got):
+        pairs = sum(float(model.slots[a, 1:] @ model.slots[b, 1:]) for i, a in enumerate(s) for b in s[:i])
+        assert m == pytest.approx(0.3 + sum(float(model.slots[a, 0]) for a in s) + pairs, abs=1e-5)
 
 
 def test_secrets(spark, docs):
@@ -261,7 +294,7 @@ def test_empty_tables(spark, nothing):
     assert license_scan.scan_licenses(nothing).count() == 0
     assert token_counts.count_tokens(nothing, tokenizer_file("piece_bpe_32k.model")).count() == 0
     assert token_files.token_digests(nothing, tokenizer_file("byte_bpe_50k.json")).count() == 0
-    assert toxicity.with_score(nothing, toxicity.fit_toxicity(nothing, labels)).count() == 0
+    assert toxicity.score_documents(nothing, toxicity.fit_toxicity(nothing, labels)).count() == 0
     assert url_rules.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
     found = secrets.find_candidates(nothing)
     assert secrets.scan_secrets(found, found).count() == 0
