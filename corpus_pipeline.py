@@ -2,6 +2,11 @@
 
 ``STAGES`` are (name, function(spark, docs, sf_dir) -> DataFrame); ``run`` writes
 every stage's rows as Parquet and rereads them for the next one.
+
+In every stage null and empty texts, whole texts of any length, rows that repeat an id or a text and
+columns of any further name pass through as they are unless the stage's decision falls on them; all but the
+last stage return the columns that came. Rows with a null doc_id are judged by their text like others, but are
+nobody's near copy. Equal rows get equal decisions. An empty table gives an empty table.
 """
 from __future__ import annotations
 
@@ -16,17 +21,18 @@ TOXIC_FROM = 0.7
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn from the labelled rows among the documents; documents scored 0.7 or more go."""
+    """Learn from the labelled rows among the documents; documents scored 0.7 or more go.
+    Null and empty texts have the score of a text without terms."""
     learn = toxicity.in_training()
     model = toxicity.fit_toxicity(docs.filter(learn), table(spark, sf_dir, "labels").filter(learn))
-    return toxicity.with_score(docs, model, out="_toxic_score").filter(F.col("_toxic_score") < TOXIC_FROM).drop("_toxic_score")
+    return docs.filter(toxicity.toxic_score(model, docs["text"]) < TOXIC_FROM)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8) stays: the smallest doc_id.
-    Rows with a null doc_id stay."""
-    gone = near_dup.near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    Rows with a null doc_id stay; null, empty and blank texts are no copies of each other."""
+    gone = near_dup.near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
