@@ -37,6 +37,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it (Spark's names ignore case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared scratch folder and return the written table."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")

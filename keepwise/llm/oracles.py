@@ -34,11 +34,27 @@ f AS (SELECT *, (1.5 * (SELECT sum(source_size) FROM s) - coalesce(sum(cap) OVER
 g AS (SELECT arg_min(level, k) AS level FROM f WHERE level < cut),
 t AS (SELECT source, source_size, CASE WHEN g.level IS NULL OR l.cut <= g.level THEN l.cap ELSE l.weight * g.level END AS target
   FROM l LEFT JOIN g ON true),
-p AS (SELECT d.doc_id, d.size, t.source_size, t.target, least(round(t.target)::BIGINT, 2 * t.source_size) AS want,
-  (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.digest, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS start
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-  (greatest(0, least(start + size, want) - start) + greatest(0, least(start + size, want - source_size) - start))::BIGINT AS taken FROM p"""
+w AS (SELECT *, least(round(target)::BIGINT, 2 * source_size) AS want FROM t),
+b AS (SELECT greatest(16, ceil(sum(want) / 1048576))::BIGINT AS words, sum(want)::BIGINT AS budget FROM w),
+e AS (SELECT w.source, w.source_size, w.target, w.want, b.words, floor((sum(want) OVER o - want)::HUGEINT * 2147483648 // greatest(1, b.budget))::BIGINT AS lo,
+  floor((sum(want) OVER o)::HUGEINT * 2147483648 // greatest(1, b.budget))::BIGINT AS hi,
+  ceil(least(want, source_size) / b.words)::BIGINT AS blocks, ceil(greatest(0, want - source_size) / b.words)::BIGINT AS again
+  FROM w, b WINDOW o AS (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+drawn AS (SELECT i AS slot, (i * 1327217885) % 2147483648 AS point FROM range(0, (SELECT ceil(budget / words)::BIGINT FROM b)) r(i)),
+slots AS (SELECT e.source, slot, row_number() OVER (PARTITION BY e.source ORDER BY slot) - 1 AS rank FROM drawn JOIN e ON point >= lo AND point < hi),
+reached AS (SELECT e.source, count(s.slot) AS n FROM e LEFT JOIN slots s ON s.source IS NOT DISTINCT FROM e.source GROUP BY e.source),
+upto AS (SELECT e.*, least(n * words, least(want, source_size)) AS once, least(greatest(0, n - blocks) * words, greatest(0, want - source_size)) AS twice
+  FROM e JOIN reached r ON r.source IS NOT DISTINCT FROM e.source),
+p AS (SELECT d.doc_id, d.size, u.*, (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.digest, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS start
+  FROM d JOIN upto u ON d.source IS NOT DISTINCT FROM u.source),
+f1 AS (SELECT doc_id, min(s.slot) AS first_slot FROM p JOIN slots s ON s.source IS NOT DISTINCT FROM p.source
+  AND p.size > 0 AND ((s.rank = p.start // p.words AND p.start < p.once AND s.rank < p.blocks)
+    OR (s.rank > p.start // p.words AND s.rank <= (p.start + p.size - 1) // p.words AND s.rank * p.words < p.once AND s.rank < p.blocks)
+    OR (s.rank - p.blocks BETWEEN p.start // p.words AND (p.start + p.size - 1) // p.words AND greatest(p.start, (s.rank - p.blocks) * p.words) < p.twice AND s.rank >= p.blocks))
+  GROUP BY doc_id)
+SELECT p.doc_id, size, source_size, target,
+  (greatest(0, least(start + size, once) - start) + greatest(0, least(start + size, twice) - start))::BIGINT AS taken, coalesce(first_slot, -1)::BIGINT AS first_slot
+FROM p LEFT JOIN f1 ON f1.doc_id = p.doc_id"""
 
 _EXACT = r"""
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),

@@ -48,7 +48,9 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """first_slot: -1 where the mix takes nothing of a document."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken",
+                                                                F.coalesce("first_slot", F.lit(-1)).cast("long").alias("first_slot"))
 
 
 @_query

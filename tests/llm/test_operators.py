@@ -111,16 +111,64 @@ def test_mixing(docs):
     totals = {}
     for r in got:
         totals.setdefault(r.source, [r.source_size, r.target, 0])[2] += r.taken
-        assert 0 <= r.taken <= 2 * r.size
+        assert 0 <= r.taken <= 2 * r.size and (r.first_slot is None) == (r.taken == 0) and len(r.slots) <= 2
     sizes = sum(t[0] for t in totals.values())
     assert sum(t[1] for t in totals.values()) == pytest.approx(1.5 * sizes)
-    assert all(abs(t[1] - t[2]) <= 1 and t[1] <= 2 * t[0] + 1e-6 for t in totals.values())
+    assert all(t[1] - 3 * 64 <= t[2] <= t[1] + 1 and t[1] <= 2 * t[0] + 1e-6 for t in totals.values())
     again = mixing.mix(docs.repartition(5), block_words=64).collect()
-    key = lambda r: (str(r.doc_id), r.taken, str(r.first_slot))
+    key = lambda r: (str(r.doc_id), r.taken, str(r.first_slot), r.slots)
     assert sorted(map(key, got)) == sorted(map(key, again))
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
+def _even(spark, n=600):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices(VOCAB, k=rng.randint(1, 60))), "abc"[i % 3]) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string"), {i: s for i, _, s in rows}
+
+
+def test_mix_follows_the_schedule(spark, monkeypatch):
+    """What is taken is what the slots fetched: other points, another mix. Every prefix of the mix has the target shares."""
+    frame, _ = _even(spark)
+    got = {r.doc_id: r for r in mixing.mix(frame, block_words=16).collect()}
+    target = {r.source: r.target for r in got.values()}
+    needs = mixing._needs(mixing._targets(frame.groupBy(F.lit(False).alias("no_source"), "source").agg(F.sum(mixing.word_count(F.col("text"))).alias("source_size")), (5, 2, 1), 1.5, 2), 16, 2)
+    slots = needs.first()["slots"]
+    drawn = sorted((r.slot, r.source) for r in mixing._schedule(needs, slots).collect())
+    assert [s for s, _ in drawn] == list(range(slots))
+    seen = Counter()
+    for s, source in drawn:
+        seen[source] += 1
+        for name, t in target.items():
+            assert abs(seen[name] - (s + 1) * t / sum(target.values())) < 4
+    monkeypatch.setattr(mixing, "point", lambda slot: F.pmod(slot, F.lit(mixing._SCALE)))
+    other = {r.doc_id: r.taken for r in mixing.mix(frame, block_words=16).collect()}
+    assert sum(other[i] != got[i].taken for i in other) > 100
+
+
+def test_mixed_documents_in_slot_order(spark, tmp_dir):
+    frame, _ = _even(spark, 200)
+    places = sorted((s, r.doc_id) for r in mixing.mix(frame).collect() for s in r.slots)
+    mixed = [r.doc_id for r in mixing.mixed_documents(frame).collect()]
+    at = {}
+    for s, i in places:
+        at.setdefault(i, []).append(s)
+    assert Counter(mixed) == Counter(i for _, i in places)
+    told = [at[i].pop(0) for i in mixed]
+    assert told == sorted(told)
+
+
+def test_mixing_of_null_ids_and_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "_COPIES", 7)
+    rows = [(None, f"some words {i}", "a") for i in range(50)] + [(None, "one two three", "b")] * 40 + [(4, "x y", "b")] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(frame, block_words=4).collect()
+    assert len(got) == len(rows) and len({r.digest for r in got}) == 52
+    assert sum(r.size for r in got if r.source == "b") == 126 and all(r.taken <= 2 * r.size for r in got)
+    assert sum(r.taken for r in got) > 0.9 * 1.5 * (150 + 126)
+    assert mixing.mixed_documents(frame).columns == frame.columns
+
+
 def test_decontamination(spark, docs):
     item = "Tom bought 12 apples and 5 pears at the market for 30 dollars before Tom walked home along the river bank"
     other = item.replace("Tom", "Anna").replace("12", "17").replace("30", "44")
