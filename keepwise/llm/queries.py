@@ -81,11 +81,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tables hold no findings labelled by people: findings of two thirds of the documents are labelled
-    by ``known_secret``, the forest judges all."""
+    by ``label_of`` where there is evidence, the forest judges all."""
     words = secrets.common_words(table(spark, sf_dir, "benchmark"))
     found = saved(secrets.find_candidates(table(spark, sf_dir, "documents"), words), "findings")
     return (secrets.scan_secrets(found, found.filter(toxicity.in_training()))
-            .select("doc_id", "start", F.length("value").cast("long").alias("length"), F.sha2("value", 256).alias("value_sha256"), "score", "secret"))
+            .select("doc_id", "start", F.length("value").cast("long").alias("length"), "kind", F.sha2("value", 256).alias("value_sha256"), "score", "secret"))
 
 
 @_query
