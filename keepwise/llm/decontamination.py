@@ -4,14 +4,18 @@ Numbers, units and names become typed placeholders; windows of ``window``
 template tokens are hash-joined between documents and benchmark items, and the
 slots of an aligned run must map consistently (one benchmark value to one
 document value and back), so re-parameterised copies are caught while texts that
-merely share a frame are not. DataFrame operations only.
+merely share a frame are not. Beside each template window stands that of its plain, case-folded
+words, which needs no slots: copies in another case and items of few or no literal words are found by it.
+One pass over the documents serves the windows of all items, whatever their lengths. DataFrame operations only.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keepwise.llm.common import WORD, saved
+from keepwise.llm.common import BLANK, saved
 
 # fixed values: typed placeholders and the words that become them
 NUMBER_WORDS = ("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty "
@@ -20,20 +24,15 @@ UNITS = ("mm cm m km inch inches foot feet yard yards mile miles mg g kg lb lbs
          "liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks "
          "month months year years cent cents dollar dollars euro euros usd eur percent degree degrees").split()
 NUMBER = r"^[$€£]?[0-9]+([.,:/][0-9]+)*(st|nd|rd|th|%)?$"
-EDGE = r"^[^\p{L}\p{N}$€£]+|[^\p{L}\p{N}%]+$"
 NAME = r"^\p{Lu}\p{Ll}+$"
+# a word without the punctuation at its edges; words of punctuation only are no token
+TOKEN = rf"[$€£]?[\p{{L}}\p{{N}}](?:[^{BLANK}]*[\p{{L}}\p{{N}}%])?"
 
-# windows of the benchmark up to this many are broadcast; beyond it both sides are shuffled
-_BROADCAST_WINDOWS = 500_000
+# the benchmark's window hashes, eight bytes each, are broadcast up to this many bytes; beyond it both sides are shuffled
+_BROADCAST_BYTES = 32 << 20
 # template tokens of the short runs that measure how much of an item stands around its matching windows
 _GRAM = 3
-
-
-def _tokens(text: Column) -> Column:
-    """Words without edge punctuation, in order; words of punctuation only are left out."""
-    words = F.transform(F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(WORD), F.lit(0)),
-                        lambda w: F.regexp_replace(w, EDGE, ""))
-    return F.filter(words, lambda w: w != "")
+_SALTS = 16
 
 
 def _template(token: Column) -> Column:
@@ -44,38 +43,31 @@ def _template(token: Column) -> Column:
             .otherwise(low))
 
 
-def _shifted(column: str, length: int) -> list[Column]:
-    n = F.greatest(F.size("hash") - (length - 1), F.lit(0))
-    return [F.slice(column, i + 1, n).alias(f"{column}{i}") for i in range(length)]
-
-
-def _window(w: Column, length: int, min_literals: int) -> Column:
-    """Hash of a zipped window; null where too few of its tokens are literal."""
-    slots = sum((w[f"slot{i}"] for i in range(length)), F.lit(0))
-    return F.when(slots <= length - min_literals, F.xxhash64(*(w[f"hash{i}"] for i in range(length))))
-
-
-def _windows(length: int, min_literals: int) -> Column:
-    """Hashes of the windows of ``length`` template tokens, over columns hash and slot."""
-    return F.transform(F.arrays_zip(*_shifted("hash", length), *_shifted("slot", length)),
-                       lambda w: _window(w, length, min_literals))
+def _windows(column: str, length: int) -> Column:
+    """Hashes of the runs of ``length`` elements of an array of hashes; the two kinds (template, plain) never meet."""
+    at = F.sequence(F.lit(1), F.greatest(F.size(column) - (length - 1), F.lit(1)))
+    each = F.transform(at, lambda i: F.xxhash64(F.lit(column), F.slice(column, i, length)))
+    return F.when(F.size(column) >= length, each).otherwise(F.array().cast("array<long>"))
 
 
 def _hashed(texts: DataFrame) -> DataFrame:
-    """id, text -> id, body (one per id and text), token (array), hash (array of template hashes), slot (array of 0/1)."""
-    t = texts.select("id", F.xxhash64("id", "text").alias("body"), _tokens(F.col("text")).alias("token"))
+    """id, text -> id, body (one per id and text), token, hash (of the templates), plain (of the case-folded tokens), slot (0/1)."""
+    t = texts.select("id", F.xxhash64("id", "text").alias("body"),
+                     F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(TOKEN), F.lit(0)).alias("token"))
     t = t.withColumn("template", F.transform("token", _template))
     return t.select("id", "body", "token", F.transform("template", lambda x: F.xxhash64(x)).alias("hash"),
+                    F.transform("token", lambda x: F.xxhash64(F.lower(x))).alias("plain"),
                     F.transform("template", lambda x: x.startswith("<").cast("int")).alias("slot"))
 
 
-def _placed(hashed: DataFrame, length: int, min_literals: int) -> DataFrame:
-    """id, body, at, window, said (the window's tokens), is_slot (0/1 of each): one row per usable window."""
-    full = F.transform(
-        F.arrays_zip(*_shifted("hash", length), *_shifted("slot", length), *_shifted("token", length)),
-        lambda w: F.struct(_window(w, length, min_literals).alias("window"), F.array(*(w[f"token{i}"] for i in range(length))).alias("said"),
-                           F.array(*(w[f"slot{i}"] for i in range(length))).alias("is_slot")))
-    return hashed.select("id", "body", F.posexplode(full).alias("at", "w")).select("id", "body", "at", "w.*").filter("window is not null")
+def _placed(hashed: DataFrame, length: int) -> DataFrame:
+    """id, body, at, kind, window, said (the window's tokens), is_slot (0/1 of each): two rows per place, its template's
+    window (kind 0) and its plain words' (kind 1)."""
+    both = F.arrays_zip(_windows("hash", length).alias("t"), _windows("plain", length).alias("p"))
+    at = hashed.select("id", "body", "token", "slot", F.posexplode(both).alias("at", "w"))
+    part = lambda c: F.slice(c, F.col("at") + 1, length)
+    return at.select("id", "body", "at", part("token").alias("said"), part("slot").alias("is_slot"),
+                     F.posexplode(F.array("w.t", "w.p")).alias("kind", "window"))
 
 
 def _longest(places: Column) -> Column:
@@ -97,8 +89,10 @@ def _grams(hashes: Column) -> Column:
 def _groups(runs: DataFrame, window: int) -> DataFrame:
     """Matching windows of a (document, item) by alignment: every single shift, and every chain of
     shifts that lie at most ``window`` apart, as an inserted or deleted word moves the rest of a copy."""
+    nothing = F.expr("cast(array() as array<int>)")
     shifts = (runs.groupBy("id", "body", "item", "shift")
-              .agg(F.collect_set("item_at").alias("matched"), F.collect_set(F.when(F.col("verbatim"), F.col("item_at"))).alias("same"),
+              .agg(F.collect_set("item_at").alias("places"), F.collect_set(F.when(F.col("kind") == 0, F.col("item_at"))).alias("matched"),
+                   F.coalesce(F.collect_set(F.when(F.col("verbatim"), F.col("item_at"))), nothing).alias("same"),
                    F.array_distinct(F.flatten(F.collect_set("values"))).alias("pairs")))
     order = Window.partitionBy("id", "body", "item").orderBy("shift")
     chained = (shifts.withColumn("_new", (F.col("shift") - F.lag("shift", 1, 0).over(order) > window).cast("int"))
@@ -108,7 +102,7 @@ def _groups(runs: DataFrame, window: int) -> DataFrame:
     return (chained.select("*", each).groupBy("id", "body", "item", "group")
             .agg(union("matched").alias("matched"), union("same").alias("same"), union("pairs").alias("pairs"),
                  F.min("shift").alias("low"), F.max("shift").alias("high"),
-                 F.min(F.col("shift") + F.array_min("matched")).alias("at"), F.max(_longest(F.col("same"))).alias("run")))
+                 F.min(F.col("shift") + F.array_min("places")).alias("at"), F.max(_longest(F.col("same"))).alias("run")))
 
 
 def _with_share(groups: DataFrame, docs: DataFrame, window: int) -> DataFrame:
@@ -127,60 +121,69 @@ def _with_share(groups: DataFrame, docs: DataFrame, window: int) -> DataFrame:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", window: int = 8, min_literals: int = 4,
-                 cover: float = 0.6, run: int | None = None) -> DataFrame:
+                 min_tokens: int = 3, cover: float = 0.6, run: int | None = None) -> DataFrame:
     """Pairs (doc_id, item_id, at, windows, item_windows, exact): documents that hold a benchmark item.
 
-    Matching windows count on one alignment or on a chain of alignments that lie at
+    Windows match by their templates or by their plain words, case-folded. Template windows need ``min_literals``
+    literal tokens (fewer are no evidence); plain ones need none, so items and windows of numbers and names are found
+    where they stand as they are, and in any case. Matching windows count on one alignment or on a chain of alignments that lie at
     most ``window`` tokens apart (words inserted or deleted between them). An item
     is held where every slot value maps to one value and back and ``cover`` of its
-    usable windows match or ``cover`` of its tokens stand there in runs of three;
-    where ``cover`` of its usable windows are verbatim, whatever the other slots;
-    or where ``run`` windows in a row (default: ``window``) are, whatever their share. ``at`` is the first aligned token, ``exact`` tells whether no slot
-    value was changed. Items of fewer than ``window`` tokens are matched whole;
-    windows (and items) with fewer than ``min_literals`` literal tokens carry no
-    evidence and never match.
-    Null and empty texts hold nothing; rows that repeat an id count once per id;
+    usable template windows match or ``cover`` of its tokens stand there in runs of three;
+    where ``cover`` of its windows are verbatim, whatever the other slots;
+    or where ``run`` windows in a row (default: ``window``) are, whatever their share. ``at`` is the first aligned token, ``windows`` the places
+    that match (verbatim or by template), ``item_windows`` all of the item's, ``exact`` tells whether no slot
+    value was changed. Items of fewer than ``window`` tokens are matched whole; those of fewer than ``min_tokens``
+    are words of any text and never match.
+    Null and empty texts hold nothing; whole texts of any length are searched; rows that repeat an id count once per id;
     null ids, of documents or items, are reported as null. Other columns are ignored; an empty table on
     either side gives an empty table.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     items = saved(_hashed(benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).distinct()), "items")
     sizes = F.array_sort(F.collect_set(F.least(F.size("token"), F.lit(window))))
-    lengths = [n for n in (items.agg(sizes).first()[0] or []) if n >= min_literals]
-    found = None
-    for length in lengths:
+    lengths = [n for n in (items.agg(sizes).first()[0] or []) if n >= min_tokens]         # at most ``window`` numbers
+    schema = "doc_id long, item_id long, at int, windows long, item_windows long, exact boolean"
+    if not lengths:
+        return docs.sparkSession.createDataFrame([], schema)
+
+    def of_length(length: int) -> DataFrame:
         mine = items.filter(F.size("token") == length) if length < window else items.filter(F.size("token") >= window)
-        need = min(min_literals, length)
-        known = saved(_placed(mine, length, need)
-                      .select(F.col("body").alias("item"), F.col("at").alias("item_at"), "window", F.col("said").alias("item_said"), "is_slot"), "windows")
-        small = known.count() <= _BROADCAST_WINDOWS
-        narrow = known.select("window").distinct()
-        hits = saved(_hashed(texts).select("id", F.explode(_windows(length, need)).alias("window"))
-                     .join(F.broadcast(narrow) if small else narrow, "window", "left_semi")
-                     .groupBy("id").agg(F.count("*").alias("n")), "hits")
-        chosen = saved(_hashed(texts.join(hits.select(F.col("id").alias("hit")), F.col("id").eqNullSafe(F.col("hit")), "left_semi")), "chosen")
-        places = _placed(chosen, length, need).select("id", "body", "at", "window", "said")
-        values = F.transform(F.filter(F.arrays_zip("item_said", "said", "is_slot"), lambda x: x["is_slot"] == 1),
-                             lambda x: F.struct(F.lower(x["item_said"]).alias("b"), F.lower(x["said"]).alias("d")))
-        runs = (places.join(F.broadcast(known) if small else known, "window")
-                .select("id", "body", "item", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", values.alias("values"),
-                        F.forall(values, lambda p: p["b"] == p["d"]).alias("verbatim")))
-        total = known.groupBy("item").agg(F.count_distinct("item_at").alias("item_windows"))
-        facts = mine.select(F.col("body").alias("item"), F.col("id").alias("item_id"), F.col("hash").alias("item_hash")).join(total, "item")
-        groups = _with_share(_groups(runs, window).join(facts, "item"), chosen, window)
-        side = lambda c: F.size(F.array_distinct(F.transform("pairs", lambda p: p[c])))
-        mapped = (side("b") == F.size("pairs")) & (side("d") == F.size("pairs"))
-        enough = (F.size("matched") >= cover * F.col("item_windows")) | ((F.col("n") >= window) & (F.col("share") >= cover))
-        long_run = (F.col("n") >= window) & (F.col("run") >= (run or window))
-        verbatim = F.size("same") >= cover * F.col("item_windows")
-        held = (groups.filter((mapped & enough) | verbatim | long_run)
-                .select(F.col("id").alias("doc_id"), "item_id", F.col("at").cast("int").alias("at"),
-                        F.size("matched").cast("long").alias("windows"), "item_windows",
-                        F.forall("pairs", lambda p: p["b"] == p["d"]).alias("exact")))
-        found = held if found is None else found.unionByName(held)
-    if found is None:
-        found = docs.sparkSession.createDataFrame(
-            [], "doc_id long, item_id long, at int, windows long, item_windows long, exact boolean")
+        literal = length - F.aggregate("is_slot", F.lit(0), lambda a, x: a + x)
+        return (_placed(mine, length).filter((F.col("kind") == 1) | (literal >= min(min_literals, length)))
+                .select(F.col("body").alias("item"), F.col("at").alias("item_at"), F.lit(length).alias("length"), "kind", "window",
+                        F.col("said").alias("item_said"), "is_slot"))
+
+    known = saved(reduce(DataFrame.unionByName, map(of_length, lengths)), "windows")
+    narrow = saved(known.select("window").distinct(), "narrow")
+    small = 8 * narrow.count() <= _BROADCAST_BYTES
+    every = F.concat(*(_windows(c, n) for n in lengths for c in ("hash", "plain")))
+    hits = saved(_hashed(texts).select("id", F.explode(every).alias("window"))
+                 .join(F.broadcast(narrow) if small else narrow, "window", "left_semi")
+                 .groupBy("id").agg(F.count("*").alias("n")), "hits")
+    chosen = saved(_hashed(texts.join(hits.select(F.col("id").alias("hit")), F.col("id").eqNullSafe(F.col("hit")), "left_semi")), "chosen")
+    places = reduce(DataFrame.unionByName, [_placed(chosen, n).select("id", "body", "at", "window", "said") for n in lengths])
+    # a frequent window's places are dealt out to several tasks, each with all of its item places
+    places = places.withColumn("_salt", F.pmod(F.xxhash64("body", "at"), F.lit(_SALTS)))
+    copies = known.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))))
+    pair = lambda x: F.struct(F.lower(x["item_said"]).alias("b"), F.lower(x["said"]).alias("d"))
+    values = F.transform(F.filter(F.arrays_zip("item_said", "said", "is_slot"), lambda x: x["is_slot"] == 1), pair)
+    runs = (places.join(copies, ["window", "_salt"])
+            .withColumn("values", F.when(F.col("kind") == 0, values).otherwise(F.slice(values, 1, 0)))
+            .select("id", "body", "item", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "kind", "values",
+                    F.forall("values", lambda p: p["b"] == p["d"]).alias("verbatim")))
+    total = known.groupBy("item").agg(F.count_if(F.col("kind") == 0).alias("template_windows"), F.count_if(F.col("kind") == 1).alias("item_windows"))
+    facts = items.select(F.col("body").alias("item"), F.col("id").alias("item_id"), F.col("hash").alias("item_hash")).join(total, "item")
+    groups = _with_share(_groups(runs, window).join(facts, "item"), chosen, window)
+    side = lambda c: F.size(F.array_distinct(F.transform("pairs", lambda p: p[c])))
+    mapped = (side("b") == F.size("pairs")) & (side("d") == F.size("pairs")) & (F.size("matched") > 0)
+    enough = (F.size("matched") >= cover * F.col("template_windows")) | ((F.col("n") >= window) & (F.col("share") >= cover))
+    long_run = (F.col("n") >= window) & (F.col("run") >= (run or window))
+    verbatim = F.size("same") >= cover * F.col("item_windows")
+    found = (groups.filter((mapped & enough) | verbatim | long_run)
+             .select(F.col("id").alias("doc_id"), "item_id", F.col("at").cast("int").alias("at"),
+                     F.size(F.array_union("matched", "same")).cast("long").alias("windows"), "item_windows",
+                     F.forall("pairs", lambda p: p["b"] == p["d"]).alias("exact")))
     best = F.max(F.struct("exact", "windows", F.negative("at").alias("minus_at"), "item_windows")).alias("b")
     return (found.groupBy("doc_id", "item_id").agg(best)
             .select("doc_id", "item_id", F.negative("b.minus_at").cast("int").alias("at"), F.col("b.windows").alias("windows"),
@@ -189,5 +192,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their own columns."""
-    bad = contaminated(docs, benchmark, id_col, **settings).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("_held")), "left_anti")
+    bad = contaminated(docs, benchmark, id_col, **settings).select(F.col("doc_id").alias("held_id")).distinct()
+    return docs.join(bad, docs[id_col].cast("long").eqNullSafe(bad["held_id"]), "left_anti")

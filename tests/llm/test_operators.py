@@ -185,6 +185,19 @@ def test_decontamination(spark, docs):
     assert decontamination.contaminated(frame, bench.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("item, doc, held", [
+    ("What is 12 + 7 ?", "Quiz: what is 12 + 7 ? Easy.", True), ("What is 12 + 7 ?", "Quiz: what is 13 + 7 ? Easy.", False),
+    ("Compute 3 4 5 6 7 8 9 10 sums now please 11 12", "xx Compute 3 4 5 6 7 8 9 10 sums now please 11 12 yy", True),
+    ("Tom met Anna and Bob in Paris before Eve went to Rome", "tom met anna and bob in paris before eve went to rome", True),
+    ("Tom met Anna and Bob in Paris before Eve went to Rome", "x TOM MET ANNA AND BOB IN PARIS BEFORE EVE WENT TO ROME", True),
+    ("seven little words make one short item", "no seven little words make one long item", False), ("add 2 and 3", "now add 2 and 3, then stop", True),
+    ("Why not?", "Why not? Because.", False), ("1 2 3", "it was 1, 2, 3 and go", True)])
+def test_decontamination_of_short_numeric_and_recased_items(spark, item, doc, held):
+    got = decontamination.contaminated(spark.createDataFrame([(1, doc)], "doc_id long, text string"), spark.createDataFrame(
+        [(1, item), (2, "an other item of quite many words that nobody holds at all")], "item_id long, text string"))
+    assert [r.item_id for r in got.collect()] == ([1] if held else [])
+
+
 def test_decontamination_of_edited_and_cut_copies(spark):
     rng = random.Random(11)
     items = [(i, " ".join(rng.choices(VOCAB, k=n))) for i, n in enumerate([16, 20, 24, 26, 30, 38, 45, 59])]
@@ -374,6 +387,8 @@ def test_empty_tables(spark, nothing):
     assert exact_dedup.exact_duplicates(nothing).count() == 0
     assert mixing.mix(nothing).count() == 0
     assert mixing.mixed_documents(nothing).count() == 0
+    items = spark.createDataFrame([(1, "seven little words make one short item")], "item_id long, text string")
+    assert decontamination.contaminated(nothing, items).count() == 0 and decontamination.without_benchmark(nothing, items).count() == 0
     assert license_scan.scan_licenses(nothing).count() == 0
     assert token_counts.count_tokens(nothing, tokenizer_file("piece_bpe_32k.model")).count() == 0
     assert token_files.token_digests(nothing, tokenizer_file("byte_bpe_50k.json")).count() == 0
