@@ -1,7 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 from __future__ import annotations
 
-from keepwise.llm.license_scan import RULES, SENTENCE_END, SENTENCES
 from keepwise.llm.url_rules import LIST_RULES, PATTERN_RULES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -77,17 +76,83 @@ SELECT page_id, host, path, CASE {rule} END AS rule,
   CASE {listed} WHEN regexp_matches(host, '(^|[^a-z0-9])({words})([^a-z0-9]|$)') THEN 'block' ELSE 'allow' END AS verdict FROM u"""
 
 
+# the licenses' names and sentences once more, apart from the operator's own
+_GRANTS = """
+names(license, name) AS (
+  SELECT 'CC-' || upper(replace(k.short, ' ', '-')) || '-' || replace(v.v, ' ', '.'), replace(replace(replace(f.f, '%s', k.short), '%l', k.long), '%v', v.v)
+  FROM (VALUES ('by', 'attribution'), ('by sa', 'attribution sharealike'), ('by nc', 'attribution noncommercial'), ('by nd', 'attribution noderivatives'),
+    ('by nc sa', 'attribution noncommercial sharealike'), ('by nc nd', 'attribution noncommercial noderivatives')) k(short, long),
+    (VALUES ('2 0'), ('2 5'), ('3 0'), ('4 0')) v(v),
+    (VALUES ('cc %s %v'), ('cc %s %v license'), ('creative commons %l %v'), ('creative commons %l %v license'), ('creative commons %l %v international license')) f(f)
+  UNION ALL VALUES ('Apache-2.0', 'apache license 2 0'), ('Apache-2.0', 'apache 2 0 license'), ('Apache-2.0', 'apache 2 0'), ('Apache-2.0', 'apache software license 2 0'),
+    ('MIT', 'mit license'), ('MIT', 'mit'), ('MIT', 'mit x11 license'), ('MIT', 'expat license'), ('ISC', 'isc license'), ('Zlib', 'zlib license'),
+    ('BSL-1.0', 'boost software license 1 0'), ('EPL-2.0', 'eclipse public license 2 0'), ('EPL-2.0', 'epl 2 0'),
+    ('BSD-2-Clause', 'bsd 2 clause license'), ('BSD-2-Clause', '2 clause bsd license'), ('BSD-2-Clause', 'simplified bsd license'),
+    ('BSD-3-Clause', 'bsd 3 clause license'), ('BSD-3-Clause', '3 clause bsd license'), ('BSD-3-Clause', 'new bsd license'), ('BSD-3-Clause', 'modified bsd license'),
+    ('GPL-2.0', 'gnu general public license 2'), ('GPL-2.0', 'gnu general public license 2 0'), ('GPL-2.0', 'gnu gpl 2'), ('GPL-2.0', 'gpl 2'), ('GPL-2.0', 'gplv2'),
+    ('GPL-3.0', 'gnu general public license 3'), ('GPL-3.0', 'gnu general public license 3 0'), ('GPL-3.0', 'gnu gpl 3'), ('GPL-3.0', 'gpl 3'), ('GPL-3.0', 'gplv3'),
+    ('LGPL-2.1', 'gnu lesser general public license 2 1'), ('LGPL-2.1', 'gnu lgpl 2 1'), ('LGPL-2.1', 'lgpl 2 1'),
+    ('LGPL-3.0', 'gnu lesser general public license 3'), ('LGPL-3.0', 'gnu lgpl 3'), ('LGPL-3.0', 'lgpl 3'),
+    ('AGPL-3.0', 'gnu affero general public license 3'), ('AGPL-3.0', 'gnu agpl 3'), ('AGPL-3.0', 'agpl 3'), ('MPL-2.0', 'mozilla public license 2 0'), ('MPL-2.0', 'mpl 2 0'),
+    ('CC0-1.0', 'cc0 1 0'), ('CC0-1.0', 'cc0 1 0 universal'), ('CC0-1.0', 'cc0'), ('Unlicense', 'unlicense')),
+grants(license, sentence) AS (SELECT license, 'licensed under ' || name FROM names UNION ALL SELECT license, name FROM names WHERE ends_with(name, 'license')
+  UNION ALL SELECT license, 'the ' || name FROM names WHERE ends_with(name, 'license')
+  UNION ALL VALUES ('CC0-1.0', 'to the extent possible under law the author has waived all copyright and related or neighboring rights to this work'),
+    ('Unlicense', 'this is free and unencumbered software released into the public domain')),
+ids(license, sentence) AS (SELECT license, name FROM names UNION SELECT license, replace(replace(lower(license), '-', ' '), '.', ' ') || e
+  FROM names, (VALUES (''), (' only'), (' or later')) x(e)),
+texts(number, sentence) AS (VALUES (1, 'licensed under apache license 2 0 the license'), (2, 'you may not use this file except in compliance with the license'),
+  (3, 'you may obtain a copy of the license at'),
+  (4, 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions'),
+  (5, 'the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software'),
+  (6, 'the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement'),
+  (7, 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies'),
+  (8, 'permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following'),
+  (9, 'this program is free software'), (10, 'this library is free software'),
+  (11, 'you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation'),
+  (12, 'you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation'),
+  (13, 'you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation'),
+  (14, 'either 2 of the license or at your option any later version'), (15, 'either 2 1 of the license or at your option any later version'),
+  (16, 'either 3 of the license or at your option any later version'),
+  (17, 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met'),
+  (18, 'redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer'),
+  (19, 'redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution'),
+  (20, 'this source code form is subject to the terms of the mozilla public license v'), (21, 'this source code form is subject to the terms of the mozilla public license 2 0'),
+  (22, '2 0'), (23, 'spdx license identifier')),
+chains(license, chain) AS (VALUES ('Apache-2.0', [1, 2]), ('Apache-2.0', [2, 3]), ('MIT', [4]), ('MIT', [5, 6]), ('ISC', [7]), ('BSL-1.0', [8]), ('GPL-2.0', [9, 11, 14]),
+  ('GPL-3.0', [9, 11, 16]), ('AGPL-3.0', [9, 12, 16]), ('LGPL-2.1', [10, 13, 15]), ('LGPL-3.0', [10, 13, 16]), ('BSD', [18, 19]), ('BSD', [17]), ('MPL-2.0', [20, 22]), ('MPL-2.0', [21]))"""
+
+
 def _licenses() -> str:
-    number = {name: i for i, name in enumerate(SENTENCES, 1)}
-    cases = " ".join(f"WHEN '{text}' THEN {number[name]}" for name, text in SENTENCES.items())
-    hits = ", ".join(f"CASE WHEN contains(seq, ',{','.join(str(number[s]) for s in names)},') THEN '{license}' END" for license, names in RULES)
+    verbs = "licensed|released|distributed|available|provided|published|shared"
+    lead = (r"^(?:(?:this|the|our) )?(?:source code|file|program|work|software|project|code|library|package|module|document|content|repository|data|text|image|it) "
+            r"(?:is|are) (?:also |hereby |made |being )*")
+    clean = r"trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g'))"
+    bare = f"CASE WHEN regexp_matches(s, '{lead}(?:{verbs}) under ') THEN regexp_replace(s, '{lead}', '') ELSE s END"
+    grant = f"regexp_replace({bare}, '^(?:{verbs}) under (?:the terms of )?(?:the )?', 'licensed under ')"
+    plain = rf"regexp_replace(regexp_replace({grant}, '\bversion ([0-9])', '\1', 'g'), '\bv([0-9])', '\1', 'g')"
+    # DuckDB's patterns have no lookahead: ends are marked first, then split at the mark
+    mark = (r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '[.!?;:]+([\x20\x09-\x0D]|$)', chr(1) || '\1', 'g'), "
+            r"'(\r?\n[\x20\x09*#/;>-]*)+(\r?\n)', chr(1) || '\2', 'g'), '[.!?;:]+([\x20\x09-\x0D]|$)', chr(1) || '\1', 'g'), "
+            r"'\r?\n[\x20\x09*#/;>-]*(\(?[0-9]{1,2}[.)][\x20\x09])', chr(1) || '\1', 'g')")
     return rf"""
-WITH p AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '{SENTENCE_END}'),
-  lambda x: trim(regexp_replace(lower(x), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))), lambda x: x <> '') AS parts FROM documents),
-n AS (SELECT doc_id, list_transform(parts, lambda x: CASE x {cases} ELSE 0 END) AS numbers FROM p),
-s AS (SELECT doc_id, numbers, ',' || coalesce(array_to_string(numbers, ','), '') || ',' AS seq FROM n)
-SELECT doc_id, CAST(len(list_filter(numbers, lambda x: x > 0)) AS BIGINT) AS known_sentences,
-  coalesce(array_to_string(list_sort(list_distinct(list_filter([{hits}], lambda x: x IS NOT NULL))), ','), '') AS licenses FROM s"""
+WITH {_GRANTS},
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+pieces AS (SELECT r, 0 AS reading, string_split({mark}, chr(1)) AS parts FROM d
+  UNION ALL SELECT r, 1, regexp_split_to_array(t, '[.!?;:]*(\r?\n)+|:[\x20\x09]+') FROM d),
+each AS (SELECT r, reading, unnest(parts) AS x, generate_subscripts(parts, 1) AS pos FROM pieces),
+cleaned AS (SELECT r, reading, pos, {clean} AS s FROM each),
+normal AS (SELECT r, reading, row_number() OVER (PARTITION BY r, reading ORDER BY pos) AS pos, {plain} AS s FROM cleaned WHERE NOT regexp_matches(s, '^[0-9]{{0,2}}$')),
+known AS (SELECT n.*, t.number FROM normal n LEFT JOIN texts t ON t.sentence = n.s),
+hits AS (SELECT r, g.license FROM known k JOIN grants g ON g.sentence = k.s
+  UNION SELECT a.r, i.license FROM known a JOIN known b ON a.number = 23 AND b.r = a.r AND b.reading = a.reading AND b.pos = a.pos + 1 JOIN ids i ON i.sentence = b.s
+  UNION SELECT a.r, c.license FROM chains c JOIN known a ON a.number = c.chain[1] LEFT JOIN known b ON b.r = a.r AND b.reading = a.reading AND b.pos = a.pos + 1
+    LEFT JOIN known e ON e.r = a.r AND e.reading = a.reading AND e.pos = a.pos + 2
+    WHERE (len(c.chain) < 2 OR b.number = c.chain[2]) AND (len(c.chain) < 3 OR e.number = c.chain[3])),
+counted AS (SELECT r, max(n) AS n FROM (SELECT r, reading, count(*) AS n FROM known k WHERE number IS NOT NULL OR s IN (SELECT sentence FROM grants)
+  OR s IN (SELECT sentence FROM ids) GROUP BY r, reading) q GROUP BY r)
+SELECT d.doc_id, coalesce(c.n, 0)::BIGINT AS known_sentences, coalesce((SELECT string_agg(license, ',' ORDER BY license) FROM hits h WHERE h.r = d.r), '') AS licenses
+FROM d LEFT JOIN counted c ON c.r = d.r"""
 
 
 _HARD_NEGATIVES = """

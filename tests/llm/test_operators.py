@@ -248,6 +248,37 @@ def test_license_scan(spark, docs):
     assert license_scan.scan_licenses(docs).count() == len(ROWS)
 
 
+_MIT = """MIT License
+
+Copyright (c) 2024 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+_GPL = """/* This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */"""
+
+
+@pytest.mark.parametrize("text, licenses", [
+    (_MIT, "MIT"), (_MIT.split("\n", 2)[2], "MIT"), (_GPL.replace("Foundation, either", "Foundation; either"), "GPL-3.0"), ("This file is licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("SPDX-License-Identifier: MIT", "MIT"), ("// SPDX-License-Identifier: GPL-3.0-or-later\ncode", "GPL-3.0"), ("This work is licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+    ("The code is released under the terms of the GNU Lesser General Public License v2.1.", "LGPL-2.1"), ("Text.\nBSD 3-Clause License\nmore", "BSD-3-Clause"),
+    ("mit", ""), ("the license of a car", ""), ("It is available under a tree.", ""), ("1. Redistributions of source code must retain the above copyright\n   notice, this list of conditions and the following disclaimer.\n\n"
+     "2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.", "BSD")])
+def test_license_notices_as_they_stand(spark, text, licenses):
+    got = license_scan.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert got.licenses == licenses
+
+
 def test_token_counts(docs):
     path = tokenizer_file("piece_bpe_32k.model")
     model = token_counts.UnigramModel(path)
@@ -399,13 +430,68 @@ def test_empty_tables(spark, nothing):
 
 
 def test_pipeline_stages(spark, sf_dir):
+    """Each stage on its own input against a plain version of its decision."""
     import corpus_pipeline
+    from tokenizers import Tokenizer
     from keepwise.llm.common import saved, table
+    stage = dict(corpus_pipeline.STAGES)
+    assert list(stage) == ["toxicity", "near duplicates", "decontamination", "mixing", "token files"]
     docs = table(spark, sf_dir, "documents")
-    columns, counts = docs.columns, [docs.count()]
-    for name, stage in corpus_pipeline.STAGES[:4]:
-        docs = saved(stage(spark, docs, sf_dir), "stage")
-        assert docs.columns == columns, name
-        counts.append(docs.count())
-    assert counts[0] >= counts[1] >= counts[2] >= counts[3] > 0.7 * counts[0]
-    assert corpus_pipeline.STAGES[4][1](spark, docs, sf_dir).count() == counts[4]
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+
+    learn = toxicity.in_training()
+    model = toxicity.fit_toxicity(docs.filter(learn), table(spark, sf_dir, "labels").filter(learn))
+    hashed = docs.select("*", toxicity.hashed_terms(F.col("text"), model.bits).alias("ids")).collect()
+
+    def score(ids):
+        v = model.slots[list(ids)].astype(float)
+        pairs = sum(float(v[i, 1:] @ v[j, 1:]) for i in range(len(v)) for j in range(i)) if len(v) < 300 else 0.5 * ((v[:, 1:].sum(axis=0) ** 2).sum() - (v[:, 1:] ** 2).sum())
+        return 1 / (1 + np.exp(-(model.bias + v[:, 0].sum() + pairs)))
+
+    clean = saved(stage["toxicity"](spark, docs, sf_dir), "t1")
+    assert clean.columns == docs.columns
+    assert rows(clean) == sorted((tuple(r)[:-1] for r in hashed if score(r.ids) < 0.7), key=str)
+
+    single = saved(stage["near duplicates"](spark, clean, sf_dir), "t2")
+    kept = clean.collect()
+    root, _ = brute_components([(r.doc_id, r.text) for r in kept], 5, 80)
+    assert single.columns == docs.columns and rows(single) == sorted((tuple(r) for r in kept if root[r.doc_id] == r.doc_id), key=str)
+
+    pure = saved(stage["decontamination"](spark, single, sf_dir), "t3")
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    items = [words(r.text) for r in table(spark, sf_dir, "benchmark").collect()]
+    runs = {tuple(i[k:k + 16]) for i in items for k in range(max(1, len(i) - 15)) if len(i) >= 16}
+    left = {r.doc_id for r in pure.collect()}
+    for r in single.collect():
+        w = words(r.text)
+        holds = any(tuple(w[k:k + 16]) in runs for k in range(len(w) - 15))
+        if holds:                                          # 16 words of an item in a row: more than eight windows
+            assert r.doc_id not in left
+        if r.doc_id not in left:                           # and what goes shares at least some words in a row with an item
+            short = {tuple(w[k:k + 4]) for k in range(len(w) - 3)}
+            assert any(tuple(i[k:k + 4]) in short for i in items for k in range(len(i) - 3))
+    assert pure.columns == docs.columns
+
+    mixed = saved(stage["mixing"](spark, pure, sf_dir), "t4")
+    places = {r.doc_id: len(r.slots) for r in mixing.mix(pure).collect()}
+    assert mixed.columns == docs.columns and Counter(r.doc_id for r in mixed.collect()) == Counter({i: n for i, n in places.items() if n})
+
+    plain = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
+    want = Counter()
+    for r in mixed.collect():
+        ids = plain.encode(r.text or "", add_special_tokens=False).ids + [2]
+        want[r.doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in stage["token files"](spark, mixed, sf_dir).collect()) == want
+
+
+def test_pipeline_of_awkward_rows(spark, docs, sf_dir):
+    """Nulls, blanks, long texts, repeats and clashing names run through every stage; so does an empty table."""
+    import corpus_pipeline
+    from keepwise.llm.common import saved
+    names = [*docs.columns, "gone_id", "held_id", "mix_digest", "mix_slot", "hit", "slots", "digest"]
+    wide = docs.select(*docs.columns, *[F.lit(None).cast("int").alias(c) for c in names[len(docs.columns):]])
+    for frame in (wide, wide.filter("false")):
+        for name, stage in corpus_pipeline.STAGES[:4]:
+            frame = saved(stage(spark, frame, sf_dir), "awkward")
+            assert frame.columns == wide.columns, name
+        assert corpus_pipeline.STAGES[4][1](spark, frame, sf_dir).count() == frame.count()
