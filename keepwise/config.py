@@ -34,6 +34,11 @@ class Economics:
     call_cost: float = 100.0
     call_success: float = 0.45
 
+    @property
+    def actions(self) -> dict[str, tuple[float, float]]:
+        """What each action costs and the share of its customers that it keeps."""
+        return dict(zip(ACTIONS, [(0.0, 0.0), (self.discount_cost, self.discount_success), (self.call_cost, self.call_success)]))
+
     @property
     def monthly_rate(self) -> float:
         return (1.0 + self.annual_discount_rate) ** (1.0 / 12.0) - 1.0

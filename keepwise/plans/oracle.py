@@ -75,28 +75,23 @@ sb_r0 AS (
     CASE WHEN o_orderkey % 4 = 0 THEN 'Electronic check' WHEN o_orderkey % 4 = 1 THEN 'Mailed check'
          WHEN o_orderkey % 4 = 2 THEN 'Bank transfer (automatic)'
          ELSE 'Credit card (automatic)' END AS PaymentMethod,
-    18e0 + CASE WHEN o_orderkey % 10 <> 0 THEN 20e0 ELSE 0e0 END
-         + CASE WHEN InternetService = 'Fiber optic' THEN 45e0
-                WHEN InternetService = 'DSL' THEN 25e0 ELSE 0e0 END
-         + CASE WHEN InternetService <> 'No' THEN 5e0 * (a1 + a2 + a3 + a4 + a5 + a6) ELSE 0e0 END
-         + (FLOOR(o_totalprice) % 500) / 100e0 AS MonthlyCharges
+    9.95e0 + CASE WHEN o_orderkey % 10 = 0 THEN 0e0 WHEN o_orderkey % 3 = 0 THEN 19.75e0 ELSE 12.5e0 END
+         + CASE InternetService WHEN 'Fiber optic' THEN 39.9e0 WHEN 'DSL' THEN 24.4e0 ELSE 0e0 END
+         + CASE WHEN InternetService = 'No' THEN 0e0 ELSE 4.5e0 * (a1 + a2 + a3 + a4 + a5 + a6) END
+         + (FLOOR(o_totalprice) % 997) / 100e0 AS MonthlyCharges
   FROM sb_j
 ),
 sb_r1 AS (
   SELECT *,
     CASE WHEN tenure = 0 THEN ' ' ELSE CAST(MonthlyCharges * tenure AS VARCHAR) END AS TotalCharges,
-    1e0 / (1e0 + EXP(-(-1.15e0
-        + 1.30e0 * CASE WHEN Contract = 'Month-to-month' THEN 1e0 ELSE 0e0 END
-        - 0.90e0 * CASE WHEN Contract = 'Two year' THEN 1e0 ELSE 0e0 END
-        + 0.85e0 * CASE WHEN InternetService = 'Fiber optic' THEN 1e0 ELSE 0e0 END
-        + 0.55e0 * CASE WHEN PaymentMethod = 'Electronic check' THEN 1e0 ELSE 0e0 END
-        - 0.03e0 * tenure
-        + 0.02e0 * (MonthlyCharges - 65e0)
-        - 0.45e0 * CASE WHEN OnlineSecurity = 'Yes' THEN 1e0 ELSE 0e0 END
-        - 0.40e0 * CASE WHEN TechSupport = 'Yes' THEN 1e0 ELSE 0e0 END
-        + 0.35e0 * SeniorCitizen
-        - 0.20e0 * CASE WHEN Partner = 'Yes' THEN 1e0 ELSE 0e0 END
-        + 0.30e0 * CASE WHEN PaperlessBilling = 'Yes' THEN 1e0 ELSE 0e0 END))) AS churn_probability
+    1e0 / (1e0 + EXP((8e0 - (
+        CASE Contract WHEN 'Month-to-month' THEN 3e0 WHEN 'One year' THEN 1e0 ELSE 0e0 END
+        + CASE WHEN tenure <= 12 THEN 3e0 WHEN tenure <= 36 THEN 1e0 ELSE 0e0 END
+        + CASE InternetService WHEN 'Fiber optic' THEN 2e0 WHEN 'DSL' THEN 1e0 ELSE 0e0 END
+        + CASE WHEN TechSupport = 'No' THEN 1e0 ELSE 0e0 END
+        + CASE WHEN PaymentMethod LIKE '%check' THEN 1e0 ELSE 0e0 END
+        - CASE WHEN 'Yes' IN (Partner, Dependents) THEN 1e0 ELSE 0e0 END
+        + MonthlyCharges / 40e0)) / 1.6e0)) AS churn_probability
   FROM sb_r0
 ),
 sb_raw AS (

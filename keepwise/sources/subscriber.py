@@ -23,12 +23,13 @@ SERVICE_COLS = ["OnlineSecurity", "OnlineBackup", "DeviceProtection",
                 "TechSupport", "StreamingTV", "StreamingMovies"]
 
 # ---------------------------------------------------------------------------
-# The scorecard (label-generating logistic model) coefficients,
-#   intercept -1.15; month-to-month +1.30; two-year -0.90; fiber optic +0.85;
-#   electronic check +0.55; tenure -0.03 per month; (charge - 65) +0.02;
-#   online security -0.45; tech support -0.40; senior +0.35; partner -0.20;
-#   paperless billing +0.30.
-# Label draw: u = ((orderkey mod 2^31) * 1103515245 + 12345) mod 2^31 / 2^31.
+# Fixture's own score and prices (mirrored by the SQL in plans/oracle.py).
+# Points: contract month-to-month 3, one year 1; tenure up to 12 months 3, up to 36 one;
+#   fiber 2, DSL 1; internet without tech support 1; payment by check 1; with a
+#   partner or dependents -1; monthly charge / 40.
+# Probability: logistic of (points - 8) / 1.6; label: a draw from the order key.
+# Prices: 9.95 a month; telephone 12.50, a second line 7.25; fiber 39.90, DSL 24.40;
+#   4.50 for each add-on; usage of 0 to 9.96 from the order's price.
 # Snapshot month for tenure: August 2001; tenure capped at 72 months.
 # ---------------------------------------------------------------------------
 _LCG_A, _LCG_C, _LCG_M = 1103515245, 12345, 2147483648
@@ -45,23 +46,16 @@ def _addon_flags(lineitem: DataFrame) -> DataFrame:
     return lineitem.groupBy("l_orderkey").agg(*aggs)
 
 
-def scorecard_logit(df: DataFrame) -> Column:
-    """Linear predictor of the fixture's label model (column expression)."""
-    def flag(c: Column) -> Column:
-        return F.when(c, 1.0).otherwise(0.0)
-
-    return (F.lit(-1.15)
-            + F.lit(1.30) * flag(F.col("Contract") == "Month-to-month")
-            - F.lit(0.90) * flag(F.col("Contract") == "Two year")
-            + F.lit(0.85) * flag(F.col("InternetService") == "Fiber optic")
-            + F.lit(0.55) * flag(F.col("PaymentMethod") == "Electronic check")
-            - F.lit(0.03) * F.col("tenure")
-            + F.lit(0.02) * (F.col("MonthlyCharges") - F.lit(65.0))
-            - F.lit(0.45) * flag(F.col("OnlineSecurity") == "Yes")
-            - F.lit(0.40) * flag(F.col("TechSupport") == "Yes")
-            + F.lit(0.35) * F.col("SeniorCitizen")
-            - F.lit(0.20) * flag(F.col("Partner") == "Yes")
-            + F.lit(0.30) * flag(F.col("PaperlessBilling") == "Yes"))
+def risk_points(df: DataFrame) -> Column:
+    """The fixture's risk points (column expression)."""
+    internet, months = F.col("InternetService"), F.col("tenure")
+    contract = F.when(F.col("Contract") == "Month-to-month", 3.0).when(F.col("Contract") == "One year", 1.0).otherwise(0.0)
+    age = F.when(months <= 12, 3.0).when(months <= 36, 1.0).otherwise(0.0)
+    line = F.when(internet == "Fiber optic", 2.0).when(internet == "DSL", 1.0).otherwise(0.0)
+    unaided = F.when(F.col("TechSupport") == "No", 1.0).otherwise(0.0)
+    check = F.when(F.col("PaymentMethod").endswith("check"), 1.0).otherwise(0.0)
+    family = F.when((F.col("Partner") == "Yes") | (F.col("Dependents") == "Yes"), 1.0).otherwise(0.0)
+    return contract + age + line + unaided + check - family + F.col("MonthlyCharges") / F.lit(40.0)
 
 
 def subscriber_raw(spark: SparkSession, sf_dir: str, with_score: bool = True) -> DataFrame:
@@ -109,18 +103,17 @@ def subscriber_raw(spark: SparkSession, sf_dir: str, with_score: bool = True) ->
         contract.alias("Contract"),
         _yes_no(key % 5 < 3).alias("PaperlessBilling"),
         payment.alias("PaymentMethod"),
-        (F.lit(18.0)
-         + F.when(phone, 20.0).otherwise(0.0)
-         + F.when(internet == "Fiber optic", 45.0).when(internet == "DSL", 25.0).otherwise(0.0)
-         + F.when(internet != "No", F.lit(5.0) * (a[0] + a[1] + a[2] + a[3] + a[4] + a[5]))
-            .otherwise(0.0)
-         + (F.floor("o_totalprice") % 500) / F.lit(100.0)).alias("MonthlyCharges"),
+        (F.lit(9.95)
+         + F.when(~phone, 0.0).when(key % 3 == 0, 19.75).otherwise(12.5)
+         + F.when(internet == "Fiber optic", 39.9).when(internet == "DSL", 24.4).otherwise(0.0)
+         + F.when(internet == "No", 0.0).otherwise(F.lit(4.5) * (a[0] + a[1] + a[2] + a[3] + a[4] + a[5]))
+         + (F.floor("o_totalprice") % 997) / F.lit(100.0)).alias("MonthlyCharges"),
     )
     base = base.withColumn(
         "TotalCharges",
         F.when(F.col("tenure") == 0, F.lit(" "))
          .otherwise((F.col("MonthlyCharges") * F.col("tenure")).cast("string")))
-    prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-scorecard_logit(base)))
+    prob = F.lit(1.0) / (F.lit(1.0) + F.exp((F.lit(8.0) - risk_points(base)) / F.lit(1.6)))
     base = base.withColumn("churn_probability", prob)
     u = ((key % _LCG_M) * _LCG_A + _LCG_C) % _LCG_M / F.lit(float(_LCG_M))
     base = base.withColumn("Churn", F.when(u < F.col("churn_probability"), F.lit("Yes"))

@@ -11,15 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Required columns of the raw customer table (subset check, not full schema).
-RAW_COLUMNS = [
-    "customerID", "gender", "SeniorCitizen", "Partner", "Dependents", "tenure",
-    "PhoneService", "MultipleLines", "InternetService", "OnlineSecurity",
-    "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV",
-    "StreamingMovies", "Contract", "PaperlessBilling", "PaymentMethod",
-    "MonthlyCharges", "TotalCharges", "Churn",
-]
-
+# Names and types of the raw customer table.
 RAW_SCHEMA = T.StructType([
     T.StructField("customerID", T.StringType()),
     T.StructField("gender", T.StringType()),
@@ -44,6 +36,9 @@ RAW_SCHEMA = T.StructType([
     T.StructField("Churn", T.StringType()),
 ])
 
+# Required columns (subset check, not full schema).
+RAW_COLUMNS = RAW_SCHEMA.fieldNames()
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
