@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 2 << 20
 
 
 def table_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -33,7 +33,7 @@ from keepwise.session import ship_package
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _MIX = np.random.default_rng(20240229).integers(1, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BLOCK = 1 << 16
+_BLOCK = 1 << 14
 _CLASS_SALTS = 1024
 _HUB_SALTS = 8
 _BITMAP_WORDS = 12

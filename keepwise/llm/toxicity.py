@@ -73,24 +73,27 @@ def _probability(margin: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def slot_values(rows: np.ndarray, slots: np.ndarray, labels: np.ndarray, bits: int) -> np.ndarray:
-    df = np.bincount(slots, minlength=1 << bits).astype(float)
-    positive, share = np.bincount(slots, labels[rows], 1 << bits), labels.mean()
+def slot_values(starts: np.ndarray, slots: np.ndarray, labels: np.ndarray, bits: int) -> np.ndarray:
+    df, positive, share = np.zeros(1 << bits), np.zeros(1 << bits), labels.mean()
+    for at in range(0, len(labels), _SLICE):                  # a slice's counts at a time: nothing as long as all terms
+        sizes = np.diff(starts[at:at + _SLICE + 1])
+        part = slots[starts[at]:starts[at] + sizes.sum()]
+        df += np.bincount(part, minlength=1 << bits)
+        positive += np.bincount(part, np.repeat(labels[at:at + _SLICE], sizes), 1 << bits)
     z2 = (positive - df * share) ** 2 / np.maximum(df * share * (1 - share), 1e-9)
     return df / (df + 20) * (0.1 + 0.9 * z2 / (z2 + 30))
 
 
-def train_factors(rows: np.ndarray, slots: np.ndarray, labels: np.ndarray, bits: int, k: int = 4, visits: int = 120_000, batch: int = 128,
+def train_factors(starts: np.ndarray, slots: np.ndarray, labels: np.ndarray, bits: int, k: int = 4, visits: int = 120_000, batch: int = 128,
                   rate: float = 0.5, decay: float = 1e-4, left_out: float = 0.3, seed: int = 7) -> FactorModel:
-    """rows / slots are (row, slot) pairs sorted by row; labels 0 / 1, both present. ``visits``: rows seen in all passes together."""
+    """Row i has the slots from starts[i] to starts[i + 1]; labels 0 / 1, both present. ``visits``: rows seen in all passes together."""
     rng = np.random.default_rng(seed)
     n = len(labels)
-    value = slot_values(rows, slots, labels, bits).astype(np.float32)
+    value = slot_values(starts, slots, labels, bits).astype(np.float32)
     p = np.zeros((1 << bits, k + 1), np.float32)
     p[:, 1:] = rng.normal(0, 0.01, (1 << bits, k))
     seen = np.full((1 << bits, k + 1), 1e-4, np.float32)
     bias, seen_bias = float(np.log((labels.sum() + 1) / (n - labels.sum() + 1))), 1e-6
-    starts = np.searchsorted(rows, np.arange(n + 1))
     for _ in range(min(100, -(-visits // n))):
         order = rng.permutation(n)
         for lo in range(0, n, batch):
@@ -136,8 +139,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     y = sample["y"].to_numpy().astype(float)
     if len(set(y)) < 2:
         return FactorModel(float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))), np.zeros((1 << bits, 2), np.float32))
-    rows, slots = _flat(sample["ids"].combine_chunks())
-    return train_factors(rows, slots, y, bits)
+    ids = sample["ids"].combine_chunks()
+    del sample
+    return train_factors(ids.offsets.to_numpy().astype(np.int64), ids.flatten().to_numpy(zero_copy_only=False), y, bits)
 
 
 def toxic_score(model: FactorModel, text: Column) -> Column:
