@@ -2,19 +2,20 @@
 
 Every rule is a regular expression over host + path with literal tokens that
 any match must contain. The tokens' counts over all URLs pick each rule's
-rarest one; a URL's tokens fetch its candidate rules, and only those run.
+rarest one; rules are a table, joined to the URLs' tokens by it, and only the rules so fetched run.
 Two kinds of rules share the index: list rules (host suffix and path prefix,
 longest wins) and pattern rules, which decide where no list rule fits.
 """
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keepwise.llm.common import saved
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _NO_TOKEN = r"[^A-Za-z0-9\x{80}-\x{10FFFF}]+"
 
@@ -47,45 +48,51 @@ def _list_rule(host: str, path: str) -> tuple[str, tuple[str, ...]]:
     return rf"^(?:[^/]*\.)?\Q{host}{path}\E", tuple(t for t in tokens if t)
 
 
-def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
-               list_rules: Sequence[tuple[str, str, str]] = LIST_RULES,
+_RULE = "number long, kind string, verdict string, name string, pattern string, length int, tokens array<string>"
+_SALTS = 8
+
+
+def rule_table(spark: SparkSession, list_rules: Sequence[tuple[str, str, str]] = LIST_RULES,
                pattern_rules: Sequence[tuple[str, str, tuple[str, ...]]] = PATTERN_RULES) -> DataFrame:
+    """number, kind, verdict, name, pattern, length, tokens: the rules as a table; each has at least one literal token."""
+    rows = [("list", verdict, host + path, *_list_rule(host, path)) for verdict, host, path in list_rules]
+    rows += [("pattern", "block", name, pattern, tuple(tokens)) for name, pattern, tokens in pattern_rules]
+    if loose := [r[2] for r in rows if not r[4]]:
+        raise ValueError(f"rules without a literal token: {loose}")
+    return spark.createDataFrame([(i, kind, verdict, name, pattern, len(name), list(tokens)) for i, (kind, verdict, name, pattern, tokens) in enumerate(rows)], _RULE)
+
+
+def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: DataFrame | None = None) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, patterns, verdict.
 
-    ``rule`` is the longest list rule that fits (null: none) and gives the
+    ``rules`` is a ``rule_table`` (default: the fixed rules), of any size: each rule is joined to the URLs by its rarest
+    token, and its pattern runs on those URLs alone; token counts come from all URLs.
+    ``rule`` is the longest list rule that fits (null: none; ties: by name, then verdict) and gives the
     verdict; without one, any matching pattern rule blocks and the rest is
     allowed. Null, empty and malformed URLs have empty host and path, fit nothing
-    and are allowed. The rules are a parameter on the driver, so index and
-    patterns are literals in the plan; token counts come from all URLs. Repeated
-    rows repeat; other columns are ignored; an empty table gives an empty table.
+    and are allowed; long ones are read whole. Repeated rows repeat; a null page_id keeps its row;
+    other columns are ignored; an empty table gives an empty table.
     """
-    ordered = sorted(list_rules, key=lambda r: (-len(r[1] + r[2]), r[1], r[2], r[0]))
-    rules = [("list", verdict, host + path, *_list_rule(host, path)) for verdict, host, path in ordered]
-    rules += [("pattern", "block", name, pattern, tuple(tokens)) for name, pattern, tokens in pattern_rules]
-    if loose := [r[2] for r in rules if not r[4]]:
-        raise ValueError(f"rules without a literal token: {loose}")
+    rules = rule_table(pages.sparkSession) if rules is None else rules
     host, path = split_url(F.col(url_col).cast("string"))
     urls = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    urls = urls.withColumn("address", F.concat("host", "path"))
-    tokens = F.array_distinct(F.split("address", _NO_TOKEN))
-
-    literals = sorted({t for r in rules for t in r[4]})
-    counted = (urls.select(F.explode(tokens).alias("token")).filter(F.col("token").isin(literals))
-               .groupBy("token").count().collect())
-    seen = {r["token"]: r["count"] for r in counted}
-    index = defaultdict(list)
-    for number, rule in enumerate(rules):
-        index[min(rule[4], key=lambda t: (seen.get(t, 0), t))].append(number)
-
-    fetch = F.create_map(*(x for t, numbers in sorted(index.items()) for x in (F.lit(t), F.array(*map(F.lit, numbers)))))
-    patterns = F.array(*(F.lit(r[3]) for r in rules))
-    pick = lambda column, number: F.get(F.array(*(F.lit(r[column]) for r in rules)), number)
-    candidates = F.flatten(F.filter(F.transform(tokens, lambda t: fetch[t]), lambda x: x.isNotNull()))
-    matched = F.array_sort(F.filter(candidates, lambda r: F.regexp(F.col("address"), F.get(patterns, r))))
-    n_list = len(ordered)
-    out = urls.withColumn("matched", matched).withColumn("first", F.get("matched", F.lit(0)))
-    listed = F.col("first") < n_list
-    names = F.transform(F.filter("matched", lambda r: r >= n_list), lambda r: pick(2, r))
-    verdict = F.when(listed, pick(1, F.col("first"))).when(F.size("matched") > 0, "block").otherwise("allow")
-    return out.select("page_id", "host", "path", F.when(listed, pick(2, F.col("first"))).alias("rule"),
-                      F.concat_ws(",", names).alias("patterns"), verdict.alias("verdict"))
+    urls = saved(urls.withColumn("row", F.monotonically_increasing_id()), "urls")           # written: row numbers stay
+    address = F.concat("host", "path")
+    tokens = urls.select("row", F.explode(F.array_distinct(F.split(address, _NO_TOKEN))).alias("token")).filter("token != ''")
+
+    literal = rules.select("number", F.explode("tokens").alias("token"))
+    counts = tokens.join(literal.select("token").distinct(), "token", "left_semi").groupBy("token").count()
+    rarest = (literal.join(counts, "token", "left").groupBy("number")
+              .agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("count"), "token")).alias("rarest"))
+              .select("number", F.col("rarest.token").alias("token")))
+    index = rules.join(rarest, "number").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))))
+    # a frequent token's URLs are dealt out by salt
+    fetched = tokens.withColumn("_salt", F.pmod(F.xxhash64("row"), F.lit(_SALTS))).join(index, ["token", "_salt"])
+    matched = (fetched.select("row", "kind", "verdict", "name", "pattern", "length").join(urls.select("row", address.alias("address")), "row")
+               .filter(F.regexp(F.col("address"), F.col("pattern"))))
+    best = F.min(F.when(F.col("kind") == "list", F.struct(F.negative("length").alias("shorter"), "name", "verdict"))).alias("best")
+    per_row = matched.groupBy("row").agg(best, F.array_sort(F.collect_set(F.when(F.col("kind") == "pattern", F.col("name")))).alias("names"),
+                                         F.max(F.when(F.col("kind") == "pattern", F.lit(True))).alias("caught"))
+    verdict = F.when(F.col("best").isNotNull(), F.col("best.verdict")).when(F.col("caught"), "block").otherwise("allow")
+    return urls.join(per_row, "row", "left").select("page_id", "host", "path", F.col("best.name").alias("rule"),
+                                                    F.concat_ws(",", "names").alias("patterns"), verdict.alias("verdict"))

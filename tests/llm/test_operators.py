@@ -238,6 +238,25 @@ def test_url_rules(spark):
     assert got[0][:2] == ("a.org", "/x") and got[2][:2] == ("www.example.org", "/en/12") and got[9][:2] == ("", "")
 
 
+def test_url_rules_of_a_large_table(spark):
+    """3,000 rules against plain matching; a token in most URLs; ties, repeats, nulls and clashing columns."""
+    rng = random.Random(17)
+    hosts = [".".join(rng.choices(VOCAB, k=rng.randint(1, 3))) + rng.choice([".org", ".com", ".net"]) for _ in range(400)]
+    rules = sorted({(rng.choice(["allow", "block"]), rng.choice(hosts).split(".", rng.randint(0, 1))[-1], "/" + rng.choice(["", "a/", "a/b", rng.choice(VOCAB) + "/"])) for _ in range(3000)})
+    urls = ["http://" + rng.choice(["", "www."]) + rng.choice(hosts) + "/" + rng.choice(["", "a/b/c", "a/", rng.choice(VOCAB) + "/x"]) for _ in range(1500)] + [None, "", "x"] * 2
+    frame = spark.createDataFrame([(i if i % 50 else None, u, 1, "t") for i, u in enumerate(urls)], "page_id long, url string, row int, token string")
+    got = Counter((r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_rules.judge_urls(frame, rules=url_rules.rule_table(spark, rules, ())).collect())
+    want = Counter()
+    for i, u in enumerate(urls):
+        host, _, path = (u or "")[7:].partition("/") if (u or "").startswith("http://") else ("", "", "")
+        path = "/" + path if host else ""
+        fits = sorted((-len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p))
+        want[i if i % 50 else None, host, path, fits[0][1] if fits else None, fits[0][2] if fits else "allow"] += 1
+    assert got == want
+    with pytest.raises(ValueError):
+        url_rules.rule_table(spark, [("allow", "", "/")], ())
+
+
 def test_license_scan(spark, docs):
     texts = {1: "Blah. Released under the MIT License.", 2: "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
              "Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version.",
