@@ -35,11 +35,12 @@ _GRAM = 3
 _SALTS = 16
 
 
-def _template(token: Column) -> Column:
-    low = F.lower(token)
-    return (F.when(low.rlike(NUMBER) | low.isin(NUMBER_WORDS), F.lit("<num>"))
+def _template(token: Column, low: Column) -> Column:
+    """Patterns run only where they can match: numbers start below ":" or at a currency sign, names differ from their lower case."""
+    number = ((low < ":") | (low >= "£")) & low.rlike(NUMBER)
+    return (F.when(number | low.isin(NUMBER_WORDS), F.lit("<num>"))
             .when(low.isin(UNITS), F.lit("<unit>"))
-            .when(token.rlike(NAME), F.lit("<name>"))
+            .when((token != low) & token.rlike(NAME), F.lit("<name>"))
             .otherwise(low))
 
 
@@ -54,9 +55,10 @@ def _hashed(texts: DataFrame) -> DataFrame:
     """id, text -> id, body (one per id and text), token, hash (of the templates), plain (of the case-folded tokens), slot (0/1)."""
     t = texts.select("id", F.xxhash64("id", "text").alias("body"),
                      F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(TOKEN), F.lit(0)).alias("token"))
-    t = t.withColumn("template", F.transform("token", _template))
+    t = t.withColumn("both", F.transform("token", lambda x: F.struct(x.alias("token"), F.lower(x).alias("low"))))
+    t = t.withColumn("template", F.transform("both", lambda x: _template(x["token"], x["low"])))
     return t.select("id", "body", "token", F.transform("template", lambda x: F.xxhash64(x)).alias("hash"),
-                    F.transform("token", lambda x: F.xxhash64(F.lower(x))).alias("plain"),
+                    F.transform("both", lambda x: F.xxhash64(x["low"])).alias("plain"),
                     F.transform("template", lambda x: x.startswith("<").cast("int")).alias("slot"))
 
 
