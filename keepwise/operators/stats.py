@@ -163,7 +163,7 @@ def histogram_by_class(df: DataFrame, cols: Sequence[str], label: str = "Churn",
 def quartiles_by_class(df: DataFrame, cols: Sequence[str], label: str = "Churn") -> DataFrame:
     long = (df.select(F.col(label), *[F.col(c).cast("double").alias(c) for c in cols])
               .unpivot([label], list(cols), "feature", "x"))
-    q = grouped_quantiles(long, "x", [0.25, 0.5, 0.75], ["feature", label])
+    q = grouped_quantiles(long, "x", [0.25, 0.5, 0.75], ["feature", label], few=True)
     return (q.groupBy("feature", label)
              .pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value"))
              .toDF("feature", label, "q25", "q50", "q75"))
