@@ -44,29 +44,45 @@ def _template(token: Column, low: Column) -> Column:
             .otherwise(low))
 
 
-def _windows(column: str, length: int) -> Column:
-    """Hashes of the runs of ``length`` elements of an array of hashes; the two kinds (template, plain) never meet."""
-    at = F.sequence(F.lit(1), F.greatest(F.size(column) - (length - 1), F.lit(1)))
-    each = F.transform(at, lambda i: F.xxhash64(F.lit(column), F.slice(column, i, length)))
-    return F.when(F.size(column) >= length, each).otherwise(F.array().cast("array<long>"))
+def _with_runs(hashed: DataFrame, lengths: list[int]) -> DataFrame:
+    """``hashed`` + run_hash_n, run_plain_n per length n: the hashes of the runs of n elements, one for each place where n are left.
+
+    A run's hash is made of its two parts' hashes, the first part a power of two long, so that each length costs one step an element."""
+    def part(n: int) -> int:
+        return 1 << (n - 1).bit_length() - 1
+
+    need = set(lengths)
+    for n in range(max(lengths), 1, -1):
+        if n in need:
+            need |= {part(n), n - part(n)}
+    kinds = ("hash", "plain")
+    out = hashed.withColumns({f"run_{c}_1": F.col(c) for c in kinds})
+    for n in sorted(need - {1}):
+        first, second = f"run_%s_{part(n)}", f"run_%s_{n - part(n)}"
+        size = lambda c: F.greatest(F.size(c) - (n - 1), F.lit(0))  # noqa: B023, E731
+        out = out.withColumns({f"run_{c}_{n}": F.zip_with(F.slice(first % c, 1, size(c)), F.slice(second % c, part(n) + 1, size(c)),
+                                                       lambda x, y: F.xxhash64(x, y))
+                               for c in kinds})
+    return out.drop(*(f"run_{c}_{n}" for c in kinds for n in need - set(lengths)))
 
 
 def _hashed(texts: DataFrame) -> DataFrame:
-    """id, text -> id, body (one per id and text), token, hash (of the templates), plain (of the case-folded tokens), slot (0/1)."""
+    """id, text -> id, body (one per id and text), token, hash (of the templates), plain (of the case-folded tokens), slot (0/1).
+    Bits of ``plain`` are turned, so that the two kinds of windows never meet."""
     t = texts.select("id", F.xxhash64("id", "text").alias("body"),
                      F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(TOKEN), F.lit(0)).alias("token"))
     t = t.withColumn("both", F.transform("token", lambda x: F.struct(x.alias("token"), F.lower(x).alias("low"))))
     t = t.withColumn("template", F.transform("both", lambda x: _template(x["token"], x["low"])))
     return t.select("id", "body", "token", F.transform("template", lambda x: F.xxhash64(x)).alias("hash"),
-                    F.transform("both", lambda x: F.xxhash64(x["low"])).alias("plain"),
+                    F.transform("both", lambda x: F.bitwise_not(F.xxhash64(x["low"]))).alias("plain"),
                     F.transform("template", lambda x: x.startswith("<").cast("int")).alias("slot"))
 
 
 def _placed(hashed: DataFrame, length: int) -> DataFrame:
     """id, body, at, kind, window, said (the window's tokens), is_slot (0/1 of each): two rows per place, its template's
     window (kind 0) and its plain words' (kind 1)."""
-    both = F.arrays_zip(_windows("hash", length).alias("t"), _windows("plain", length).alias("p"))
-    at = hashed.select("id", "body", "token", "slot", F.posexplode(both).alias("at", "w"))
+    both = F.arrays_zip(F.col(f"run_hash_{length}").alias("t"), F.col(f"run_plain_{length}").alias("p"))
+    at = _with_runs(hashed, [length]).select("id", "body", "token", "slot", F.posexplode(both).alias("at", "w"))
     part = lambda c: F.slice(c, F.col("at") + 1, length)
     return at.select("id", "body", "at", part("token").alias("said"), part("slot").alias("is_slot"),
                      F.posexplode(F.array("w.t", "w.p")).alias("kind", "window"))
@@ -159,8 +175,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     known = saved(reduce(DataFrame.unionByName, map(of_length, lengths)), "windows")
     narrow = saved(known.select("window").distinct(), "narrow")
     small = 8 * narrow.count() <= _BROADCAST_BYTES
-    every = F.concat(*(_windows(c, n) for n in lengths for c in ("hash", "plain")))
-    hits = saved(_hashed(texts).select("id", F.explode(every).alias("window"))
+    every = F.concat(*(F.col(f"run_{c}_{n}") for n in lengths for c in ("hash", "plain")))
+    hits = saved(_with_runs(_hashed(texts), lengths).select("id", F.explode(every).alias("window"))
                  .join(F.broadcast(narrow) if small else narrow, "window", "left_semi")
                  .groupBy("id").agg(F.count("*").alias("n")), "hits")
     chosen = saved(_hashed(texts.join(hits.select(F.col("id").alias("hit")), F.col("id").eqNullSafe(F.col("hit")), "left_semi")), "chosen")
