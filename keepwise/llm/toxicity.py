@@ -22,11 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from keepwise.llm.common import table_text
+from keepwise.llm.common import saved, table_text
 from keepwise.session import ship_package
 
 _PREFIXES = (4, 5)
 _SLICE = 256          # texts scored together
+_PIECE = 1000         # rows of the sample that come to the driver together
 
 
 @dataclass(frozen=True)
@@ -120,6 +121,21 @@ def train_factors(starts: np.ndarray, slots: np.ndarray, labels: np.ndarray, bit
     return FactorModel(float(bias), p * value[:, None])
 
 
+def _collected(sample: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(labels, starts, slots) of at most ``rows`` rows (y, ids, place), by place: a piece of ``_PIECE`` rows at a time passes the
+    driver's JVM, which keeps what a single large result took of it."""
+    labels, sizes, slots = [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    for at in range(0, rows, _PIECE):
+        piece = sample.filter(F.col("place").between(at, at + _PIECE - 1)).orderBy("place").select("y", "ids").toArrow()
+        if not piece.num_rows:
+            break
+        ids = piece["ids"].combine_chunks()
+        labels.append(piece["y"].to_numpy().astype(float))
+        sizes.append(np.diff(ids.offsets.to_numpy()).astype(np.int64))
+        slots.append(ids.flatten().to_numpy(zero_copy_only=False).copy())
+    return np.concatenate(labels), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), np.concatenate(slots)
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic", bits: int = 18, sample_rows: int = 20_000) -> FactorModel:
     """Fit on labelled rows of ``docs``: at most ``sample_rows`` of them, in the order of a hash of the id.
@@ -135,13 +151,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     chosen = known.join(texts.select("doc_id"), "doc_id", "left_semi").orderBy(*order).limit(sample_rows)
     # the chosen labels are at most ``sample_rows`` pairs of numbers
     ids = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", hashed_terms(F.col("text"), bits).alias("ids"))
-    sample = ids.orderBy(*order, F.xxhash64("ids")).limit(sample_rows).toArrow()
-    y = sample["y"].to_numpy().astype(float)
+    sample = ids.orderBy(*order, F.xxhash64("ids")).limit(sample_rows).withColumn("place", F.monotonically_increasing_id())
+    y, starts, slots = _collected(saved(sample, "sample"), sample_rows)
     if len(set(y)) < 2:
         return FactorModel(float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))), np.zeros((1 << bits, 2), np.float32))
-    ids = sample["ids"].combine_chunks()
-    del sample
-    return train_factors(ids.offsets.to_numpy().astype(np.int64), ids.flatten().to_numpy(zero_copy_only=False), y, bits)
+    return train_factors(starts, slots, y, bits)
 
 
 def toxic_score(model: FactorModel, text: Column) -> Column:
