@@ -10,8 +10,11 @@ Documents with equal shingle sets are one class; tables hold one row per class.
 In each bucket, classes meet the bucket's smallest and largest class id (a star,
 not all pairs).  Buckets of more than three classes that still span several
 components go through an exact prefix-filter join: two sets with Jaccard >= s
-share one of their rarest ``n - ceil(s n) + 1`` shingles. Two bounds of the overlap are part of that
-join: after their first common shingle (in order of rarity) both sets have only so many left, and
+share one of their rarest ``n - ceil(s n) + 1`` shingles. First each row meets only the hubs of its
+shingles (per shingle and band of sizes the few rows with the fewest rarer shingles, next to the middle of
+their group), in turns while that joins components; then all rows of still different components meet, the
+largest component of a shingle only the others. Two bounds of the overlap are part of both
+joins: after their first common shingle (in order of rarity) both sets have only so many left, and
 bitmaps have only so many common bits (and shingles that share a bit with another of their own set).
 Pairs that merely share a passage fall to the first bound, as their own shingles are rarer and come first. Every
 candidate is confirmed on both full sets before it links anything.
@@ -36,6 +39,8 @@ _MIX = np.random.default_rng(20240229).integers(1, 2**63, size=256, dtype=np.uin
 _BLOCK = 1 << 14
 _CLASS_SALTS = 1024
 _HUB_SALTS = 8
+_HUBS = 4             # of a shingle and size band a turn; what hubs leave open meets in the exact join
+_HUB_TURNS = 3
 _BITMAP_WORDS = 12
 
 
@@ -143,9 +148,32 @@ def _sizes_fit(x: str, y: str, num: int, den: int):
     return F.expr(f"{den} * least({x}, {y}) >= {num} * greatest({x}, {y})")
 
 
+def _meeting(one: DataFrame, two: DataFrame, on: list[str], num: int, den: int, also: str = "true") -> DataFrame:
+    """Pairs (a < b) of rows of different components, equal in ``on``, that the bounds of size and overlap leave."""
+    columns = ["rep", "root", "main", "n", "at", "beyond", *(f"w{i}" for i in range(_BITMAP_WORDS))]
+    one = one.select(*on, *(F.col(c).alias(f"a_{c}") for c in columns))
+    two = two.select(*on, *(F.col(c).alias(f"b_{c}") for c in columns))
+    common_bits = " + ".join(f"bit_count(a_w{i} & b_w{i})" for i in range(_BITMAP_WORDS))
+    # no more in common than what follows the first common shingle in both orders, nor than the bitmaps leave
+    overlap = f"least(least(a_n - a_at, b_n - b_at) + 1, least(a_beyond, b_beyond) + {common_bits})"
+    return (one.join(two, on)
+            .filter(F.expr(also) & (F.col("a_root") != F.col("b_root"))
+                    & _sizes_fit("a_n", "b_n", num, den) & F.expr(f"({den} + {num}) * {overlap} >= {num} * (a_n + b_n)"))
+            .select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct())
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots (rep, root) after the components that ``links`` (a, b) join have become one."""
+    ends = (links.join(roots.select(F.col("rep").alias("a"), F.col("root").alias("ra")), "a")
+            .join(roots.select(F.col("rep").alias("b"), F.col("root").alias("rb")), "b"))
+    joined = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    return (roots.join(joined.select(F.col("id").alias("root"), F.col("root").alias("to")), "root", "left")
+            .select("rep", F.coalesce("to", "root").alias("root")))
+
+
 def _rest(multi: DataFrame, roots: DataFrame, sets: DataFrame, done: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that stars have not settled: classes of different components in a bucket of over three,
-    that share one of their rarest shingles. Exact for Jaccard >= num / den."""
+    """Links that stars have not settled: of classes of different components in a bucket of over three,
+    that share one of their rarest shingles. Exact for Jaccard >= num / den up to links inside a component."""
     known = (multi.filter("classes > 3")
              .join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left")
              .withColumn("root", F.coalesce("root", "rep")))
@@ -161,21 +189,42 @@ def _rest(multi: DataFrame, roots: DataFrame, sets: DataFrame, done: DataFrame,
               .withColumn("at", F.row_number().over(mine.orderBy("df", "shingle")))
               .withColumn("at", F.col("at") + F.col("n") - F.count("*").over(mine))        # shingles of no other set come first
               .filter(F.expr(f"at <= n - cast(ceil({num} * n / {den}) as long) + 1"))
-              .select("shingle", "rep", "root", "n", F.col("at").cast("int").alias("at")))
-    mixed = prefix.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
-    prefix = (saved(prefix.join(mixed.select("shingle"), "shingle", "left_semi").select("shingle", "rep", "at"), "prefix")
-              .join(unpacked.select("rep", "root", "n", "beyond", *(F.coalesce(F.col("bitmap")[i], F.lit(0)).alias(f"w{i}") for i in range(_BITMAP_WORDS))), "rep"))
-    columns = [c for c in prefix.columns if c != "shingle"]
-    one = prefix.select("shingle", *(F.col(c).alias(f"a_{c}") for c in columns))
-    two = prefix.select("shingle", *(F.col(c).alias(f"b_{c}") for c in columns))
-    common_bits = " + ".join(f"bit_count(a_w{i} & b_w{i})" for i in range(_BITMAP_WORDS))
-    # no more in common than what follows the first common shingle in both orders, nor than the bitmaps leave
-    overlap = f"least(least(a_n - a_at, b_n - b_at) + 1, least(a_beyond, b_beyond) + {common_bits})"
-    return (one.join(two, "shingle")
-            .filter((F.col("a_rep") < F.col("b_rep")) & (F.col("a_root") != F.col("b_root"))
-                    & _sizes_fit("a_n", "b_n", num, den) & F.expr(f"({den} + {num}) * {overlap} >= {num} * (a_n + b_n)"))
-            .select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
-            .join(done, ["a", "b"], "left_anti"))
+              .select("shingle", "rep", "n", F.col("at").cast("int").alias("at")))
+    prefix = saved(prefix, "prefix")
+    facts = unpacked.select("rep", "beyond", F.floor(F.log("n") / math.log(den / num)).alias("band"),
+                            *(F.coalesce(F.col("bitmap")[i], F.lit(0)).alias(f"w{i}") for i in range(_BITMAP_WORDS)))
+    roots, links, tried = unsettled.select("rep", "root"), None, done
+
+    def still_open() -> DataFrame:
+        """Rows whose shingle several components share, and which even the smallest set with that shingle lets reach
+        the similarity; ``main`` is the largest component with that shingle."""
+        sizes = roots.groupBy("root").agg(F.count("*").alias("members"))
+        rows = prefix.join(roots.join(sizes, "root"), "rep")
+        for _ in range(2):
+            groups = (rows.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least_n"),
+                                                  F.max(F.struct("members", "root"))["root"].alias("main")).filter("lo != hi"))
+            rows = (rows.drop("main").join(groups.select("shingle", "least_n", "main"), "shingle")
+                    .filter(f"({den} + {num}) * (n - at + 1) >= {num} * (n + least_n)").drop("least_n"))
+        return saved(rows.drop("members"), "open").join(facts, "rep")
+
+    rows = still_open()
+    for turn in range(_HUB_TURNS):
+        order = F.row_number().over(Window.partitionBy("shingle", "band").orderBy("at", "rep"))
+        hubs = (rows.withColumn("_rank", order).filter(F.col("_rank") <= (turn + 1) * _HUBS).filter(F.col("_rank") > turn * _HUBS)
+                .withColumn("_salt", F.explode(F.expr(f"sequence(0L, {_HUB_SALTS - 1}L)"))))
+        meets = salted(rows.withColumn("band", F.explode(F.expr("array(band - 1, band, band + 1)"))), "rep", _HUB_SALTS)
+        pairs = saved(_meeting(meets, hubs, ["shingle", "band", "_salt"], num, den).join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = saved(_verified(pairs, sets, num, den), "found")
+        if found.isEmpty():
+            break
+        tried = tried.union(pairs)
+        links = found if links is None else links.union(found)
+        roots = saved(_joined(roots, found), "roots")
+        rows = still_open()
+    # of two different components one is not the shingle's largest: members of that one need not meet each other
+    pairs = saved(_meeting(rows.filter("root != main"), rows, ["shingle"], num, den, "b_root = b_main or a_rep < b_rep").join(tried, ["a", "b"], "left_anti"), "rest")
+    last = _verified(pairs, sets, num, den)
+    return last if links is None else links.union(last)
 
 
 def _of_one_document(sigs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -226,8 +275,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = saved(wanted.join(texts, "doc_id").select("cid", "fp", "text").mapInArrow(_set_rows(k), "id long, s binary")
                  .groupBy("id").agg(F.min("s").alias("s")), "sets")
     links = saved(_verified(stars, sets, num, den), "links")
-    rest = saved(_rest(multi, components(links), sets, stars, num, den), "rest")
-    links = saved(links.union(_verified(rest, sets, num, den)).union(_of_one_document(known, classes)), "links")
+    rest = _rest(multi, components(links), sets, stars, num, den)
+    links = saved(links.union(rest).union(_of_one_document(known, classes)), "links")
 
     rooted = (classes.join(components(links).withColumnRenamed("id", "cid"), "cid", "left")
               .select("fp", "rep", "cid", F.coalesce("root", "cid").alias("root")))

@@ -91,6 +91,31 @@ def test_near_duplicates_of_drifting_copies(spark):
     assert got == brute_components(rows, 3, 85)[0]
 
 
+@pytest.mark.parametrize("turns", [0, 3])
+def test_near_duplicates_of_one_large_group(spark, monkeypatch, turns):
+    """Many copies around the threshold: few pairs are left to the join of all with all, with the same components."""
+    rng, words = random.Random(5), [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(200):
+        copy = list(words)
+        for at in rng.sample(range(150), 1 + i % 5):
+            copy[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(copy)))
+    made, saved = {}, near_dup.saved
+
+    def noted(df, name):
+        out = saved(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dup, "saved", noted)
+    monkeypatch.setattr(near_dup, "_HUB_TURNS", turns, raising=False)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(frame, k=3, num=85).collect()}
+    assert got == brute_components(rows, 3, 85)[0] and made["unsettled"] > 100
+    assert not turns or made["rest"] + made["pairs"] < len(rows)
+
+
 @pytest.mark.parametrize("weak", [False, True])
 def test_exact_duplicates(docs, weak):
     kind = (lambda c: exact_dedup.md5_128(c).substr(1, 0)) if weak else exact_dedup.md5_128
