@@ -17,7 +17,8 @@ largest component of a shingle only the others. Two bounds of the overlap are pa
 joins: after their first common shingle (in order of rarity) both sets have only so many left, and
 bitmaps have only so many common bits (and shingles that share a bit with another of their own set).
 Pairs that merely share a passage fall to the first bound, as their own shingles are rarer and come first. Every
-candidate is confirmed on both full sets before it links anything.
+candidate is confirmed on both full sets before it links anything. Joins of narrow tables that every turn
+repeats are sort-merge joins at every size: the driver would hold a thread and pages for each broadcast.
 """
 from __future__ import annotations
 
@@ -156,7 +157,7 @@ def _meeting(one: DataFrame, two: DataFrame, on: list[str], num: int, den: int,
     common_bits = " + ".join(f"bit_count(a_w{i} & b_w{i})" for i in range(_BITMAP_WORDS))
     # no more in common than what follows the first common shingle in both orders, nor than the bitmaps leave
     overlap = f"least(least(a_n - a_at, b_n - b_at) + 1, least(a_beyond, b_beyond) + {common_bits})"
-    return (one.join(two, on)
+    return (one.join(two.hint("merge"), on)
             .filter(F.expr(also) & (F.col("a_root") != F.col("b_root"))
                     & _sizes_fit("a_n", "b_n", num, den) & F.expr(f"({den} + {num}) * {overlap} >= {num} * (a_n + b_n)"))
             .select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct())
@@ -164,10 +165,10 @@ def _meeting(one: DataFrame, two: DataFrame, on: list[str], num: int, den: int,
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     """roots (rep, root) after the components that ``links`` (a, b) join have become one."""
-    ends = (links.join(roots.select(F.col("rep").alias("a"), F.col("root").alias("ra")), "a")
-            .join(roots.select(F.col("rep").alias("b"), F.col("root").alias("rb")), "b"))
+    ends = (links.join(roots.select(F.col("rep").alias("a"), F.col("root").alias("ra")).hint("merge"), "a")
+            .join(roots.select(F.col("rep").alias("b"), F.col("root").alias("rb")).hint("merge"), "b"))
     joined = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-    return (roots.join(joined.select(F.col("id").alias("root"), F.col("root").alias("to")), "root", "left")
+    return (roots.join(joined.select(F.col("id").alias("root"), F.col("root").alias("to")).hint("merge"), "root", "left")
             .select("rep", F.coalesce("to", "root").alias("root")))
 
 
@@ -199,11 +200,11 @@ def _rest(multi: DataFrame, roots: DataFrame, sets: DataFrame, done: DataFrame,
         """Rows whose shingle several components share, and which even the smallest set with that shingle lets reach
         the similarity; ``main`` is the largest component with that shingle."""
         sizes = roots.groupBy("root").agg(F.count("*").alias("members"))
-        rows = prefix.join(roots.join(sizes, "root"), "rep")
+        rows = prefix.join(roots.join(sizes.hint("merge"), "root").hint("merge"), "rep")
         for _ in range(2):
             groups = (rows.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least_n"),
                                                   F.max(F.struct("members", "root"))["root"].alias("main")).filter("lo != hi"))
-            rows = (rows.drop("main").join(groups.select("shingle", "least_n", "main"), "shingle")
+            rows = (rows.drop("main").join(groups.select("shingle", "least_n", "main").hint("merge"), "shingle")
                     .filter(f"({den} + {num}) * (n - at + 1) >= {num} * (n + least_n)").drop("least_n"))
         return saved(rows.drop("members"), "open").join(facts, "rep")
 
@@ -213,7 +214,7 @@ def _rest(multi: DataFrame, roots: DataFrame, sets: DataFrame, done: DataFrame,
         hubs = (rows.withColumn("_rank", order).filter(F.col("_rank") <= (turn + 1) * _HUBS).filter(F.col("_rank") > turn * _HUBS)
                 .withColumn("_salt", F.explode(F.expr(f"sequence(0L, {_HUB_SALTS - 1}L)"))))
         meets = salted(rows.withColumn("band", F.explode(F.expr("array(band - 1, band, band + 1)"))), "rep", _HUB_SALTS)
-        pairs = saved(_meeting(meets, hubs, ["shingle", "band", "_salt"], num, den).join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = saved(_meeting(meets, hubs, ["shingle", "band", "_salt"], num, den).join(tried.hint("merge"), ["a", "b"], "left_anti"), "pairs")
         found = saved(_verified(pairs, sets, num, den), "found")
         if found.isEmpty():
             break
@@ -222,7 +223,7 @@ def _rest(multi: DataFrame, roots: DataFrame, sets: DataFrame, done: DataFrame,
         roots = saved(_joined(roots, found), "roots")
         rows = still_open()
     # of two different components one is not the shingle's largest: members of that one need not meet each other
-    pairs = saved(_meeting(rows.filter("root != main"), rows, ["shingle"], num, den, "b_root = b_main or a_rep < b_rep").join(tried, ["a", "b"], "left_anti"), "rest")
+    pairs = saved(_meeting(rows.filter("root != main"), rows, ["shingle"], num, den, "b_root = b_main or a_rep < b_rep").join(tried.hint("merge"), ["a", "b"], "left_anti"), "rest")
     last = _verified(pairs, sets, num, den)
     return last if links is None else links.union(last)
 

@@ -2,7 +2,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from keepwise.llm import decontamination, toxicity
+from keepwise.llm import components, decontamination, near_dup, toxicity
 
 
 def test_toxicity_sample_comes_to_the_driver_in_pieces(spark, monkeypatch):
@@ -43,3 +43,47 @@ def test_runs_are_hashed_from_their_parts(spark):
                 for s, h in zip(said, r[f"run_{kind}_{n}"]):
                     assert seen.setdefault((kind, s), h) == h
     assert len(set(seen.values())) == len(seen)                 # different runs, lengths and kinds never meet
+
+
+def _smallest_reachable(links):
+    root = {}
+
+    def of(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if None not in (a, b) and a != b:
+            root[max(of(a), of(b))] = min(of(a), of(b))
+    return {x: of(x) for x in list(root)}
+
+
+def test_components_steps_broadcast_nothing_and_end_with_stars(spark, monkeypatch):
+    plans, materialize = [], components.materialize
+
+    def noted(df):
+        out = materialize(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(components, "materialize", noted)
+    rng = np.random.default_rng(3)
+    shapes = {"none": [], "loops and nulls": [(4, 4), (None, 2), (3, None)], "stars": [(1, i) for i in range(2, 60)] + [(90, 100), (100, 90), (90, 95)],
+              "path": [(i, i + 1) for i in range(40)], "hub on top": [(99, i) for i in range(70)], "random": rng.integers(-40, 40, (50, 2)).tolist()}
+    rounds = {}
+    for name, links in shapes.items():
+        plans.clear()
+        got = components.components(spark.createDataFrame(links, "a long, b long")).collect()
+        assert len(got) == len({r.id for r in got}) and {r.id: r.root for r in got} == _smallest_reachable(links), name
+        assert not any("Broadcast" in p for p in plans), name
+        rounds[name] = len(plans)
+    assert rounds["none"] == rounds["loops and nulls"] == rounds["stars"] == 1      # nothing is left to step over
+    assert rounds["hub on top"] == 3
+
+
+def test_turns_of_near_duplicates_join_without_broadcasts(spark):
+    roots = spark.createDataFrame([(i, i) for i in range(1, 9)], "rep long, root long")
+    joined = near_dup._joined(roots, spark.createDataFrame([(1, 3), (3, 7), (5, 6)], "a long, b long"))
+    assert {r.rep: r.root for r in joined.collect()} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5, 6: 5, 7: 1, 8: 8}
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
