@@ -198,13 +198,16 @@ def _rest(multi: DataFrame, roots: DataFrame, sets: DataFrame, done: DataFrame,
 
     def still_open() -> DataFrame:
         """Rows whose shingle several components share, and which even the smallest set with that shingle lets reach
-        the similarity; ``main`` is the largest component with that shingle."""
+        the similarity; ``main`` is the largest component with that shingle. Each step is written: as one plan they would
+        repeat each other, and the driver keeps a description of the whole plan for each stage that ends."""
         sizes = roots.groupBy("root").agg(F.count("*").alias("members"))
-        rows = prefix.join(roots.join(sizes.hint("merge"), "root").hint("merge"), "rep")
+        sized = saved(roots.join(sizes.hint("merge"), "root"), "sized")
+        rows = prefix.join(sized.hint("merge"), "rep")
         for _ in range(2):
             groups = (rows.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least_n"),
                                                   F.max(F.struct("members", "root"))["root"].alias("main")).filter("lo != hi"))
-            rows = (rows.drop("main").join(groups.select("shingle", "least_n", "main").hint("merge"), "shingle")
+            groups = saved(groups.select("shingle", "least_n", "main"), "groups")
+            rows = (rows.drop("main").join(groups.hint("merge"), "shingle")
                     .filter(f"({den} + {num}) * (n - at + 1) >= {num} * (n + least_n)").drop("least_n"))
         return saved(rows.drop("members"), "open").join(facts, "rep")
 
@@ -279,11 +282,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = _rest(multi, components(links), sets, stars, num, den)
     links = saved(links.union(rest).union(_of_one_document(known, classes)), "links")
 
-    rooted = (classes.join(components(links).withColumnRenamed("id", "cid"), "cid", "left")
-              .select("fp", "rep", "cid", F.coalesce("root", "cid").alias("root")))
+    rooted = saved(classes.join(components(links).withColumnRenamed("id", "cid"), "cid", "left")
+                   .select("fp", "rep", "cid", F.coalesce("root", "cid").alias("root")), "rooted")
     rooted = salted(rooted, "cid", _CLASS_SALTS)
     smallest, spread = per_key(rooted, ["root"], [F.min("rep").alias("component_id")], [F.min("component_id").alias("component_id")])
-    facts = fan_out(rooted, spread, smallest, ["root"]).select("fp", "component_id")
+    facts = saved(fan_out(rooted, spread, smallest, ["root"]).select("fp", "component_id"), "facts")
     linked = fan_out(salted(sigs.select("doc_id", "n_shingles", "fp"), "doc_id", _CLASS_SALTS), pairs, facts, ["fp"])
     root = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (linked.select("doc_id", "n_shingles", root.alias("component_id"))
