@@ -87,3 +87,24 @@ def test_turns_of_near_duplicates_join_without_broadcasts(spark):
     joined = near_dup._joined(roots, spark.createDataFrame([(1, 3), (3, 7), (5, 6)], "a long, b long"))
     assert {r.rep: r.root for r in joined.collect()} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5, 6: 5, 7: 1, 8: 8}
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_of_near_duplicates_stay_small(spark, monkeypatch):
+    """The driver keeps a description of the whole plan for each stage that ends: a step is not repeated within a plan."""
+    rng, exchanges, saved = np.random.default_rng(5), {}, near_dup.saved
+
+    def noted(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        exchanges[name] = max(exchanges.get(name, 0), plan.count("Exchange "))
+        return saved(df, name)
+
+    monkeypatch.setattr(near_dup, "saved", noted)
+    rows = []
+    for i in range(60):
+        words = [f"b{j}" for j in range(150)]
+        for at in rng.choice(150, 1 + i % 5, replace=False):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words)))
+    out = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=3, num=85)
+    exchanges["result"] = out._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    assert "open" in exchanges and max(exchanges.values()) <= 10, exchanges
